@@ -5,8 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = (
-    "kpis",
-
+    "kpis", "validation", "cleaning",
 )
 
 
