@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = (
-    "kpis", "validation", "cleaning",
+    "kpis", "validation", "cleaning", "analytics", "decomposition",
 )
 
 

@@ -11,6 +11,7 @@ from harborline.catalog import raw_ctes  # noqa: F401  (defines the SQL tables)
 from harborline.catalog.ctes import with_ctes
 from harborline.catalog.registry import query, rounded
 from harborline.contract import CONTRACT
+from harborline.functions import strip
 from harborline.operators import clean
 from harborline.sources.raw import RawTables
 
@@ -137,7 +138,7 @@ def defaults_filled(ops):
     for name, columns in DEFAULTED.items():
         df = clean.normalise(CONTRACT[name], raw[name])
         for column in columns:
-            was_empty = F.col(f"raw.{column}").isNull() | (clean.strip(F.col(f"raw.{column}")) == "")
+            was_empty = F.col(f"raw.{column}").isNull() | (strip(f"raw.{column}") == "")
             parts.append(df.filter(was_empty).groupBy(F.col(f"value.{column}").alias("value")).agg(
                 F.count(F.lit(1)).alias("filled")
             ).select(F.lit(name).alias("table"), F.lit(column).alias("column"), "value", "filled"))

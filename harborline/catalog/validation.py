@@ -14,9 +14,17 @@ from harborline.sources.raw import RawTables
 ALL_FINDINGS = " UNION ALL ".join(f"SELECT * FROM findings_{name}" for name in CONTRACT)
 
 
+# Rules that only some tables have.
+ONLY = {
+    "negative_value": ("warehouses", "products", "order_items", "inventory_snapshots"),
+    "inconsistent_category_casing": ("products",),
+    "delivered_before_shipped": ("deliveries",),
+}
+
+
 def _findings(code):
     def plan(ops):
-        found = validate.findings(RawTables(ops).numbered(), codes=[code])
+        found = validate.findings(RawTables(ops).numbered(*ONLY.get(code, ())), codes=[code])
         return found.withColumn("sample_rows", F.array_join("sample_rows", ","))
 
     return plan

@@ -10,9 +10,16 @@ def _col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+# Every character that counts as whitespace in Python's ``str.strip``.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text) -> Column:
-    """Remove Unicode whitespace on both sides (``trim`` only removes blanks)."""
-    return F.regexp_replace(_col(text), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    """Remove Unicode whitespace on both sides (plain ``trim`` only removes blanks)."""
+    return F.btrim(_col(text), F.lit(WHITESPACE))
 
 
 def title_case(text) -> Column:

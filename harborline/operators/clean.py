@@ -11,12 +11,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborline.contract import CASCADING_PARENT, CONTRACT, REJECT, Table, known
-from harborline.functions import strip, title_case
-from harborline.operators.parsing import parsed
+from harborline.operators.parsing import parsed_sql, strip_sql, title_sql
 from harborline.operators.storage import staged
 from harborline.operators.validate import findings
 
@@ -40,10 +39,6 @@ class Cleaned:
         return summary(self.judged)
 
 
-def _reason(condition: Column, text: str) -> Column:
-    return F.when(condition, F.lit(text))
-
-
 def normalise(table: Table, raw: DataFrame) -> DataFrame:
     """Raw struct, normalised struct, ``changed`` and the reasons one row gives by itself.
 
@@ -53,50 +48,51 @@ def normalise(table: Table, raw: DataFrame) -> DataFrame:
     if missing:
         raise ValueError(f"{table.name} is missing required columns: {', '.join(missing)}")
     given = [c for c in raw.columns if c != "source_row"]
-    df = raw.select("source_row", F.struct(*given).alias("raw"))
-    trimmed = {c: F.nullif(strip(F.col(f"raw.{c}")), F.lit("")) for c in table.columns}
-    df = df.withColumn("text", F.struct(*[e.alias(c) for c, e in trimmed.items()]))
-
-    def text(name):
-        return F.col(f"text.{name}")
-
-    typed = {f.name: parsed(text(f.name), f.kind) for f in table.fields}
-    changed = [F.coalesce(F.col(f"raw.{c}") != strip(F.col(f"raw.{c}")), F.lit(False)) for c in table.columns]
+    # Each step is a projection of plain columns that the next one refers to more than
+    # once, so Catalyst keeps the steps apart and evaluates every parser once per row.
+    stripped = raw.selectExpr(
+        "source_row", f"struct({', '.join(given)}) AS raw",
+        *[f"{strip_sql(c)} AS s_{c}" for c in table.columns],
+    )
+    edges = " OR ".join(f"NOT (raw.{c} <=> s_{c})" for c in table.columns)
+    texts = stripped.selectExpr(
+        "source_row", "raw", f"{edges} AS edged",
+        *[f"CASE WHEN s_{c} <> '' THEN s_{c} END AS t_{c}" for c in table.columns],
+    )
+    typed = texts.selectExpr(
+        "source_row", "raw", "edged",
+        *[f"t_{f.name}" for f in table.fields if f.kind != "string"],
+        *[f"{parsed_sql('t_' + f.name, f.kind)} AS v_{f.name}" for f in table.fields],
+        *([f"{title_sql('t_' + table.title_cased)} AS cased"] if table.title_cased else []),
+    )
     # Order of the reasons: types by column, then missing values by column, then
     # negative numbers, date order, duplicate key and parents.
-    reasons = [
-        _reason(text(f.name).isNotNull() & typed[f.name].isNull(), f"invalid_type:{f.name}")
-        for f in table.fields if f.kind != "string"
-    ]
-    reasons += [_reason(typed[f.name].isNull(), f"null_required:{f.name}")
-                for f in table.fields if not f.optional]
-    reasons += [_reason(typed[c] < 0, f"negative_value:{c}") for c in table.non_negative]
+    reasons = [(f"t_{f.name} IS NOT NULL AND v_{f.name} IS NULL", f"invalid_type:{f.name}")
+               for f in table.fields if f.kind != "string"]
+    reasons += [(f"v_{f.name} IS NULL", f"null_required:{f.name}") for f in table.fields if not f.optional]
+    reasons += [(f"v_{c} < 0", f"negative_value:{c}") for c in table.non_negative]
     if table.ordered_dates:
         first, second = table.ordered_dates
-        reasons.append(_reason(typed[second] < typed[first], "delivered_before_shipped"))
+        reasons.append((f"v_{second} < v_{first}", "delivered_before_shipped"))
+    marks = ", ".join(f"CASE WHEN {condition} THEN '{text}' END" for condition, text in reasons)
+    changed = ["edged"] + [f"v_{f.name} IS NULL" for f in table.fields if f.default is not None]
+    final = {f.name: f"v_{f.name}" if f.default is None else f"coalesce(v_{f.name}, '{f.default}')"
+             for f in table.fields}
     if table.title_cased:
-        cased = title_case(typed[table.title_cased])
-        changed.append(F.coalesce(cased != typed[table.title_cased], F.lit(False)))
-        typed[table.title_cased] = cased
-    for f in table.fields:
-        if f.default is not None:
-            changed.append(typed[f.name].isNull())
-            typed[f.name] = F.coalesce(typed[f.name], F.lit(f.default))
-    values = [e.alias(c) for c, e in typed.items()]
-    extra = [F.col(f"raw.{c}").alias(c) for c in given if c not in table.columns]
-    return df.select(
-        "source_row",
-        "raw",
-        F.struct(*values, *extra).alias("value"),
-        reduce(lambda a, b: a | b, changed).alias("changed"),
-        F.array_compact(F.array(*reasons)).alias("reasons"),
+        changed.append(f"coalesce(cased <> v_{table.title_cased}, false)")
+        final[table.title_cased] = "cased"
+    final.update({c: f"raw.{c}" for c in given if c not in table.columns})
+    values = ", ".join(f"{e} AS {c}" for c, e in final.items())
+    return typed.selectExpr(
+        "source_row", "raw", f"struct({values}) AS value", f"{' OR '.join(changed)} AS changed",
+        f"array_compact(array({marks})) AS reasons",
     )
 
 
-def _add_reason(df: DataFrame, condition: Column, text: Column | str) -> DataFrame:
-    text = F.lit(text) if isinstance(text, str) else text
-    found = F.when(condition, F.array(text)).otherwise(F.array().cast("array<string>"))
-    return df.withColumn("reasons", F.concat("reasons", found))
+def _add_reason(df: DataFrame, condition: str, text: str) -> DataFrame:
+    """Append the text expression to the reasons where the condition holds."""
+    added = f"CASE WHEN {condition} THEN array_append(reasons, {text}) ELSE reasons END AS reasons"
+    return df.selectExpr("source_row", "raw", "value", "changed", added)
 
 
 def _mark_duplicates(table: Table, df: DataFrame) -> DataFrame:
@@ -104,31 +100,27 @@ def _mark_duplicates(table: Table, df: DataFrame) -> DataFrame:
 
     Only keys that repeat are joined back, one row each.
     """
-    key = F.col(f"value.{table.key}")
-    firsts = df.filter(key.isNotNull()).groupBy(key.alias("_key")).agg(
-        F.min("source_row").alias("_first"), F.count(F.lit(1)).alias("_rows")
-    ).filter("_rows > 1").drop("_rows")
-    marked = df.join(firsts, key == F.col("_key"), "left")
-    late = F.col("source_row") > F.col("_first")
-    return _add_reason(marked, late, f"duplicate_primary_key:{table.key}").drop("_key", "_first")
+    firsts = df.selectExpr(f"value.{table.key} AS k", "source_row").filter("k IS NOT NULL").groupBy("k").agg(
+        F.min("source_row").alias("first_row"), F.count(F.lit(1)).alias("n")
+    ).filter("n > 1")
+    marked = df.join(firsts, F.expr(f"value.{table.key} = k"), "left")
+    return _add_reason(marked, "source_row > first_row", f"'duplicate_primary_key:{table.key}'")
 
 
 def key_status(table: Table, judged: DataFrame) -> DataFrame:
     """Per key of a judged table, whether any row with it was retained."""
-    return judged.select(F.col(f"value.{table.key}").alias("_key"), (F.size("reasons") == 0).alias("_ok")).filter(
-        F.col("_key").isNotNull()
-    ).groupBy("_key").agg(F.max("_ok").alias("_retained"))
+    return judged.selectExpr(f"value.{table.key} AS k", "size(reasons) = 0 AS ok").filter(
+        "k IS NOT NULL"
+    ).groupBy("k").agg(F.max("ok").alias("retained"))
 
 
 def _mark_orphans(df: DataFrame, column: str, parent: str, status: DataFrame) -> DataFrame:
     """Keys without a retained parent row."""
-    key = F.col(f"value.{column}")
-    marked = df.join(status, key == F.col("_key"), "left")
-    orphan = key.isNotNull() & ~F.coalesce("_retained", F.lit(False))
-    text = F.lit(f"orphan_foreign_key:{column}")
+    marked = df.join(status, F.expr(f"value.{column} = k"), "left")
+    text = f"'orphan_foreign_key:{column}'"
     if parent == CASCADING_PARENT:
-        text = F.when(F.col("_key").isNotNull(), "cascade_parent_order_rejected").otherwise(text)
-    return _add_reason(marked, orphan, text).drop("_key", "_retained")
+        text = f"CASE WHEN k IS NOT NULL THEN 'cascade_parent_order_rejected' ELSE {text} END"
+    return _add_reason(marked, f"value.{column} IS NOT NULL AND NOT coalesce(retained, false)", text)
 
 
 def judge(tables: Mapping[str, DataFrame], stage_keys: bool = False) -> dict[str, DataFrame]:

@@ -2,7 +2,7 @@
 
 All of them range-partition on the order, sort inside partitions, and add the sizes
 of the preceding partitions. Range bounds are sampled, so the partitioned frame is
-checkpointed before anything is derived from it.
+written to the shared folder before anything is derived from it.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborline.operators.storage import checkpointed
+from harborline.operators.storage import staged
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -33,10 +33,11 @@ def dense_index(df: DataFrame, order: Sequence[str | Column], out: str) -> DataF
 
     Rows that are equal in all order keys get neighbouring positions.
     """
-    placed = checkpointed(
+    placed = staged(
         df.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_id", _ROW_BITS))
+        .withColumn("_part", F.shiftright("_id", _ROW_BITS)),
+        "ordered",
     )
     position = F.col("_before") + F.col("_id") % F.lit(1 << _ROW_BITS)
     return _with_offsets(placed, "_part", F.lit(1)).select(*df.columns, position.alias(out))
@@ -57,11 +58,12 @@ def ntile_scaled(df: DataFrame, key: str, n: int, measures: Mapping[str, Column]
         for i, name in enumerate(names)
     ])
     narrow = df.select(F.col(key).alias("_key"), F.inline(entries))
-    placed = checkpointed(
+    placed = staged(
         narrow.repartitionByRange("_order", "_value", "_key")
         .sortWithinPartitions("_order", "_value", "_key")
         .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_id", _ROW_BITS))
+        .withColumn("_part", F.shiftright("_id", _ROW_BITS)),
+        "ordered",
     )
     total = placed.agg((F.count(F.lit(1)) / len(names)).cast("long").alias("t")).scalar()
     position = F.col("_before") + F.col("_id") % F.lit(1 << _ROW_BITS)
@@ -101,8 +103,8 @@ def hist_rank(df: DataFrame, value: str, weights: Mapping[str, Column], bounded:
     if bounded:
         ranked = histogram.withColumn("_upto", F.sum("rows").over(Window.orderBy(value)))
     else:
-        placed = checkpointed(
-            histogram.repartitionByRange(value).withColumn("_part", F.spark_partition_id())
+        placed = staged(
+            histogram.repartitionByRange(value).withColumn("_part", F.spark_partition_id()), "histogram"
         )
         inside = F.sum("rows").over(Window.partitionBy("_part").orderBy(value))
         ranked = _with_offsets(placed, "_part", F.col("rows")).withColumn(

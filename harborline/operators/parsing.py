@@ -1,43 +1,55 @@
-"""Reading typed values out of raw text.
+"""Reading typed values out of raw text, as SQL expression text.
 
 The raw layer is all text. A parser returns null for text that is not a value of the
 declared kind; it accepts plain decimal numbers, ISO dates (with or without a time)
 and the words true and false.
+
+Rules and parsers over whole tables are written as SQL text: a table has dozens of
+them, and one ``selectExpr`` hands all of them to Spark at once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from harborline.functions.text import WHITESPACE
+
+NUMBER_TEXT = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+DATE_TEXT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T].*)?$"
+
+# Cased runs of letters, see ``functions.title_case``.
+_RUNS = r"regexp_extract_all(lower({text}), '(\\p{{L}}+|[^\\p{{L}}]+)', 1)"
+_BLANKS = "".join(f"\\u{ord(c):04x}" for c in WHITESPACE)
+
+
+def strip_sql(text: str) -> str:
+    return f"btrim({text}, '{_BLANKS}')"
+
 
-NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T].*)?$"
+def title_sql(text: str) -> str:
+    return f"array_join(transform({_RUNS.format(text=text)}, w -> upper(left(w, 1)) || substr(w, 2)), '')"
 
 
-def as_number(text: Column) -> Column:
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+def number_sql(text: str) -> str:
+    return f"CASE WHEN {text} RLIKE '{NUMBER_TEXT}' THEN try_cast({text} AS DOUBLE) END"
 
 
-def as_integer(text: Column) -> Column:
-    number = as_number(text)
-    return F.when(number % 1 == 0, number.try_cast("bigint"))
+def integer_sql(text: str) -> str:
+    return f"CASE WHEN {number_sql(text)} % 1 = 0 THEN try_cast(try_cast({text} AS DOUBLE) AS BIGINT) END"
 
 
-def as_boolean(text: Column) -> Column:
-    word = F.lower(text)
-    return F.when(word == "true", True).when(word == "false", False)
+def boolean_sql(text: str) -> str:
+    return f"CASE lower({text}) WHEN 'true' THEN true WHEN 'false' THEN false END"
 
 
-def as_date(text: Column) -> Column:
-    return F.when(text.rlike(DATE_TEXT), text.try_cast("date"))
+def date_sql(text: str) -> str:
+    return f"CASE WHEN {text} RLIKE '{DATE_TEXT}' THEN try_cast({text} AS DATE) END"
 
 
-def parsed(text: Column, kind: str) -> Column:
-    """The typed value of a trimmed text column."""
+def parsed_sql(text: str, kind: str) -> str:
+    """Expression for the typed value of a trimmed text expression."""
     return {
-        "string": lambda c: c,
-        "integer": as_integer,
-        "number": as_number,
-        "boolean": as_boolean,
-        "date": as_date,
+        "string": lambda t: t,
+        "integer": integer_sql,
+        "number": number_sql,
+        "boolean": boolean_sql,
+        "date": date_sql,
     }[kind](text)

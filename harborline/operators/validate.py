@@ -11,13 +11,12 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.contract import CONTRACT, FIX, REJECT, SEVERITIES, WARN, Table, known
-from harborline.functions import strip, title_case
 from harborline.operators.joins import repeated_keys
-from harborline.operators.parsing import as_date, as_number, parsed
+from harborline.operators.parsing import date_sql, number_sql, parsed_sql, strip_sql, title_sql
 
 SAMPLE_ROWS = 10
 
@@ -47,30 +46,30 @@ MESSAGE = {
     "missing_file": "no file for table {column}",
 }
 
-def row_rules(table: Table, present: set[str]) -> list[tuple[str, str, Column]]:
+def row_rules(table: Table, present: set[str]) -> list[tuple[str, str, str]]:
     """(code, column, condition) of every rule decided by one row alone."""
     rules = []
     for spec in table.fields:
-        if spec.name not in present:
+        name = spec.name
+        if name not in present:
             continue
-        value = F.col(spec.name)
         if not spec.optional:
-            rules.append(("null_required", spec.name, value.isNull()))
+            rules.append(("null_required", name, f"{name} IS NULL"))
         elif spec.kind == "string":
-            rules.append(("null_optional", spec.name, value.isNull()))
+            rules.append(("null_optional", name, f"{name} IS NULL"))
         if spec.kind != "string":
-            wrong = value.isNotNull() & parsed(strip(value), spec.kind).isNull()
-            rules.append(("invalid_type", spec.name, wrong))
+            rules.append(("invalid_type", name,
+                          f"{name} IS NOT NULL AND ({parsed_sql(strip_sql(name), spec.kind)}) IS NULL"))
     for name in table.non_negative:
         if name in present:
-            rules.append(("negative_value", name, as_number(strip(F.col(name))) < 0))
+            rules.append(("negative_value", name, f"({number_sql(strip_sql(name))}) < 0"))
     if table.title_cased in present:
         name = table.title_cased
-        rules.append(("inconsistent_category_casing", name, F.col(name) != title_case(name)))
+        rules.append(("inconsistent_category_casing", name, f"{name} <> {title_sql(name)}"))
     if table.ordered_dates and present.issuperset(table.ordered_dates):
         first, second = table.ordered_dates
-        before = as_date(strip(F.col(second))) < as_date(strip(F.col(first)))
-        rules.append(("delivered_before_shipped", second, before))
+        rules.append(("delivered_before_shipped", second,
+                      f"({date_sql(strip_sql(second))}) < ({date_sql(strip_sql(first))})"))
     return rules
 
 
@@ -85,14 +84,14 @@ def table_violations(table: Table, frame: DataFrame, tables: Mapping[str, DataFr
     """Violations of one table, limited to ``codes``; ``frame`` has a 1-based ``data_row``."""
     present = set(frame.columns)
     marks = [
-        F.when(condition, F.struct(F.lit(code).alias("code"), F.lit(column).alias("column")))
+        f"CASE WHEN {condition} THEN named_struct('code', '{code}', 'column', '{column}') END"
         for code, column, condition in row_rules(table, present) if code in codes
     ]
     parts = []
     if marks:
         parts.append(
-            frame.select("data_row", F.explode(F.array_compact(F.array(*marks))).alias("mark")).select(
-                F.lit(table.name).alias("table"), "mark.code", "mark.column", "data_row"
+            frame.selectExpr("data_row", f"inline(array_compact(array({', '.join(marks)})))").selectExpr(
+                f"'{table.name}' AS table", "code", "column", "data_row"
             )
         )
     if table.key in present and "duplicate_primary_key" in codes:
@@ -124,10 +123,6 @@ FINDING = ("table string, code string, severity string, column string, count big
            "sample_rows array<bigint>")
 
 
-def _lookup(mapping: Mapping[str, str], key: Column) -> Column:
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])[key]
-
-
 def aggregate_violations(violations: DataFrame) -> DataFrame:
     """Findings out of violations."""
     rule = ["table", "code", "column"]
@@ -138,10 +133,11 @@ def aggregate_violations(violations: DataFrame) -> DataFrame:
     samples = violations.withColumn("_rank", rank).filter(F.col("_rank") <= SAMPLE_ROWS).groupBy(*rule).agg(
         F.sort_array(F.collect_list("data_row")).alias("sample_rows")
     )
-    message = F.replace(_lookup(MESSAGE, F.col("code")), F.lit("{column}"), F.col("column"))
-    return totals.join(samples, rule).select(
-        "table", "code", _lookup(SEVERITY, F.col("code")).alias("severity"), "column", "count",
-        message.alias("message"), "sample_rows",
+    severity = " ".join(f"WHEN '{code}' THEN '{level}'" for code, level in SEVERITY.items())
+    message = " ".join(f"WHEN '{code}' THEN '{text}'" for code, text in MESSAGE.items())
+    return totals.join(samples, rule).selectExpr(
+        "table", "code", f"CASE code {severity} END AS severity", "column", "count",
+        f"replace(CASE code {message} END, '{{column}}', column) AS message", "sample_rows",
     )
 
 
@@ -175,21 +171,20 @@ def summarise(found: DataFrame) -> DataFrame:
     )
 
 
-def published_rules(table: Table, present: set[str]) -> list[tuple[str, str, Column]]:
+def published_rules(table: Table, present: set[str]) -> list[tuple[str, str, str]]:
     """(rule, column, violation) of the published, typed layer.
 
     Empty optional text has been replaced by its default, so only optional values of
     other kinds may be null.
     """
-    rules = [("not_null", f.name, F.col(f.name).isNull()) for f in table.fields
+    rules = [("not_null", f.name, f"{f.name} IS NULL") for f in table.fields
              if f.name in present and not (f.optional and f.kind != "string")]
-    rules += [("non_negative", c, F.col(c) < 0) for c in table.non_negative if c in present]
-    rules += [("positive", c, F.col(c) <= 0) for c in table.positive if c in present]
-    rules += [("not_before_1900", c, F.col(c) < F.lit("1900-01-01").cast("date"))
-              for c in table.not_before_1900 if c in present]
+    rules += [("non_negative", c, f"{c} < 0") for c in table.non_negative if c in present]
+    rules += [("positive", c, f"{c} <= 0") for c in table.positive if c in present]
+    rules += [("not_before_1900", c, f"{c} < DATE'1900-01-01'") for c in table.not_before_1900 if c in present]
     if table.ordered_dates and present.issuperset(table.ordered_dates):
         first, second = table.ordered_dates
-        rules.append(("date_order", second, F.col(second) < F.col(first)))
+        rules.append(("date_order", second, f"{second} < {first}"))
     return rules
 
 
@@ -207,13 +202,12 @@ def contract_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
         table = CONTRACT[name]
         present = set(frame.columns)
         rules = published_rules(table, present)
-        counted = frame.agg(*[F.count_if(c).alias(f"r{i}") for i, (_, _, c) in enumerate(rules)])
-        entries = F.array(*[
-            F.struct(F.lit(name).alias("table"), F.lit(rule).alias("rule"),
-                     F.lit(column).alias("column"), F.col(f"r{i}").alias("violations"))
+        counted = frame.selectExpr(*[f"count_if({c}) AS r{i}" for i, (_, _, c) in enumerate(rules)])
+        entries = ", ".join(
+            f"named_struct('table', '{name}', 'rule', '{rule}', 'column', '{column}', 'violations', r{i})"
             for i, (rule, column, _) in enumerate(rules)
-        ])
-        parts.append(counted.select(F.inline(entries)))
+        )
+        parts.append(counted.selectExpr(f"inline(array({entries}))"))
 
         parts.append(_total(repeated_keys(frame, [table.key]), name, "primary_key", table.key))
         for column, parent in table.parents.items():

@@ -36,6 +36,7 @@ def local_session(cores: str | int = 8, shuffle_partitions: int | None = None,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("HARBORLINE_DRIVER_MEMORY", memory))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
     )

@@ -11,6 +11,11 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+# Schemas already read from Parquet footers, by (session, path).
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
 class OpsTables(Mapping):
@@ -30,7 +35,11 @@ class OpsTables(Mapping):
     def source(self, name: str) -> DataFrame:
         """One source table."""
         if name not in self._sources:
-            self._sources[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            key = (self.spark.sparkContext.applicationId, path)
+            if key not in _SCHEMAS:
+                _SCHEMAS[key] = self.spark.read.parquet(path).schema
+            self._sources[name] = self.spark.read.schema(_SCHEMAS[key]).parquet(path)
         return self._sources[name]
 
     def __getitem__(self, name: str) -> DataFrame:
