@@ -22,13 +22,21 @@ def strip(text) -> Column:
     return F.btrim(_col(text), F.lit(WHITESPACE))
 
 
+# A run of cased letters, or the text between two of them.
+CASED_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
+
+
 def title_case(text) -> Column:
-    """Upper-case the first letter of every run of letters, lower-case the others."""
-    runs = F.regexp_extract_all(F.lower(_col(text)), F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
-    return F.array_join(
-        F.transform(runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))),
-        "",
-    )
+    """Upper-case the first letter of every run of letters, lower-case the others.
+
+    A letter whose upper case has two letters keeps only the first of them upper.
+    """
+    def titled(run):
+        head = F.upper(F.left(run, F.lit(1)))
+        return F.concat(F.left(head, F.lit(1)), F.lower(F.substr(head, F.lit(2))), F.substr(run, F.lit(2)))
+
+    runs = F.regexp_extract_all(F.lower(_col(text)), F.lit(CASED_RUNS), F.lit(1))
+    return F.array_join(F.transform(runs, titled), "")
 
 
 def percent_text(rate, digits: int) -> Column:

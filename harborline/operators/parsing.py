@@ -10,13 +10,12 @@ them, and one ``selectExpr`` hands all of them to Spark at once.
 
 from __future__ import annotations
 
-from harborline.functions.text import WHITESPACE
+from harborline.functions.text import CASED_RUNS, WHITESPACE
 
 NUMBER_TEXT = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 DATE_TEXT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T].*)?$"
 
-# Cased runs of letters, see ``functions.title_case``.
-_RUNS = r"regexp_extract_all(lower({text}), '(\\p{{L}}+|[^\\p{{L}}]+)', 1)"
+_RUNS = CASED_RUNS.replace("\\", "\\\\")
 _BLANKS = "".join(f"\\u{ord(c):04x}" for c in WHITESPACE)
 
 
@@ -25,7 +24,10 @@ def strip_sql(text: str) -> str:
 
 
 def title_sql(text: str) -> str:
-    return f"array_join(transform({_RUNS.format(text=text)}, w -> upper(left(w, 1)) || substr(w, 2)), '')"
+    """The same as ``functions.title_case``."""
+    head = "upper(left(w, 1))"
+    titled = f"concat(left({head}, 1), lower(substr({head}, 2)), substr(w, 2))"
+    return f"array_join(transform(regexp_extract_all(lower({text}), '{_RUNS}', 1), w -> {titled}), '')"
 
 
 def number_sql(text: str) -> str:

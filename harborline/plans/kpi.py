@@ -18,7 +18,7 @@ from harborline.operators.storage import staged
 
 Tables = Mapping[str, DataFrame]
 
-FULFILLED = F.lit("fulfilled")
+FULFILLED = "fulfilled"
 NEVER_BOUGHT_DAYS = 99999  # recency of a customer without fulfilled orders
 
 
@@ -38,6 +38,14 @@ def breached() -> Column:
     )
 
 
+def stock_status() -> Column:
+    return (
+        F.when(F.col("stockout_flag") | (F.col("quantity_on_hand") == 0), "stockout")
+        .when(F.col("quantity_on_hand") <= F.col("reorder_point"), "reorder")
+        .otherwise("healthy")
+    )
+
+
 def fulfilment_rate(ops: Tables) -> DataFrame:
     """Orders and fulfilled orders per month; change against the previous observed month."""
     monthly = ops["order_headers"].groupBy(month_key("order_date").alias("month")).agg(
@@ -358,11 +366,6 @@ def latest_snapshots(ops: Tables) -> DataFrame:
 
 def inventory_status(ops: Tables) -> DataFrame:
     """Latest snapshot per product and warehouse with its stock status."""
-    status = (
-        F.when(F.col("stockout_flag") | (F.col("quantity_on_hand") == 0), "stockout")
-        .when(F.col("quantity_on_hand") <= F.col("reorder_point"), "reorder")
-        .otherwise("healthy")
-    )
     return (
         latest_snapshots(ops)
         .join(ops["products"].select("product_id", "product_name", "sku_group", "category"), "product_id")
@@ -371,7 +374,7 @@ def inventory_status(ops: Tables) -> DataFrame:
         .select(
             "snapshot_id", "snapshot_date", "product_id", "product_name", "sku_group", "category",
             "warehouse_id", "warehouse_name", "supplier_id", "supplier_name", "quantity_on_hand",
-            "reorder_point", "stockout_flag", status.alias("inventory_status"),
+            "reorder_point", "stockout_flag", stock_status().alias("inventory_status"),
         )
     )
 
