@@ -7,6 +7,7 @@ from importlib import import_module
 MODULES = (
     "kpis", "validation", "cleaning", "analytics", "decomposition",
     "evidence", "measures", "scalars", "relational",
+    "storage",
 )
 
 

@@ -204,3 +204,13 @@ def report(factors: DataFrame, overall: DataFrame, period_a: str, period_b: str)
         F.lit("fulfilment").alias("kpi"), F.lit(period_a).alias("period_a"), F.lit(period_b).alias("period_b"),
         "value_a", "value_b", "change", picked.scalar().alias("top_factors"),
     )
+
+
+def flat_report(top: DataFrame, overall: DataFrame, period_a: str, period_b: str) -> DataFrame:
+    """One row per top factor with the header of the report repeated."""
+    header = overall.select("value_a", "value_b", "change")
+    factor = [c for c in FACTOR_COLUMNS if c not in ("contribution", "share_of_delayed")]
+    return with_scalar(top, header, "h").select(
+        F.lit("fulfilment").alias("kpi"), F.lit(period_a).alias("period_a"), F.lit(period_b).alias("period_b"),
+        "h.value_a", "h.value_b", "h.change", *factor,
+    )
