@@ -162,7 +162,7 @@ def distinct_reasons(ops):
         FROM judged_{name} WHERE reject_reason <> '' GROUP BY 2""" for name in CONTRACT)))
 def reason_lists(ops):
     """Ordered reason lists with the number of rows that carry them."""
-    everything = clean.judge(RawTables(ops), stage_keys=True)
+    everything = clean.judge(RawTables(ops), stage=True)
     parts = [
         clean.rejected_rows(df).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows_rejected"))
         .select(F.lit(name).alias("table"), "reject_reason", "rows_rejected")
@@ -182,7 +182,7 @@ def reason_lists(ops):
     + ") AS counts GROUP BY ROLLUP (\"table\")"))
 def cleaning_summary(ops):
     """Rows before, after, fixed and rejected per table and in total."""
-    return clean.summary(clean.judge(RawTables(ops), stage_keys=True))
+    return clean.summary(clean.judge(RawTables(ops), stage=True))
 
 
 @query("c17_clean_output_findings", with_ctes("SELECT CAST(0 AS BIGINT) AS reject_findings"))

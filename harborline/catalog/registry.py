@@ -35,7 +35,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} registered twice")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return comparable(fn(OpsTables(tune(spark), folder)))
+            return comparable(fn(OpsTables(tune(spark, folder), folder)))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__

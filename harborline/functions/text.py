@@ -45,8 +45,10 @@ def percent_text(rate, digits: int) -> Column:
 
 
 def signed_text(value, digits: int) -> Column:
-    """Number with an explicit sign, ties to even."""
-    return F.format_string(f"%+.{digits}f", F.bround(_col(value), digits))
+    """Number with the sign it had before rounding, ties to even."""
+    value = _col(value)
+    sign = F.when(value < 0, "-").when(value.isNotNull(), "+")
+    return F.concat(sign, F.format_string(f"%.{digits}f", F.abs(F.bround(value, digits))))
 
 
 # A number not glued to a preceding Latin letter: optional sign, plain or

@@ -123,12 +123,12 @@ def _mark_orphans(df: DataFrame, column: str, parent: str, status: DataFrame) ->
     return _add_reason(marked, f"value.{column} IS NOT NULL AND NOT coalesce(retained, false)", text)
 
 
-def judge(tables: Mapping[str, DataFrame], stage_keys: bool = False) -> dict[str, DataFrame]:
+def judge(tables: Mapping[str, DataFrame], stage: bool = False) -> dict[str, DataFrame]:
     """Judged frame per table; parents are judged before their children.
 
     Each raw frame carries a unique ``source_row`` that follows the file order.
-    With ``stage_keys`` the key status of a parent is written to the shared folder
-    once instead of being derived again by each child.
+    With ``stage`` every judged frame is written to the shared folder, so that it is
+    computed once although its children and several results read it.
     """
     known(tables)
     judged: dict[str, DataFrame] = {}
@@ -141,9 +141,9 @@ def judge(tables: Mapping[str, DataFrame], stage_keys: bool = False) -> dict[str
             if parent in judged:
                 if parent not in status:
                     found = key_status(CONTRACT[parent], judged[parent])
-                    status[parent] = staged(found, f"keys-{parent}") if stage_keys else found
+                    status[parent] = staged(found, f"keys-{parent}") if stage else found
                 df = _mark_orphans(df, column, parent, status[parent])
-        judged[name] = df
+        judged[name] = staged(df, f"judged-{name}") if stage else df
     return judged
 
 
@@ -179,14 +179,8 @@ def summary(judged: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def clean(tables: Mapping[str, DataFrame], stage: bool = True) -> Cleaned:
-    """Judge all tables; with ``stage`` every judged frame is written once and re-read."""
-    known(tables)
-    if not stage:
-        return Cleaned(judge(tables))
-    judged: dict[str, DataFrame] = {}
-    for name, df in judge(tables, stage_keys=True).items():
-        judged[name] = staged(df, f"judged-{name}")
-    return Cleaned(judged)
+    """Judge all tables of a bundle."""
+    return Cleaned(judge(tables, stage))
 
 
 def assert_clean(tables: Mapping[str, DataFrame]) -> None:

@@ -52,6 +52,10 @@ def ntile_scaled(df: DataFrame, key: str, n: int, measures: Mapping[str, Column]
     order. Every row then finds its tile by comparing itself with those rows.
     """
     names = list(measures)
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    if n == 1:
+        return df.withColumns({name: F.lit(1) for name in names})
     value = {name: measures[name].cast("decimal(38,6)") for name in names}
     entries = F.array(*[
         F.struct(F.lit(i).alias("_order"), value[name].alias("_value"))

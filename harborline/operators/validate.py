@@ -19,6 +19,7 @@ from harborline.operators.joins import repeated_keys
 from harborline.operators.parsing import date_sql, number_sql, parsed_sql, strip_sql, title_sql
 
 SAMPLE_ROWS = 10
+BLOCK_ROWS = 1024
 
 SEVERITY = {
     "missing_file": REJECT,
@@ -124,14 +125,24 @@ FINDING = ("table string, code string, severity string, column string, count big
 
 
 def aggregate_violations(violations: DataFrame) -> DataFrame:
-    """Findings out of violations."""
+    """Findings out of violations, which are read once.
+
+    Violations are first reduced to blocks of neighbouring rows, mostly before the
+    shuffle, each with its count and at most ``BLOCK_ROWS`` row numbers. The first ten
+    rows of a finding lie in its first ten blocks, so a rule that most rows break needs
+    no more than those.
+    """
     rule = ["table", "code", "column"]
-    totals = violations.groupBy(*rule).agg(F.count(F.lit(1)).alias("count"))
-    # The rank filter is applied on every input partition before the shuffle, so a
-    # rule that most rows break still sends at most ten rows per partition.
-    rank = F.row_number().over(Window.partitionBy(*rule).orderBy("data_row"))
-    samples = violations.withColumn("_rank", rank).filter(F.col("_rank") <= SAMPLE_ROWS).groupBy(*rule).agg(
-        F.sort_array(F.collect_list("data_row")).alias("sample_rows")
+    blocks = violations.groupBy(*rule, F.floor(F.col("data_row") / BLOCK_ROWS).alias("block")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sort_array(F.collect_list("data_row")).alias("row_numbers")
+    )
+    totals = blocks.groupBy(*rule).agg(F.sum("rows").alias("count"))
+    rank = F.row_number().over(Window.partitionBy(*rule).orderBy("block"))
+    samples = (
+        blocks.select(*rule, "block", F.slice("row_numbers", 1, SAMPLE_ROWS).alias("row_numbers"))
+        .withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_ROWS)
+        .groupBy(*rule).agg(F.flatten(F.collect_list("row_numbers")).alias("row_numbers"))
+        .select(*rule, F.slice(F.sort_array("row_numbers"), 1, SAMPLE_ROWS).alias("sample_rows"))
     )
     severity = " ".join(f"WHEN '{code}' THEN '{level}'" for code, level in SEVERITY.items())
     message = " ".join(f"WHEN '{code}' THEN '{text}'" for code, text in MESSAGE.items())
