@@ -8,6 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def fact_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Join of two sides that both grow with the facts.
+
+    The merge hint rules out a broadcast, which a low size estimate of an aggregated
+    side could otherwise bring about. A merge join spills, and adaptive execution splits
+    its skewed partitions.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")

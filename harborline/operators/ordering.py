@@ -31,7 +31,9 @@ def _with_offsets(df: DataFrame, part: str, weight: Column) -> DataFrame:
 def dense_index(df: DataFrame, order: Sequence[str | Column], out: str) -> DataFrame:
     """Zero-based position of every row in the given order.
 
-    Rows that are equal in all order keys get neighbouring positions.
+    Rows that are equal in all order keys get neighbouring positions; end the order in a
+    unique key, or such rows share a partition. The input is read twice, once to sample
+    the range bounds, so pass a stored frame.
     """
     placed = staged(
         df.repartitionByRange(*order).sortWithinPartitions(*order)

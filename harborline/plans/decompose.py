@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from harborline.functions import month_key, safe_ratio, two_proportion_p
 from harborline.functions.dates import in_month, month_bounds
-from harborline.operators.joins import mode_per_key, with_scalar
+from harborline.operators.joins import fact_join, mode_per_key, with_scalar
 from harborline.operators.ordering import dense_index
 from harborline.operators.storage import staged
 from harborline.plans.kpi import is_fulfilled
@@ -38,17 +38,19 @@ def order_facts(ops: Tables, when: Column | None = None) -> DataFrame:
     frequent one among the lines, ties to the least. ``when`` limits the orders before
     anything is joined.
     """
-    orders = ops["orders"] if when is None else ops["orders"].filter(when)
-    supplier = ops["deliveries"].groupBy("order_id").agg(F.min("supplier_id").alias("supplier_id"))
-    lines = ops["order_items"].select("order_id", "product_id").join(
-        ops["products"].select("product_id", "sku_group"), "product_id", "left"
-    )
+    orders, deliveries = ops["orders"], ops["deliveries"].select("order_id", "supplier_id")
+    lines = ops["order_items"].select("order_id", "product_id")
+    if when is not None:
+        orders = orders.filter(when)
+        chosen = ops["order_headers"].filter(when).select("order_id")
+        deliveries = deliveries.join(chosen, "order_id", "left_semi")
+        lines = lines.join(chosen, "order_id", "left_semi")
+    supplier = deliveries.groupBy("order_id").agg(F.min("supplier_id").alias("supplier_id"))
+    lines = lines.join(ops["products"].select("product_id", "sku_group"), "product_id", "left")
     group = mode_per_key(lines, ["order_id"], "sku_group")
     regions = ops["warehouses"].groupBy("warehouse_id").agg(F.min("region").alias("region"))
     return (
-        orders
-        .join(supplier, "order_id", "left")
-        .join(group, "order_id", "left")
+        fact_join(fact_join(orders, supplier, "order_id", "left"), group, "order_id", "left")
         .join(regions, "warehouse_id", "left")
         .select(
             "order_id", "order_date", is_fulfilled().alias("fulfilled"), "warehouse_id",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from harborline.functions import month_key, number_tokens, percent_text, safe_ratio, signed_text, strip
 from harborline.functions.dates import in_month, month_bounds
 from harborline.operators.joins import with_scalar
+from harborline.operators.storage import staged
 from harborline.plans.kpi import is_fulfilled, stockout_by_sku_group, supplier_performance
 
 Tables = Mapping[str, DataFrame]
@@ -43,9 +44,9 @@ def stockouts_in(ops: Tables, period: str) -> DataFrame:
 
 
 def with_share(counts: DataFrame) -> DataFrame:
-    """Share of each group in all stock-outs of its month."""
-    totals = counts.groupBy("month").agg(F.sum("stockout_snapshots").alias("all_stockout_snapshots"))
-    return counts.join(totals, "month").withColumn(
+    """Share of each group in all stock-outs of its month; one row per month and group."""
+    total = F.sum("stockout_snapshots").over(Window.partitionBy("month"))
+    return counts.withColumn("all_stockout_snapshots", total).withColumn(
         "share_of_stockouts",
         F.coalesce(safe_ratio("stockout_snapshots", "all_stockout_snapshots"), F.lit(0.0)),
     )
@@ -137,9 +138,9 @@ def worst_warehouses(ops: Tables, pairs: DataFrame) -> DataFrame:
     Each warehouse-month takes part twice, as the later month of one pair and as the
     earlier month of the next.
     """
-    cells = ops["orders"].groupBy(month_key("order_date").alias("month"), "warehouse_id").agg(
+    cells = staged(ops["orders"].groupBy(month_key("order_date").alias("month"), "warehouse_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(is_fulfilled()).alias("hits")
-    )
+    ), "cells")
     zero = F.lit(0).cast("bigint")
     later = cells.join(pairs, F.col("month") == F.col("period_b")).select(
         "period_a", "period_b", "warehouse_id", zero.alias("n_a"), zero.alias("h_a"),
@@ -173,7 +174,7 @@ def evidence_facts(ops: Tables) -> DataFrame:
 
     All numbers are already formatted, because answers are checked against this text.
     """
-    pairs = period_pairs(ops)
+    pairs = staged(period_pairs(ops), "pairs")
     groups = worst_groups(stockout_by_sku_group(ops)).withColumnRenamed("month", "period_b")
     supplier = supplier_evidence(ops).select(
         F.col("supplier_id").cast("string").alias("segment"), "supplier_late_rate",

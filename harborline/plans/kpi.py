@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.functions import days_between, month_key, months_apart, safe_ratio
-from harborline.operators.joins import first_per_key
+from harborline.operators.joins import fact_join, first_per_key
 from harborline.operators.ordering import ntile_scaled
 from harborline.operators.storage import staged
 
@@ -99,7 +99,7 @@ def _processing_days() -> Column:
 
 def warehouse_ranking(ops: Tables) -> DataFrame:
     """Processing time and delay rate per warehouse over order-delivery pairs, ranked."""
-    pairs = ops["orders"].join(_delivery_totals(ops["deliveries"]), "order_id")
+    pairs = fact_join(ops["orders"], _delivery_totals(ops["deliveries"]), "order_id")
     rows = pairs.groupBy("warehouse_id").agg(
         F.sum("n_deliveries").alias("order_count"),
         _processing_days().alias("avg_processing_days"),
@@ -167,7 +167,7 @@ def inventory_turnover(ops: Tables) -> DataFrame:
         F.avg("quantity_on_hand").alias("avg_quantity_on_hand")
     )
     done = ops["orders"].filter(is_fulfilled()).select("order_id", "warehouse_id")
-    sales = ops["order_items"].join(done, "order_id").groupBy("product_id", "warehouse_id").agg(
+    sales = fact_join(ops["order_items"], done, "order_id").groupBy("product_id", "warehouse_id").agg(
         F.sum(F.col("quantity") * F.col("unit_price")).alias("sales_value"),
         F.sum("quantity").alias("units_sold"),
     )
@@ -220,7 +220,7 @@ def customer_rfm_base(ops: Tables) -> DataFrame:
     """Recency, frequency and monetary value of fulfilled orders for every customer."""
     done = ops["order_headers"].filter(is_fulfilled())
     latest = done.agg(F.max("order_date")).scalar()
-    per_customer = done.join(order_values(ops), "order_id", "left").groupBy("customer_id").agg(
+    per_customer = fact_join(done, order_values(ops), "order_id", "left").groupBy("customer_id").agg(
         F.max("order_date").alias("last_order"),
         F.count("order_id").alias("frequency"),
         F.sum("order_value").alias("monetary"),
@@ -284,9 +284,7 @@ def orders_enriched(ops: Tables) -> DataFrame:
     customers = ops["customers"].select("customer_id", "customer_name", "customer_segment")
     warehouses = ops["warehouses"].select("warehouse_id", "warehouse_name")
     return (
-        ops["orders"]
-        .join(items, "order_id", "left")
-        .join(shipped, "order_id", "left")
+        fact_join(fact_join(ops["orders"], items, "order_id", "left"), shipped, "order_id", "left")
         .join(customers, "customer_id")
         .join(warehouses, "warehouse_id")
         .select(
@@ -308,9 +306,10 @@ def monthly_kpis(ops: Tables) -> DataFrame:
     orders = ops["order_headers"].groupBy(month_key("order_date").alias("month")).agg(
         F.count(F.lit(1)).alias("order_count"), F.count_if(is_fulfilled()).alias("fulfilled_orders")
     )
-    sales = ops["order_headers"].filter(is_fulfilled()).join(order_values(ops), "order_id").groupBy(
-        month_key("order_date").alias("month")
-    ).agg(F.sum("order_value").alias("sales_value"))
+    done = ops["order_headers"].filter(is_fulfilled())
+    sales = fact_join(done, order_values(ops), "order_id").groupBy(month_key("order_date").alias("month")).agg(
+        F.sum("order_value").alias("sales_value")
+    )
     shipped = ops["deliveries"].groupBy(month_key("shipped_date").alias("month")).agg(
         F.count(F.lit(1)).alias("delivery_count"), F.count_if(on_time()).alias("on_time_deliveries")
     )
@@ -333,7 +332,7 @@ def warehouse_performance(ops: Tables) -> DataFrame:
     not in the denominator of the breach rate. An idle warehouse keeps one row with a
     null month, which is such a pair as well.
     """
-    pairs = ops["orders"].join(_delivery_totals(ops["deliveries"]), "order_id", "left")
+    pairs = fact_join(ops["orders"], _delivery_totals(ops["deliveries"]), "order_id", "left")
     known = F.coalesce("n_deliveries", F.lit(0))
     monthly = pairs.groupBy("warehouse_id", month_key("order_date").alias("month")).agg(
         F.sum(F.greatest(known, F.lit(1))).alias("order_count"),

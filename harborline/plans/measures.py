@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harborline.operators.storage import staged
+
 
 def measure(df: DataFrame, aggs: Mapping[str, Column], by: Sequence[str] = (),
             where: Column | None = None, within: tuple[DataFrame, str] | None = None) -> DataFrame:
@@ -25,6 +27,7 @@ def measure(df: DataFrame, aggs: Mapping[str, Column], by: Sequence[str] = (),
 
 def share_of(df: DataFrame, value: str, over: Sequence[str], out: str) -> DataFrame:
     """Share of a summed value after removing every filter but ``over``."""
+    df = staged(df, "shares")  # read twice
     totals = df.groupBy(*over).agg(F.sum(value).alias("_total"))
     if over:
         joined = df.join(totals, list(over))

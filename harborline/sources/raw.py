@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from harborline.contract import CONTRACT
 from harborline.operators.ordering import dense_index
+from harborline.operators.storage import staged
 from harborline.sources.tables import OpsTables
 
 LINE_ORDER = (
@@ -163,7 +164,9 @@ class RawTables(Mapping):
 
     def _inventory_snapshots(self) -> DataFrame:
         order = ("product_id", "supplier_id", "snapshot_date")
-        return dense_index(self.ops["inventory_snapshots"], order, "position").selectExpr(
+        # Staged, because a range partitioning reads its input twice.
+        snapshots = staged(self.ops["inventory_snapshots"], "snapshots")
+        return dense_index(snapshots, order, "position").selectExpr(
             "position + 2 AS source_row",
             "snapshot_id",
             "CAST(snapshot_date AS STRING) AS snapshot_date",

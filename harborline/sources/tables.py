@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from harborline.operators.joins import fact_join
+
 
 # Schemas already read from Parquet footers, by (session, path).
 _SCHEMAS: dict[tuple[str, str], StructType] = {}
@@ -132,7 +134,7 @@ class OpsTables(Mapping):
         lag = (F.col("last_line") + F.col("warehouse_id") % 4).cast("int")
         transit = F.col("most").cast("int") % 9 + 1
         done = F.col("order_status") == "fulfilled"
-        return self["orders"].join(shipped, "order_id").select(
+        return fact_join(self["orders"], shipped, "order_id").select(
             F.concat_ws("-", F.col("order_id").cast("string"), F.col("supplier_id").cast("string"))
             .alias("delivery_id"),
             "order_id",
