@@ -30,14 +30,6 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint; used where a plan must not be evaluated twice differently."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
-
-
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 

@@ -15,9 +15,6 @@ TUNING = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # HotSpot never compiles methods above 8000 bytes; a stage with wider generated code
-    # runs faster when its operators are generated one by one.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 
