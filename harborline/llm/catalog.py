@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import dedup, mixing, quality
+from harborline.llm import bpe, dedup, langid, mixing, quality, simhash, tokencount, warc
 from harborline.llm.frames import documents, table, tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +33,38 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op1_warc", """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+first AS (SELECT payload AS f, max(page_id) AS top FROM p WHERE octet_length(payload) >= 1000 GROUP BY payload)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN top IS DISTINCT FROM page_id AND top IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN top IS DISTINCT FROM page_id THEN top END AS refers_to
+FROM p LEFT JOIN first ON payload = f
+""")
+def warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """Write every page to dictionary-compressed archives and read them back."""
+    return warc.archive_round_trip(table(spark, folder, "pages"))
+
+
+@query("op2_language_id")
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document by Kneser-Ney character models."""
+    return langid.identified_documents(documents(spark, folder))
+
+
+@query("op3_token_counts")
+def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document, counted through a digest cache that starts empty."""
+    return tokencount.token_counts(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op4_simhash")
+def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    return simhash.near_duplicates(documents(spark, folder))
+
+
 @query("op6_mix_sources", r"""
 WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
@@ -61,6 +94,17 @@ def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_plan(documents(spark, folder))
 
 
+@query("op7_byte_bpe")
+def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document and the bytes they decode to, as digests."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encoded(documents(spark, folder).select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    both = bpe.decoded(ids.select("doc_id", "ids"), path)
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                       F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query("op9_quality")
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base rules and the log-likelihood ratio of every document."""

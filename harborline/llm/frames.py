@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.operators.storage import staged
 from harborline.session import tune
 
-__all__ = ["BLANK", "documents", "packed", "staged", "table", "text_of", "tuned", "unpacked", "words"]
+__all__ = ["BLANK", "documents", "packed", "sampled", "staged", "table", "text_of", "tuned", "unpacked", "words"]
 
+ROOT = str(Path(__file__).resolve().parents[2])
 BLANK = " \t\n\x0b\f\r"  # the bytes 0x20 and 0x09 to 0x0D
 
 
@@ -44,8 +48,22 @@ def words(text: Column) -> Column:
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+", -1))
 
 
+def sampled(df: DataFrame, rows: int, total: int, *keys: str) -> DataFrame:
+    """About ``rows`` of ``total`` rows, the same ones in every run: those whose hash of ``keys`` is low."""
+    if rows >= total:
+        return df
+    cut = int(rows / total * (1 << 62))
+    return df.filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 62)) < F.lit(cut))
+
+
 def tuned(spark: SparkSession) -> SparkSession:
-    """Session settings of the library, and small Arrow batches, since a row may hold a long text."""
+    """Session settings of the library, and small Arrow batches, since a row may hold a long text.
+
+    Workers look for the library where the driver found it, in case it is not installed there.
+    """
     spark = tune(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     return spark

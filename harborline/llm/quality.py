@@ -12,7 +12,7 @@ Everything runs as DataFrame functions. One pass counts: n-grams are summed per
 before the shuffle, which carries at most ``BUCKETS`` rows per task. A second pass scores:
 the weights (``BUCKETS`` rows, a constant) are broadcast, each document's words are
 exploded inside its task, and the partial sums leave it as one narrow row. The only ids
-that are broadcast are the ``TRUSTED_ROWS`` of the target sample.
+that are broadcast are those of the target sample, at most twice ``TRUSTED_ROWS``.
 
 Repeated five-word windows are found inside the row by sorting the windows' 64-bit hashes;
 two different windows of one text share a hash with a probability below 1e-9 for a
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.frames import packed, staged, text_of, unpacked, words
+from harborline.llm.frames import packed, sampled, staged, text_of, unpacked, words
 
 BUCKETS = 1 << 17
 TRUSTED_ROWS = 20_000
@@ -96,9 +96,9 @@ def _grams(df: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """At most ``rows`` ids labelled good and not toxic, chosen by the hash of the id."""
+    """About ``rows`` ids, at most twice as many, labelled good and not toxic, chosen by the hash of the id."""
     good = labels.filter("quality = 1 AND toxic = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"))
-    return good.distinct().orderBy(F.xxhash64("_id"), "_id").limit(rows)
+    return staged(sampled(good, rows, good.count(), "_id").distinct().limit(2 * rows), "trusted")
 
 
 def bucket_weights(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
