@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import bpe, dedup, langid, mixing, quality, simhash, tokencount, warc
+from harborline.llm import bpe, dedup, langid, licenses, mixing, pii, quality, simhash, tokencount, warc
 from harborline.llm.frames import documents, table, tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +66,12 @@ def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
 
+@query("op5_license_scan")
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Known licences that a whole document, or a whole line of it, consists of."""
+    return licenses.license_scan(documents(spark, folder), licenses.known_licenses(spark))
+
+
 @query("op6_mix_sources", r"""
 WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
@@ -105,6 +112,14 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op8_pii")
+def pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with pseudonyms for its personal data, and how many spans they replace."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = pii.pseudonymised(docs, out="clean").select("doc_id", F.col("clean").alias("text"), "spans")
+    return found.withColumn("n_spans", F.size("spans").cast("bigint"))
+
+
 @query("op9_quality")
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base rules and the log-likelihood ratio of every document."""
@@ -121,3 +136,9 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of equal texts and the document of each that stays."""
     return dedup.exact_groups(documents(spark, folder)).select(
         "doc_id", "keep_id", F.col("group_size"), "kept", "text_sha256")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, folder)
