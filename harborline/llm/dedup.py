@@ -17,7 +17,7 @@ empty table gives an empty result. Columns other than id and text play no part.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.llm.frames import packed, staged, text_of, unpacked
@@ -25,9 +25,14 @@ from harborline.llm.frames import packed, staged, text_of, unpacked
 KEY = ["hash", "exact"]
 
 
+def content_hash(text: Column) -> Column:
+    """The 128 bits that rows are grouped by first."""
+    return F.unhex(F.md5(text))
+
+
 def _collided(docs: DataFrame, id_column: str, text_column: str, repeated: DataFrame) -> DataFrame:
     """Hashes that stand for more than one text; practically always empty."""
-    texts = docs.select(F.unhex(F.md5(text_of(text_column))).alias("hash"), text_of(text_column).alias("t"))
+    texts = docs.select(content_hash(text_of(text_column)).alias("hash"), text_of(text_column).alias("t"))
     extremes = texts.join(repeated, "hash", "left_semi").groupBy("hash").agg(
         F.min("t").alias("low"), F.max("t").alias("high"))
     return staged(extremes.filter("low <> high").select("hash", F.lit(True).alias("collides")), "collided")
@@ -39,7 +44,7 @@ def _members(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     narrow = staged(
         docs.select(
             F.col(id_column).alias("id"),
-            F.unhex(F.md5(text)).alias("hash"),
+            content_hash(text).alias("hash"),
             F.unhex(F.sha2(text, 256)).alias("sha"),
             F.monotonically_increasing_id().alias("number"),
         ),

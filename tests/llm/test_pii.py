@@ -1,0 +1,85 @@
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from harborline.llm import pii
+
+KEY = b"test"
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64, 1000])
+def test_permutation(size):
+    p = pii.Permutation(KEY, "k", size)
+    made = [p(i) for i in range(size)]
+    assert sorted(made) == list(range(size))
+    assert [p(m, back=True) for m in made] == list(range(size))
+    assert size == 1 or all(m != i for i, m in enumerate(made))
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.integers(2, 10**40), st.data())
+def test_permutation_of_large_formats(size, data):
+    number = data.draw(st.integers(0, size - 1))
+    p = pii.Permutation(KEY, "k", size)
+    assert p(number) != number and p(p(number), back=True) == number
+
+
+CASES = {
+    "card": ["4845168114407329", "4845 1681 1440 7329", "3782-822463-10005"],
+    "iban": ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"],
+    "ssn": ["123-45-6789", "123 45 6789"],
+    "ip": ["97.51.17.173"],
+    "phone": ["+1 (487) 555-7209", "(487) 555-7209", "487-555-7209", "+49 30 1234567"],
+    "date": ["1985-03-12", "1985/03/12", "03/12/1985", "31.12.1999", "12 March 1985", "Mar 12, 1985", "MAY 1, 2001"],
+    "email": ["par.43@mail4.example.com", "Bob.X@e.org", "réê@a.fr"],
+    "secret": ['token = "908038b7daaf91e730d2f64001c52934d43d9336', "api_key: AbC123xyz890"],
+}
+
+
+@pytest.mark.parametrize("kind,value", [(k, v) for k, vs in CASES.items() for v in vs])
+def test_values_keep_their_format(kind, value):
+    text = f"before {value} after\n{value}."
+    made, spans = pii.pseudonymised_text(text, KEY)
+    assert [(k, text[s:e]) for k, s, e in spans] == [(kind, value)] * 2
+    assert value not in made and made.startswith("before ") and made.endswith(".")
+    new = made[len("before "):made.index(" after")]
+    assert made.count(new) == 2  # equal values stay linked
+    assert pii.pseudonymised_text(new, KEY)[1][0][0] == kind  # still valid in its format
+    if kind not in ("date", "email", "ip"):
+        assert re.sub(r"[0-9a-zA-Z]", "9", new) == re.sub(r"[0-9a-zA-Z]", "9", value)
+    assert pii.pseudonymised_text(text, b"other")[0] != made
+
+
+@pytest.mark.parametrize("text", [
+    "9807915762804490", "000-12-3456", "300.1.1.1", "2021-02-30", "1.2.3.4.5", "DE00 3704 0044 0532 0130 00", "page 12-13",
+    "in 1999 and 2021", "3.14159", "a@b", "@", "token = none", "version 10.2", "12345", "", "no digits here", "0" * 16])
+def test_what_does_not_validate_stays(text):
+    assert pii.pseudonymised_text(text, KEY) == (text, [])
+
+
+def test_layouts_of_one_value_stay_linked():
+    digits = lambda s: re.sub(r"\D", "", s)
+    made = [pii.pseudonymised_text(v, KEY)[0] for v in ("4845168114407329", "4845 1681 1440 7329")]
+    assert digits(made[0]) == digits(made[1])
+    iso, us = (pii.pseudonymised_text(v, KEY)[0] for v in ("1985-03-12", "03/12/1985"))
+    assert iso == f"{us[6:]}-{us[:2]}-{us[3:5]}"
+
+
+def test_frames(docs):
+    rows = [(1, "mail a1@b.org"), (2, None), (3, ""), (None, "mail a1@b.org"), (5, "x" * 300_000 + " 97.51.17.173 " + "1" * 300_000)]
+    df = docs(rows).withColumns({"_made": F.lit(1), "_spans": F.lit(2), "kind": F.lit(3)})
+    out = pii.pseudonymised(df, KEY)
+    assert out.columns == [*df.columns, "pseudonymised", "spans"]
+    got = {(r.doc_id): (r.pseudonymised, len(r.spans)) for r in out.collect()}
+    assert got[1] == got[None] and got[1][1] == 1 and got[1][0] != rows[0][1]
+    assert got[2] == (None, 0) and got[3] == ("", 0) and got[5][1] == 1
+    assert pii.pseudonymised(df.limit(0)).count() == 0
+
+
+def test_clean_documents_stay(texts):
+    for _, text, _ in texts:
+        made, spans = pii.pseudonymised_text(text, KEY)
+        assert (made == text) == (not spans)
