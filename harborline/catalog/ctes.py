@@ -82,4 +82,4 @@ SELECT event_id AS ticket_id, user_id AS customer_id, CAST(ts AS DATE) AS ticket
        event_type AS issue_type,
        CASE WHEN value >= 100 THEN 'high' WHEN value >= 30 THEN 'medium' ELSE 'low' END AS priority,
        CASE WHEN event_id % 8 = 0 THEN 'open' ELSE 'resolved' END AS resolution_status
-FROM events WHERE event_type IN ('error', 'signup', 'click')""")
+FROM events""")

@@ -173,9 +173,7 @@ class OpsTables(Mapping):
         )
 
     def _support_tickets(self) -> DataFrame:
-        return self.source("events").filter(
-            F.col("event_type").isin("error", "signup", "click")
-        ).select(
+        return self.source("events").select(
             F.col("event_id").alias("ticket_id"),
             F.col("user_id").alias("customer_id"),
             F.col("ts").cast("date").alias("ticket_date"),
