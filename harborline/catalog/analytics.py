@@ -211,7 +211,7 @@ def effective_k(ops):
 @query("k16_customer_segments")
 def customer_segments(ops):
     """k-means segments with churn risk."""
-    return segments.customer_segments(ops, restarts=3)
+    return segments.customer_segments(ops)
 
 
 @query("k17_cluster_labels", with_ctes("""

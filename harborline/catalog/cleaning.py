@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from harborline.catalog import raw_ctes  # noqa: F401  (defines the SQL tables)
 from harborline.catalog.ctes import with_ctes
 from harborline.catalog.registry import query, rounded
-from harborline.contract import CONTRACT
+from harborline.contract import CASCADING_PARENT, CONTRACT
 from harborline.functions import strip
 from harborline.operators import clean
 from harborline.sources.raw import RawTables
@@ -59,39 +59,51 @@ for _name in CONTRACT:
     query(f"c15_rejected_{_name}", with_ctes(_rejected_sql(_name)))(_rejected_plan(_name))
 
 
-def _reason_plan(prefix: str, names: tuple[str, ...]):
+def _reason_plan(chosen: dict[str, list[str]]):
     def plan(ops):
+        # The tables and their ancestors are judged once and written, not again for every child.
+        needed = {name for child in chosen for name in ANCESTRY[child]}
+        everything = clean.judge(RawTables(ops).only(*needed), stage=True)
         parts = [
-            judged(ops, name).select(F.lit(name).alias("table"), "source_row", F.explode("reasons").alias("reason"))
-            .filter(F.col("reason").startswith(prefix))
-            for name in names
+            everything[name].select(F.lit(name).alias("table"), "source_row", F.explode("reasons").alias("reason"))
+            .filter(F.col("reason").isin(*reasons))
+            for name, reasons in chosen.items()
         ]
         return reduce(DataFrame.union, parts)
 
     return plan
 
 
-def _reason_sql(prefix: str, names: tuple[str, ...]) -> str:
-    parts = " UNION ALL ".join(
-        f"SELECT '{name}' AS \"table\", source_row, unnest(string_split(reject_reason, '; ')) AS reason "
-        f"FROM judged_{name} WHERE reject_reason <> ''" for name in names
+def _reason_sql(chosen: dict[str, list[str]]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", source_row, reason "
+        f"FROM (SELECT source_row, unnest(string_split(reject_reason, '; ')) AS reason "
+        f"FROM judged_{name} WHERE reject_reason <> '') AS r WHERE reason IN ({', '.join(map(repr, reasons))})"
+        for name, reasons in chosen.items()
     )
-    return f"SELECT * FROM ({parts}) AS r WHERE starts_with(reason, '{prefix}')"
-
-
-for _key, _prefix, _names in (
-    ("c02_numeric_coercion", "invalid_type:", ("warehouses", "order_items")),
-    ("c03_boolean_coercion", "invalid_type:", ("deliveries", "inventory_snapshots")),
-    ("c04_date_coercion", "invalid_type:", ("customers", "orders")),
-    ("c07_required_null", "null_required:", ("suppliers", "orders", "order_items")),
-    ("c09_negative_value", "negative_value:", ("products", "order_items", "inventory_snapshots")),
-    ("c10_delivered_before_shipped", "delivered_before_shipped", ("deliveries",)),
-    ("c11_duplicate_after_first", "duplicate_primary_key:", ("orders", "order_items")),
-    ("c12_orphan_foreign_key", "orphan_foreign_key:",
-     ("products", "orders", "order_items", "deliveries", "inventory_snapshots", "support_tickets")),
-    ("c13_cascade", "cascade_parent_order_rejected", ("order_items", "deliveries")),
+
+
+def _reasons(of) -> dict[str, list[str]]:
+    """The reasons that ``of`` gives for each table, tables without any left out."""
+    return {name: found for name, table in CONTRACT.items() if (found := of(table))}
+
+
+def _kinds(*kinds: str):
+    return lambda t: [f"invalid_type:{f.name}" for f in t.fields if f.kind in kinds]
+
+
+for _key, _of in (
+    ("c02_numeric_coercion", _kinds("integer", "number")),
+    ("c03_boolean_coercion", _kinds("boolean")),
+    ("c04_date_coercion", _kinds("date")),
+    ("c07_required_null", lambda t: [f"null_required:{f.name}" for f in t.fields if not f.optional]),
+    ("c09_negative_value", lambda t: [f"negative_value:{c}" for c in t.non_negative]),
+    ("c10_delivered_before_shipped", lambda t: ["delivered_before_shipped"] if t.ordered_dates else []),
+    ("c11_duplicate_after_first", lambda t: [f"duplicate_primary_key:{t.key}"]),
+    ("c12_orphan_foreign_key", lambda t: [f"orphan_foreign_key:{c}" for c in t.parents]),
+    ("c13_cascade", lambda t: ["cascade_parent_order_rejected"] if CASCADING_PARENT in t.parents.values() else []),
 ):
-    query(_key, with_ctes(_reason_sql(_prefix, _names)))(_reason_plan(_prefix, _names))
+    query(_key, with_ctes(_reason_sql(_reasons(_of))))(_reason_plan(_reasons(_of)))
 
 
 @query("c01_trimmed_text", with_ctes("""

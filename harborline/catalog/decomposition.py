@@ -11,7 +11,16 @@ from harborline.functions.dates import in_month
 from harborline.operators.storage import staged
 from harborline.plans import decompose
 
-PERIOD_A, PERIOD_B = "2001-06", "2001-07"
+# The two latest observed months, in SQL.
+define("periods", """
+SELECT MIN(m) AS period_a, MAX(m) AS period_b
+FROM (SELECT DISTINCT strftime(order_date, '%Y-%m') AS m FROM ops_orders ORDER BY m DESC LIMIT 2) AS latest""")
+SQL_A, SQL_B = "(SELECT period_a FROM periods)", "(SELECT period_b FROM periods)"
+
+
+def periods(ops) -> tuple[str, str]:
+    """The two latest observed months of the orders."""
+    return tuple(decompose.latest_two_months(ops["order_headers"]).first())
 
 define("order_facts", """
 SELECT o.order_id, o.order_date, o.order_status = 'fulfilled' AS fulfilled, o.warehouse_id,
@@ -32,9 +41,9 @@ define("overall", f"""
 SELECT total_a, total_b, hits_a, hits_b, CAST(hits_a AS DOUBLE) / total_a AS value_a,
        CAST(hits_b AS DOUBLE) / total_b AS value_b,
        CAST(hits_b AS DOUBLE) / total_b - CAST(hits_a AS DOUBLE) / total_a AS change
-FROM (SELECT COUNT(*) FILTER (WHERE m = '{PERIOD_A}') AS total_a, COUNT(*) FILTER (WHERE m = '{PERIOD_B}') AS total_b,
-             COUNT(*) FILTER (WHERE m = '{PERIOD_A}' AND fulfilled) AS hits_a,
-             COUNT(*) FILTER (WHERE m = '{PERIOD_B}' AND fulfilled) AS hits_b
+FROM (SELECT COUNT(*) FILTER (WHERE m = {SQL_A}) AS total_a, COUNT(*) FILTER (WHERE m = {SQL_B}) AS total_b,
+             COUNT(*) FILTER (WHERE m = {SQL_A} AND fulfilled) AS hits_a,
+             COUNT(*) FILTER (WHERE m = {SQL_B} AND fulfilled) AS hits_b
       FROM (SELECT *, strftime(order_date, '%Y-%m') AS m FROM order_facts) AS f) AS c""")
 _COUNTS = " UNION ALL ".join(
     f"SELECT '{d}' AS dimension, {d} AS segment, strftime(order_date, '%Y-%m') AS m, fulfilled FROM order_facts"
@@ -55,11 +64,11 @@ FROM (
            n_b / total_b * COALESCE(h_b / NULLIF(n_b, 0), 0) - n_a / total_a * COALESCE(h_a / NULLIF(n_a, 0), 0)
                AS contribution,
            COALESCE((n_b - h_b) / NULLIF(total_b - hits_b, 0), 0) AS share
-    FROM (SELECT dimension, segment, CAST(COUNT(*) FILTER (WHERE m = '{PERIOD_A}') AS DOUBLE) AS n_a,
-                 CAST(COUNT(*) FILTER (WHERE m = '{PERIOD_B}') AS DOUBLE) AS n_b,
-                 CAST(COUNT(*) FILTER (WHERE m = '{PERIOD_A}' AND fulfilled) AS DOUBLE) AS h_a,
-                 CAST(COUNT(*) FILTER (WHERE m = '{PERIOD_B}' AND fulfilled) AS DOUBLE) AS h_b
-          FROM ({_COUNTS}) AS u WHERE m IN ('{PERIOD_A}', '{PERIOD_B}') GROUP BY 1, 2) AS c, overall AS o
+    FROM (SELECT dimension, segment, CAST(COUNT(*) FILTER (WHERE m = {SQL_A}) AS DOUBLE) AS n_a,
+                 CAST(COUNT(*) FILTER (WHERE m = {SQL_B}) AS DOUBLE) AS n_b,
+                 CAST(COUNT(*) FILTER (WHERE m = {SQL_A} AND fulfilled) AS DOUBLE) AS h_a,
+                 CAST(COUNT(*) FILTER (WHERE m = {SQL_B} AND fulfilled) AS DOUBLE) AS h_b
+          FROM ({_COUNTS}) AS u WHERE m IN ({SQL_A}, {SQL_B}) GROUP BY 1, 2) AS c, overall AS o
 ) AS r""")
 
 NUMBERS = ("rate_a", "rate_b", "contribution", "contribution_pp", "share_of_drop", "rate_vs_overall",
@@ -67,7 +76,7 @@ NUMBERS = ("rate_a", "rate_b", "contribution", "contribution_pp", "share_of_drop
 
 
 def factors(ops):
-    return decompose.decompose_months(ops, PERIOD_A, PERIOD_B)
+    return decompose.decompose_months(ops, *periods(ops))
 
 
 @query("l01_order_facts", with_ctes("SELECT * FROM order_facts"))
@@ -80,7 +89,7 @@ def order_facts(ops):
 def period_rates(ops):
     """Totals and rates of both months."""
     facts = ops["order_headers"].withColumn("fulfilled", F.col("order_status") == "fulfilled")
-    return decompose.overall_rates(facts, in_month("order_date", PERIOD_A), in_month("order_date", PERIOD_B))
+    return decompose.overall_rates(facts, *(in_month("order_date", p) for p in periods(ops)))
 
 
 @query("l03_contribution", with_ctes(rounded("SELECT * FROM factors", NUMBERS)))
@@ -131,7 +140,7 @@ FROM factors, overall GROUP BY 1""", ("contribution", "share_of_drop", "change")
 def additivity(ops):
     """Contributions of each dimension add up to the change."""
     facts = ops["order_headers"].withColumn("fulfilled", F.col("order_status") == "fulfilled")
-    overall = decompose.overall_rates(facts, in_month("order_date", PERIOD_A), in_month("order_date", PERIOD_B))
+    overall = decompose.overall_rates(facts, *(in_month("order_date", p) for p in periods(ops)))
     return decompose.additivity(factors(ops)).withColumn("change", overall.select("change").scalar())
 
 
@@ -144,7 +153,7 @@ def latest_two_months(ops):
 
 
 @query("a12_flattened_report", with_ctes(rounded(f"""
-SELECT 'fulfilment' AS kpi, '{PERIOD_A}' AS period_a, '{PERIOD_B}' AS period_b, value_a, value_b, change,
+SELECT 'fulfilment' AS kpi, {SQL_A} AS period_a, {SQL_B} AS period_b, value_a, value_b, change,
        dimension, segment, rate_a, rate_b, orders_a, orders_b, contribution_pp, share_of_drop, rate_vs_overall,
        share_of_unfulfilled, p_value, dimension_rank, overall_rank
 FROM factors, overall WHERE dimension_rank <= 3""",
@@ -154,8 +163,9 @@ def flattened_report(ops):
     """The nested report written as JSON, read back and flattened."""
     from harborline.sources import reports
 
-    facts = staged(decompose.order_facts(
-        ops, in_month("order_date", PERIOD_A) | in_month("order_date", PERIOD_B)), "facts")
-    overall = decompose.overall_rates(facts, in_month("order_date", PERIOD_A), in_month("order_date", PERIOD_B))
-    nested = decompose.report(factors(ops), overall, PERIOD_A, PERIOD_B)
+    months = periods(ops)
+    a, b = (in_month("order_date", p) for p in months)
+    facts = staged(decompose.order_facts(ops, a | b), "facts")
+    overall = decompose.overall_rates(facts, a, b)
+    nested = decompose.report(decompose.decompose_months(ops, *months), overall, *months)
     return reports.flatten_report(reports.round_trip(nested))

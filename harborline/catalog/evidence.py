@@ -9,7 +9,11 @@ from harborline.catalog.ctes import define, with_ctes
 from harborline.catalog.registry import query, rounded
 from harborline.plans import evidence
 
-PERIOD = decomposition.PERIOD_B
+PERIOD = decomposition.SQL_B  # alerts look at the latest month
+
+
+def latest(ops) -> str:
+    return decomposition.periods(ops)[1]
 
 
 def percent_sql(value: str, digits: int) -> str:
@@ -48,19 +52,19 @@ FROM kpi_stockout AS s""")
 
 
 @query("m03_stockout_evidence", with_ctes(rounded(
-    f"SELECT * EXCLUDE (place) FROM group_shares WHERE place = 1 AND month = '{PERIOD}'",
+    f"SELECT * EXCLUDE (place) FROM group_shares WHERE place = 1 AND month = {PERIOD}",
     ("stockout_rate", "share_of_stockouts"))))
 def stockout_evidence(ops):
     """The SKU group with the highest stock-out rate of the month."""
-    return evidence.stockout_evidence(ops, PERIOD)
+    return evidence.stockout_evidence(ops, latest(ops))
 
 
 def fulfilment_alert_sql(limit: float) -> str:
     return f"""
-SELECT 'low_fulfilment' AS alert_type, '{PERIOD}' AS period, 'all' AS key, value, {limit}::DOUBLE AS threshold,
-       'Fulfilment of {PERIOD} was ' || {percent_sql("value", 1)} || ', under the limit of {limit:.0%}.' AS message
+SELECT 'low_fulfilment' AS alert_type, {PERIOD} AS period, 'all' AS key, value, {limit}::DOUBLE AS threshold,
+       'Fulfilment of ' || {PERIOD} || ' was ' || {percent_sql("value", 1)} || ', under the limit of {limit:.0%}.' AS message
 FROM (SELECT CAST(COUNT(*) FILTER (WHERE order_status = 'fulfilled') AS DOUBLE) / COUNT(*) AS value
-      FROM ops_orders WHERE strftime(order_date, '%Y-%m') = '{PERIOD}') AS r WHERE value < {limit}"""
+      FROM ops_orders WHERE strftime(order_date, '%Y-%m') = {PERIOD}) AS r WHERE value < {limit}"""
 
 
 def supplier_alert_sql(limit: float) -> str:
@@ -74,10 +78,10 @@ FROM kpi_supplier WHERE difference_from_average > {limit}"""
 
 def stockout_alert_sql(limit: float) -> str:
     return f"""
-SELECT 'high_stockout_rate' AS alert_type, '{PERIOD}' AS period, sku_group AS key, stockout_rate AS value,
+SELECT 'high_stockout_rate' AS alert_type, {PERIOD} AS period, sku_group AS key, stockout_rate AS value,
        {limit}::DOUBLE AS threshold, 'SKU group ' || sku_group || ' was out of stock in '
-           || {percent_sql("stockout_rate", 1)} || ' of snapshots of {PERIOD}, over {limit:.0%}.' AS message
-FROM kpi_stockout WHERE month = '{PERIOD}' AND stockout_rate > {limit}"""
+           || {percent_sql("stockout_rate", 1)} || ' of snapshots of ' || {PERIOD} || ', over {limit:.0%}.' AS message
+FROM kpi_stockout WHERE month = {PERIOD} AND stockout_rate > {limit}"""
 
 
 # The test data is even, so the supplier and stock-out limits are lowered to get alerts.
@@ -85,15 +89,15 @@ LIMITS = {"low": 0.90, "gap": 0.01, "stockout": 0.05}
 VALUES = ("value", "threshold")
 
 query("m04_fulfilment_alert", with_ctes(rounded(fulfilment_alert_sql(LIMITS["low"]), VALUES)))(
-    lambda ops: evidence.fulfilment_alert(ops, PERIOD, LIMITS["low"]))
+    lambda ops: evidence.fulfilment_alert(ops, latest(ops), LIMITS["low"]))
 query("m05_supplier_alerts", with_ctes(rounded(supplier_alert_sql(LIMITS["gap"]), VALUES)))(
     lambda ops: evidence.supplier_alerts(ops, LIMITS["gap"]))
 query("m06_stockout_alerts", with_ctes(rounded(stockout_alert_sql(LIMITS["stockout"]), VALUES)))(
-    lambda ops: evidence.stockout_alerts(ops, PERIOD, LIMITS["stockout"]))
+    lambda ops: evidence.stockout_alerts(ops, latest(ops), LIMITS["stockout"]))
 query("m07_alerts", with_ctes(rounded(" UNION ALL ".join((
     fulfilment_alert_sql(evidence.LOW_FULFILMENT), supplier_alert_sql(evidence.SUPPLIER_GAP),
     stockout_alert_sql(evidence.HIGH_STOCKOUT))), VALUES)))(
-    lambda ops: evidence.alerts(ops, PERIOD))
+    lambda ops: evidence.alerts(ops, latest(ops)))
 
 define("period_pairs", """
 SELECT * FROM (

@@ -100,12 +100,12 @@ def scalar_subquery(ops):
 
 @query("e09_two_period_union", with_ctes(f"""
 SELECT COALESCE(a.warehouse_id, b.warehouse_id) AS warehouse_id, COALESCE(a.n, 0) AS orders_a, COALESCE(b.n, 0) AS orders_b
-FROM (SELECT warehouse_id, COUNT(*) AS n FROM ops_orders WHERE strftime(order_date, '%Y-%m') = '{decomposition.PERIOD_A}' GROUP BY 1) AS a
-FULL JOIN (SELECT warehouse_id, COUNT(*) AS n FROM ops_orders WHERE strftime(order_date, '%Y-%m') = '{decomposition.PERIOD_B}' GROUP BY 1) AS b
+FROM (SELECT warehouse_id, COUNT(*) AS n FROM ops_orders WHERE strftime(order_date, '%Y-%m') = {decomposition.SQL_A} GROUP BY 1) AS a
+FULL JOIN (SELECT warehouse_id, COUNT(*) AS n FROM ops_orders WHERE strftime(order_date, '%Y-%m') = {decomposition.SQL_B} GROUP BY 1) AS b
 ON a.warehouse_id = b.warehouse_id"""))
 def two_period_union(ops):
     """Keys of either period with the counts of both, without a join."""
-    a, b = (in_month("order_date", p) for p in (decomposition.PERIOD_A, decomposition.PERIOD_B))
+    a, b = (in_month("order_date", p) for p in decomposition.periods(ops))
     return ops["orders"].filter(a | b).groupBy("warehouse_id").agg(
         F.count_if(a).alias("orders_a"), F.count_if(b).alias("orders_b"))
 

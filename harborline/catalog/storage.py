@@ -5,7 +5,6 @@ Files are written below the session's shared folder and read back.
 
 from __future__ import annotations
 
-from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -63,15 +62,6 @@ def null_tokens(ops):
     return read.groupBy(bundle.null_tokens_as_null("token")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("a03_missing_files", "SELECT name AS \"table\", 'missing_file' AS code, CAST(1 AS BIGINT) AS count FROM (VALUES "
-       + ", ".join(f"('{n}')" for n in CONTRACT if n != "support_tickets") + ") AS t(name)")
-def missing_files(ops):
-    """Contract tables without a file in a bundle that holds the tickets only."""
-    folder, _ = written_as_csv(RawTables(ops)["support_tickets"], "support_tickets", "source_row")
-    found = bundle.read_bundle(ops.spark, folder)
-    return bundle.missing_files(ops.spark, found).select("table", "code", "count")
-
-
 @query("a04_source_position", "SELECT event_id, event_id + 2 AS source_row FROM events")
 def source_position(ops):
     """Line numbers of rows read from many files."""
@@ -81,7 +71,7 @@ def source_position(ops):
         F.col("event_id").cast("bigint").alias("event_id"), "source_row")
 
 
-SINK_TABLES = ("suppliers", "products")
+SINK_TABLES = tuple(CONTRACT)
 
 
 @query("a05_clean_and_rejected_sinks", with_ctes(" UNION ALL ".join(
@@ -156,7 +146,7 @@ def star_relations(ops) -> dict[str, DataFrame]:
     feats = staged(features.order_features(ops), "features")
     return {
         **{name: plan(ops) for name, plan in VIEWS.items()},
-        "customer_segments": segments.customer_segments(ops, restarts=2),
+        "customer_segments": segments.customer_segments(ops),
         "anomalies": features.anomalies(feats),
         "order_features": feats,
         "stat_tests": features.statistical_tests(feats, ops["deliveries"], analytics.WAREHOUSE),
@@ -184,7 +174,7 @@ STAR_SQL = {
 def star_export(ops):
     """Rows read back from the exported star; anomalies have no SQL counterpart and are left out."""
     folder = shared_path(ops.spark, "star")
-    a, b = decomposition.PERIOD_A, decomposition.PERIOD_B
+    a, b = decomposition.periods(ops)
     top = decompose.top_factors(decompose.decompose_months(ops, a, b))
     overall = decompose.overall_rates(
         ops["order_headers"].withColumn("fulfilled", kpi.is_fulfilled()),
@@ -199,23 +189,38 @@ def star_export(ops):
     return reduce(DataFrame.union, parts)
 
 
-@query("a13_a14_audit_log", with_ctes("""
-SELECT 'run' AS run_id, 'load' AS step, 'completed' AS status, (SELECT COUNT(*) FROM ops_orders) AS rows_processed
-UNION ALL SELECT 'run', 'deliver', 'failed', (SELECT COUNT(*) FROM ops_deliveries)
-UNION ALL SELECT 'run', 'report', 'skipped', 0"""))
-def audit_log(ops):
-    """Entries appended twice; the last one of each step counts and later steps are skipped."""
-    path = shared_path(ops.spark, "audit")
-    steps = ("load", "deliver", "report")
-    t = [datetime(2026, 1, 1, 0, minute) for minute in range(5)]
-    n_orders, n_deliveries = ops["order_headers"].count(), ops["deliveries"].count()
-    sinks.append_audit(sinks.audit_rows(
-        ops.spark, "run", [("load", "running", t[0], t[0], 0, ""), ("deliver", "running", t[1], t[1], 0, "")], steps), path)
-    sinks.append_audit(sinks.audit_rows(
-        ops.spark, "run", [("load", "completed", t[0], t[2], n_orders, "done"),
-                           ("deliver", "failed", t[1], t[3], n_deliveries, "no space")], steps), path)
-    return sinks.latest_audit(sinks.read_audit(ops.spark, path)).select(
-        "run_id", "step", "status", "rows_processed")
+_ENTRY = """event_id, CAST(user_id AS VARCHAR) AS run_id, event_type AS step,
+       CASE WHEN value >= 100 THEN 'failed' WHEN value >= 30 THEN 'completed' ELSE 'running' END AS status, ts"""
+
+
+@query("a13_appended_log", f"""
+SELECT run_id, step, status, COUNT(*) AS entries FROM (SELECT {_ENTRY} FROM events) AS e GROUP BY 1, 2, 3""")
+def appended_log(ops):
+    """All events written as log entries in two appends, then counted."""
+    return log_of_events(ops).groupBy("run_id", "step", "status").agg(F.count(F.lit(1)).alias("entries"))
+
+
+@query("a14_latest_state", f"""
+SELECT run_id, step, arg_max(status, (ts, event_id)) AS status, COUNT(*) AS entries
+FROM (SELECT {_ENTRY} FROM events) AS e GROUP BY 1, 2""")
+def latest_state(ops):
+    """The last entry of every run and step."""
+    log = log_of_events(ops).groupBy("run_id", "step").agg(
+        F.max_by("status", F.struct("ts", "event_id")).alias("status"), F.count(F.lit(1)).alias("entries"))
+    return log
+
+
+def log_of_events(ops) -> DataFrame:
+    """A log with one entry per event: the events of the first half of the month, then the others."""
+    entries = ops.source("events").select(
+        "event_id", F.col("user_id").cast("string").alias("run_id"), F.col("event_type").alias("step"),
+        F.when(F.col("value") >= 100, "failed").when(F.col("value") >= 30, "completed").otherwise("running")
+        .alias("status"), "ts")
+    path = shared_path(ops.spark, "log")
+    early = F.dayofmonth("ts") <= 15
+    for part in (entries.filter(early), entries.filter(~early | F.col("ts").isNull())):
+        part.write.mode("append").parquet(path)
+    return ops.spark.read.schema(entries.schema).parquet(path)
 
 
 @query("a15_registered_views", with_ctes(rounded("""

@@ -33,8 +33,9 @@ def effective_k(df: DataFrame, columns: Sequence[str], k: int) -> int:
     return distinct.limit(k).count()
 
 
-def kmeans_clusters(df: DataFrame, columns: Sequence[str], k: int, seed: int = 42, restarts: int = 10) -> DataFrame:
-    """Add ``cluster_id`` of the best of several k-means runs.
+def kmeans_clusters(df: DataFrame, columns: Sequence[str], k: int, seed: int = 42, restarts: int = 10,
+                    iterations: int = 300) -> DataFrame:
+    """Add ``cluster_id`` of the best of ``restarts`` k-means runs of at most ``iterations`` steps each.
 
     ``df`` should be stored; every run reads it several times. An empty frame gets a
     null cluster.
@@ -50,7 +51,7 @@ def kmeans_clusters(df: DataFrame, columns: Sequence[str], k: int, seed: int = 4
     points.persist()
     try:
         models = [
-            KMeans(k=used, seed=seed + i, featuresCol="_point", predictionCol="cluster_id").fit(points)
+            KMeans(k=used, seed=seed + i, maxIter=iterations, featuresCol="_point", predictionCol="cluster_id").fit(points)
             for i in range(restarts)
         ]
     finally:

@@ -48,25 +48,30 @@ def dense_index(df: DataFrame, order: Sequence[str | Column], out: str) -> DataF
 def ntile_scaled(df: DataFrame, key: str, n: int, measures: Mapping[str, Column]) -> DataFrame:
     """``NTILE(n)`` for several orders at once; ``key`` must be unique.
 
-    ``measures`` maps an output name to a numeric column sorted ascending, ties by
-    ``key``. All orders share one range shuffle of narrow (order, value, key) rows;
-    the only thing taken from it are the ``n - 1`` rows that open a new tile in each
-    order. Every row then finds its tile by comparing itself with those rows.
+    ``measures`` maps an output name to a column sorted ascending, ties by ``key``; values
+    are compared in their own type. All orders share one range shuffle of narrow rows (the
+    order, one value column per order of which only its own is filled, the key); the
+    only thing taken from it are the ``n - 1`` rows that open a new tile in each order.
+    Every row then finds its tile by comparing itself with those rows.
     """
     names = list(measures)
     if n < 1:
         raise ValueError("n must be at least 1")
     if n == 1:
         return df.withColumns({name: F.lit(1) for name in names})
-    value = {name: measures[name].cast("decimal(38,6)") for name in names}
+    types = dict(df.select(*[measures[name].alias(name) for name in names]).dtypes)
+    slots = [f"_value{i}" for i in range(len(names))]
     entries = F.array(*[
-        F.struct(F.lit(i).alias("_order"), value[name].alias("_value"))
+        F.struct(F.lit(i).alias("_order"), *[
+            (measures[own] if own == name else F.lit(None).cast(types[own])).alias(slot)
+            for own, slot in zip(names, slots)
+        ])
         for i, name in enumerate(names)
     ])
-    narrow = df.select(F.col(key).alias("_key"), F.inline(entries))
+    order = ["_order", *slots, "_key"]
+    narrow = staged(df.select(F.col(key).alias("_key"), F.inline(entries)), "tiles")
     placed = staged(
-        narrow.repartitionByRange("_order", "_value", "_key")
-        .sortWithinPartitions("_order", "_value", "_key")
+        narrow.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_id", _ROW_BITS)),
         "ordered",
@@ -74,20 +79,20 @@ def ntile_scaled(df: DataFrame, key: str, n: int, measures: Mapping[str, Column]
     total = placed.agg((F.count(F.lit(1)) / len(names)).cast("long").alias("t")).scalar()
     position = F.col("_before") + F.col("_id") % F.lit(1 << _ROW_BITS)
     spread = _with_offsets(placed, "_part", F.lit(1)).select(
-        "_order", "_value", "_key", (position - F.col("_order") * total).alias("_at"), total.alias("_n")
+        *order, (position - F.col("_order") * total).alias("_at"), total.alias("_n")
     )
     # Tiles are as equal as possible and the larger ones come first.
     base, extra = F.floor(F.col("_n") / n), F.col("_n") % n
     cuts = [base * t + F.least(extra, F.lit(t)) for t in range(1, n)]
-    opening = F.struct("_value", "_key")
     bounds = spread.agg(*[
-        F.max(F.when((F.col("_order") == i) & (F.col("_at") == cut), opening)).alias(f"{name}_{t}")
+        F.max(F.when((F.col("_order") == i) & (F.col("_at") == cut), F.struct(F.col(slots[i]).alias("_value"), "_key")))
+        .alias(f"{name}_{t}")
         for i, name in enumerate(names)
         for t, cut in enumerate(cuts, start=1)
     ])
     out = df.withColumn("_bounds", bounds.select(F.struct(*bounds.columns)).scalar())
     for name in names:
-        own = F.struct(value[name].alias("_value"), F.col(key).alias("_key"))
+        own = F.struct(measures[name].alias("_value"), F.col(key).alias("_key"))
         passed = [
             F.when(own >= F.col(f"_bounds.{name}_{t}"), 1).otherwise(0) for t in range(1, n)
         ]
@@ -109,9 +114,8 @@ def hist_rank(df: DataFrame, value: str, weights: Mapping[str, Column], bounded:
     if bounded:
         ranked = histogram.withColumn("_upto", F.sum("rows").over(Window.orderBy(value)))
     else:
-        placed = staged(
-            histogram.repartitionByRange(value).withColumn("_part", F.spark_partition_id()), "histogram"
-        )
+        stored = staged(histogram, "histogram")  # its range bounds are sampled, which reads it twice
+        placed = staged(stored.repartitionByRange(value).withColumn("_part", F.spark_partition_id()), "ordered")
         inside = F.sum("rows").over(Window.partitionBy("_part").orderBy(value))
         ranked = _with_offsets(placed, "_part", F.col("rows")).withColumn(
             "_upto", F.col("_before") + inside
@@ -120,3 +124,18 @@ def hist_rank(df: DataFrame, value: str, weights: Mapping[str, Column], bounded:
         *histogram.columns,
         (F.col("_upto") - (F.col("rows") - 1) / F.lit(2.0)).alias("avg_rank"),
     )
+
+
+def exact_quantile(df: DataFrame, value: str, share: float) -> DataFrame:
+    """The quantile with linear interpolation between neighbours, as one row ``quantile``; null without values.
+
+    Read off the range-partitioned histogram, so neither the number of rows nor that of
+    distinct values meets in one task.
+    """
+    ranks = staged(hist_rank(df.select(value), value, {}).select(
+        value, (F.col("avg_rank") + (F.col("rows") - 1) / 2).alias("_upto")), "ranks")
+    at = ranks.agg((share * (F.max("_upto") - 1)).alias("p")).scalar()
+    low = ranks.filter(F.col("_upto") >= F.floor(at) + 1).agg(F.min(value)).scalar()
+    high = ranks.filter(F.col("_upto") >= F.ceil(at) + 1).agg(F.min(value)).scalar()
+    return ranks.limit(1).agg(F.count(F.lit(1)).alias("n")).select(
+        (low + (high - low) * (at - F.floor(at))).alias("quantile"))

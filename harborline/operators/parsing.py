@@ -13,7 +13,8 @@ from __future__ import annotations
 from harborline.functions.text import CASED_RUNS, WHITESPACE
 
 NUMBER_TEXT = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-DATE_TEXT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T].*)?$"
+_TIME = "[0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?"
+DATE_TEXT = f"^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([ T]{_TIME})?$"
 
 _RUNS = CASED_RUNS.replace("\\", "\\\\")
 _BLANKS = "".join(f"\\u{ord(c):04x}" for c in WHITESPACE)
@@ -43,7 +44,7 @@ def boolean_sql(text: str) -> str:
 
 
 def date_sql(text: str) -> str:
-    return f"CASE WHEN {text} RLIKE '{DATE_TEXT}' THEN try_cast({text} AS DATE) END"
+    return f"CASE WHEN {text} RLIKE '{DATE_TEXT}' THEN try_cast(left({text}, 10) AS DATE) END"
 
 
 def parsed_sql(text: str, kind: str) -> str:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.functions import month_key, safe_ratio, two_proportion_p
@@ -23,7 +23,7 @@ Tables = Mapping[str, DataFrame]
 
 DIMENSIONS = ("warehouse", "supplier", "sku_group", "region")
 TOP_PER_DIMENSION = 3
-WINDOW_ROWS = 1_000_000
+# Names of the published factor columns.
 FACTOR_COLUMNS = (
     "dimension", "segment", "rate_a", "rate_b", "orders_a", "orders_b", "contribution",
     "contribution_pp", "share_of_drop", "rate_vs_overall", "share_of_unfulfilled",
@@ -147,23 +147,17 @@ def ranked(rows: DataFrame) -> DataFrame:
 
     Contributions are compared after rounding to twelve decimals, so that equal ones
     tie in spite of floating-point noise. Overall, factors of different dimensions
-    compete although their contributions must not be added. Up to ``WINDOW_ROWS``
-    factors are ranked in windows, more of them by range-partitioned positions.
+    compete although their contributions must not be added. Both ranks are positions in
+    a range-partitioned order, for any number of factors.
     """
     rows = staged(rows.withColumn("_worst", F.round("contribution", 12)), "factors")
-    if rows.count() <= WINDOW_ROWS:
-        inside = Window.partitionBy("dimension").orderBy("_worst", "segment")
-        overall = Window.orderBy("_worst", "dimension", "segment")
-        return rows.withColumn("dimension_rank", F.row_number().over(inside)).withColumn(
-            "overall_rank", F.row_number().over(overall)
-        )
     placed = dense_index(rows, ["dimension", "_worst", "segment"], "_at")
     # One row per dimension.
     starts = placed.groupBy("dimension").agg(F.min("_at").alias("_start"))
-    placed = placed.join(F.broadcast(starts), "dimension").withColumn(
+    inside = placed.join(F.broadcast(starts), "dimension").withColumn(
         "dimension_rank", F.col("_at") - F.col("_start") + 1
     ).drop("_at", "_start")
-    return dense_index(placed, ["_worst", "dimension", "segment"], "_at").withColumn(
+    return dense_index(staged(inside, "ranked"), ["_worst", "dimension", "segment"], "_at").withColumn(
         "overall_rank", F.col("_at") + 1
     )
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 # Adaptive execution re-plans joins from measured shuffle sizes and splits skewed
 # join partitions; the forced form also splits them when that costs one more
@@ -21,31 +20,17 @@ TUNING = {
 
 INPUT_PER_PARTITION = 64 << 20  # compressed Parquet bytes behind one shuffle partition
 
-_INPUT_BYTES: dict[tuple[str, str], int] = {}
 
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """A value for ``spark.sql.shuffle.partitions`` when a session for an input of known size is built."""
+    return max(cores, -(-input_bytes // INPUT_PER_PARTITION))
 
-def input_bytes(spark: SparkSession, folder: str) -> int:
-    """Size of all files below a folder, from the file listing alone."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _INPUT_BYTES:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-        _INPUT_BYTES[key] = files.agg(F.sum("length")).first()[0] or 0
-    return _INPUT_BYTES[key]
 
-
-def tune(spark: SparkSession, folder: str | None = None) -> SparkSession:
-    """Apply the runtime settings to an existing session.
-
-    With the input folder, the number of shuffle partitions adaptive execution starts
-    from is raised in step with the input; it merges those that turn out small.
-    """
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to an existing session; its number of shuffle partitions stays."""
     for name, value in TUNING.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
-    if folder is not None:
-        wanted = input_bytes(spark, folder) // INPUT_PER_PARTITION
-        if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-            spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return spark
 
 

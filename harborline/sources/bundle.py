@@ -22,12 +22,13 @@ NULL_TOKENS = (
 def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """All columns of a CSV file or folder as text, in the order of its header.
 
-    Quotes are doubled inside quoted values. ``multiline`` allows line breaks inside
-    values, which keeps a file from being split.
+    Quotes are doubled inside quoted values. Files whose header differs in names or order are
+    refused. ``multiline`` allows line breaks inside values, which keeps a file from
+    being split.
     """
     return (
         spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-        .option("mode", "FAILFAST").csv(path)
+        .option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
     )
 
 
