@@ -70,7 +70,8 @@ FROM (SELECT CAST(COUNT(*) FILTER (WHERE order_status = 'fulfilled') AS DOUBLE)
 def supplier_alert_sql(limit: float) -> str:
     return f"""
 SELECT 'supplier_late_rate' AS alert_type, CAST(NULL AS VARCHAR) AS period, CAST(supplier_id AS VARCHAR) AS key,
-       supplier_late_rate AS value, {limit}::DOUBLE AS threshold,
+       supplier_late_rate AS value, {limit}::DOUBLE AS threshold, supplier_name,
+       average_supplier_late_rate AS average, difference_from_average AS gap,
        supplier_name || ' delivered late in ' || {percent_sql("supplier_late_rate", 1)} || ' of cases, '
            || {percent_sql("difference_from_average", 1)} || ' over the mean of all suppliers.' AS message
 FROM kpi_supplier WHERE difference_from_average > {limit}"""
@@ -79,7 +80,7 @@ FROM kpi_supplier WHERE difference_from_average > {limit}"""
 def stockout_alert_sql(limit: float) -> str:
     return f"""
 SELECT 'high_stockout_rate' AS alert_type, {PERIOD} AS period, sku_group AS key, stockout_rate AS value,
-       {limit}::DOUBLE AS threshold, 'SKU group ' || sku_group || ' was out of stock in '
+       {limit}::DOUBLE AS threshold, stockout_snapshots, snapshot_count, 'SKU group ' || sku_group || ' was out of stock in '
            || {percent_sql("stockout_rate", 1)} || ' of snapshots of ' || {PERIOD} || ', over {limit:.0%}.' AS message
 FROM kpi_stockout WHERE month = {PERIOD} AND stockout_rate > {limit}"""
 
@@ -87,16 +88,17 @@ FROM kpi_stockout WHERE month = {PERIOD} AND stockout_rate > {limit}"""
 # The test data is even, so the supplier and stock-out limits are lowered to get alerts.
 LIMITS = {"low": 0.90, "gap": 0.01, "stockout": 0.05}
 VALUES = ("value", "threshold")
+WIDE = (*VALUES, "average", "gap")
 
 query("m04_fulfilment_alert", with_ctes(rounded(fulfilment_alert_sql(LIMITS["low"]), VALUES)))(
     lambda ops: evidence.fulfilment_alert(ops, latest(ops), LIMITS["low"]))
-query("m05_supplier_alerts", with_ctes(rounded(supplier_alert_sql(LIMITS["gap"]), VALUES)))(
+query("m05_supplier_alerts", with_ctes(rounded(supplier_alert_sql(LIMITS["gap"]), WIDE)))(
     lambda ops: evidence.supplier_alerts(ops, LIMITS["gap"]))
 query("m06_stockout_alerts", with_ctes(rounded(stockout_alert_sql(LIMITS["stockout"]), VALUES)))(
     lambda ops: evidence.stockout_alerts(ops, latest(ops), LIMITS["stockout"]))
-query("m07_alerts", with_ctes(rounded(" UNION ALL ".join((
+query("m07_alerts", with_ctes(rounded(" UNION ALL BY NAME ".join((
     fulfilment_alert_sql(evidence.LOW_FULFILMENT), supplier_alert_sql(evidence.SUPPLIER_GAP),
-    stockout_alert_sql(evidence.HIGH_STOCKOUT))), VALUES)))(
+    stockout_alert_sql(evidence.HIGH_STOCKOUT))), WIDE)))(
     lambda ops: evidence.alerts(ops, latest(ops)))
 
 define("period_pairs", """

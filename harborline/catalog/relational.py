@@ -26,7 +26,7 @@ SELECT s.supplier_name, COUNT(*) AS deliveries FROM ops_deliveries AS d
 JOIN ops_suppliers AS s ON s.supplier_id = d.supplier_id GROUP BY 1"""))
 def fact_to_dimension(ops):
     """Inner join of a fact with a dimension, reduced per key first."""
-    counts = ops["deliveries"].groupBy("supplier_id").agg(F.count(F.lit(1)).alias("deliveries"))
+    counts = ops["supplier_marks"].groupBy("supplier_id").agg(F.count(F.lit(1)).alias("deliveries"))
     return counts.join(ops["suppliers"], "supplier_id").groupBy("supplier_name").agg(
         F.sum("deliveries").alias("deliveries"))
 
@@ -36,7 +36,7 @@ SELECT o.order_id, o.order_status, i.product_id, i.quantity FROM ops_orders AS o
 JOIN ops_order_items AS i ON i.order_id = o.order_id"""))
 def fact_to_fact(ops):
     """Inner join of two facts; one order has many items."""
-    return ops["order_headers"].select("order_id", "order_status").join(ops["order_items"], "order_id").select(
+    return ops["order_headers"].select("order_id", "order_status").join(ops["order_lines"], "order_id").select(
         "order_id", "order_status", "product_id", "quantity")
 
 
@@ -53,7 +53,7 @@ SELECT o.order_id, COALESCE(i.units, 0) AS units FROM ops_orders AS o LEFT JOIN
     SELECT order_id, CAST(SUM(quantity) AS BIGINT) AS units FROM ops_order_items GROUP BY 1) AS i ON i.order_id = o.order_id"""))
 def left_to_aggregate(ops):
     """Left join to a side reduced to one row per key."""
-    units = ops["order_items"].groupBy("order_id").agg(F.sum("quantity").alias("units"))
+    units = ops["order_lines"].groupBy("order_id").agg(F.sum("quantity").alias("units"))
     return ops["order_headers"].select("order_id").join(units, "order_id", "left").select(
         "order_id", F.coalesce("units", F.lit(0)).alias("units"))
 
@@ -164,7 +164,7 @@ SELECT product_id, CAST(SUM(quantity) AS BIGINT) AS total, AVG(quantity) AS mean
        MAX(quantity) AS most FROM ops_order_items GROUP BY 1""", ("mean",))))
 def basic_aggregates(ops):
     """Sum, mean, least and most."""
-    return ops["order_items"].groupBy("product_id").agg(
+    return ops["order_lines"].groupBy("product_id").agg(
         F.sum("quantity").alias("total"), F.avg("quantity").alias("mean"), F.min("quantity").alias("least"),
         F.max("quantity").alias("most"))
 
@@ -173,7 +173,7 @@ def basic_aggregates(ops):
 SELECT supplier_id, COUNT(DISTINCT order_id) AS orders FROM ops_deliveries GROUP BY 1"""))
 def count_distinct(ops):
     """Exact distinct count."""
-    return ops["deliveries"].groupBy("supplier_id").agg(F.count_distinct("order_id").alias("orders"))
+    return ops["supplier_marks"].groupBy("supplier_id").agg(F.count_distinct("order_id").alias("orders"))
 
 
 @query("f05_distinct", with_ctes("SELECT DISTINCT customer_id, strftime(order_date, '%Y-%m') AS month FROM ops_orders"))
@@ -196,7 +196,7 @@ def global_aggregate(ops):
     "SELECT supplier_id, AVG(CAST(supplier_late AS INT)) AS late_rate FROM ops_deliveries GROUP BY 1", ("late_rate",))))
 def mean_of_flag(ops):
     """Mean of a boolean per key."""
-    return ops["deliveries"].groupBy("supplier_id").agg(mean_of("supplier_late").alias("late_rate"))
+    return ops["supplier_marks"].groupBy("supplier_id").agg(mean_of("supplier_late").alias("late_rate"))
 
 
 @query("f08_two_level", with_ctes(rounded("""
@@ -235,7 +235,7 @@ SELECT order_id, sku_group FROM (
     FROM ops_order_items AS i JOIN ops_products AS p ON p.product_id = i.product_id GROUP BY 1, 2) AS n WHERE rn = 1"""))
 def mode_per_key(ops):
     """Most frequent SKU group of each order, ties by name."""
-    lines = ops["order_items"].select("order_id", "product_id").join(
+    lines = ops["order_lines"].select("order_id", "product_id").join(
         ops["products"].select("product_id", "sku_group"), "product_id")
     return joins.mode_per_key(lines, ["order_id"], "sku_group")
 
@@ -252,13 +252,13 @@ def first_per_key(ops):
 @query("f13_least_key", with_ctes("SELECT order_id, MIN(supplier_id) AS supplier_id FROM ops_deliveries GROUP BY 1"))
 def least_key(ops):
     """Least supplier of each order."""
-    return ops["deliveries"].groupBy("order_id").agg(F.min("supplier_id").alias("supplier_id"))
+    return ops["supplier_marks"].groupBy("order_id").agg(F.min("supplier_id").alias("supplier_id"))
 
 
 @query("f14_contingency", with_ctes("SELECT * FROM chi_cells"))
 def contingency_table(ops):
     """Supplier against late delivery, in long form."""
-    return contingency(ops["deliveries"], "supplier_id", "supplier_late")
+    return contingency(ops["supplier_marks"], "supplier_id", "supplier_late")
 
 
 @query("f15_rows_per_key", with_ctes("SELECT customer_id, COUNT(*) AS size FROM ops_support_tickets GROUP BY 1"))
@@ -319,7 +319,7 @@ SELECT supplier_id, n, AVG(n) OVER () AS mean FROM (
     SELECT supplier_id, COUNT(*) AS n FROM ops_deliveries GROUP BY 1) AS s""", ("mean",))))
 def mean_over_all(ops):
     """Group value beside the mean of all groups."""
-    per = ops["deliveries"].groupBy("supplier_id").agg(F.count(F.lit(1)).alias("n"))
+    per = ops["supplier_marks"].groupBy("supplier_id").agg(F.count(F.lit(1)).alias("n"))
     return per.withColumn("mean", per.agg(F.avg("n")).scalar())
 
 
@@ -445,7 +445,7 @@ def union_by_name(ops):
 SELECT order_id FROM ops_orders EXCEPT SELECT order_id FROM ops_order_items"""))
 def set_difference(ops):
     """Orders without items."""
-    return ops["order_headers"].select("order_id").join(ops["order_items"], "order_id", "left_anti").distinct()
+    return ops["order_headers"].select("order_id").join(ops["order_lines"], "order_id", "left_anti").distinct()
 
 
 @query("i03_token_difference", """

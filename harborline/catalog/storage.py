@@ -149,7 +149,7 @@ def star_relations(ops) -> dict[str, DataFrame]:
         "customer_segments": segments.customer_segments(ops),
         "anomalies": features.anomalies(feats),
         "order_features": feats,
-        "stat_tests": features.statistical_tests(feats, ops["deliveries"], analytics.WAREHOUSE),
+        "stat_tests": features.statistical_tests(feats, ops["supplier_marks"], analytics.WAREHOUSE),
         "dim_date": calendar_of(ops["order_headers"], "order_date"),
         "warehouses": ops["warehouses"],
         "suppliers": ops["suppliers"],

@@ -120,6 +120,18 @@ def published_tables(ops):
     return tables
 
 
+LACKING = {name: [c for c in CONTRACT[name].columns if c not in columns.split()] for name, (_, columns) in PUBLISHED.items()}
+
+
+@query("b01_missing_columns", " UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", 'missing_column' AS code, 'reject' AS severity, CAST({len(columns)} AS BIGINT) AS count,
+        'required columns are missing: {", ".join(columns)}' AS message""" for name, columns in LACKING.items() if columns))
+def missing_columns(ops):
+    """Contract columns that the operational tables do not have, from their schemas."""
+    return validate.missing_columns(ops.spark, published_tables(ops)).select(
+        "table", "code", "severity", "count", "message")
+
+
 @query("b13_published_constraints", with_ctes(_published_sql()))
 def published_constraints(ops):
     """Rows that break each constraint of the published layer."""

@@ -51,8 +51,9 @@ def signed_text(value, digits: int) -> Column:
     return F.concat(sign, F.format_string(f"%.{digits}f", F.abs(F.bround(value, digits))))
 
 
-# A number not glued to a preceding Latin letter: optional sign, plain or
-# comma-grouped digits, optional decimals.
+# Fixed value: the numbers an audit must find, which has to agree with the audited product. A number
+# is not glued to a preceding Latin letter: optional sign, plain or comma-grouped digits,
+# optional decimals. Java spells the class of all decimal digits \p{Nd}.
 NUMBER_PATTERN = r"((?<![A-Za-z])[-+]?(?:\p{Nd}{1,3}(?:,\p{Nd}{3})+|\p{Nd}+)(?:\.\p{Nd}+)?)"
 
 

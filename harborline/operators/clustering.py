@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborline.operators.joins import with_scalar
+from harborline.operators.joins import repeated_keys, with_scalar
 from harborline.operators.storage import staged
 
 
@@ -89,7 +91,15 @@ def label_clusters(df: DataFrame, cluster: str = "cluster_id") -> DataFrame:
 
 
 def rfm_segments(rfm: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10) -> DataFrame:
-    """Cluster customers by standardised RFM (recency negated) and label the clusters."""
+    """Cluster customers by standardised RFM (recency negated) and label the clusters.
+
+    Customers that repeat, and missing values, are refused.
+    """
+    needed = ["customer_id", "recency_days", "frequency", "monetary"]
+    if not repeated_keys(rfm, ["customer_id"]).isEmpty():
+        raise ValueError("customers repeat a customer_id")
+    if not rfm.filter(reduce(or_, [F.col(c).isNull() for c in needed])).isEmpty():
+        raise ValueError("customers have missing values")
     scaled = standardise(rfm, {
         "scaled_recency": -F.col("recency_days"),
         "scaled_frequency": F.col("frequency").cast("double"),

@@ -19,7 +19,6 @@ from harborline.operators.joins import repeated_keys
 from harborline.operators.parsing import date_sql, number_sql, parsed_sql, strip_sql, title_sql
 
 SAMPLE_ROWS = 10
-BLOCK_ROWS = 1024
 
 SEVERITY = {
     "missing_file": REJECT,
@@ -104,7 +103,10 @@ def table_violations(table: Table, frame: DataFrame, tables: Mapping[str, DataFr
             continue
         if parent in tables and CONTRACT[parent].key in tables[parent].columns:
             referred = tables[parent].select(F.col(CONTRACT[parent].key).alias(column)).distinct()
-            orphans = frame.filter(F.col(column).isNotNull()).join(referred, column, "left_anti")
+            # Keys are compared before rows: a parent lacks few of the distinct keys of its children.
+            given = frame.filter(F.col(column).isNotNull()).select(column, "data_row")
+            lacking = given.select(column).distinct().join(referred, column, "left_anti")
+            orphans = given.join(lacking, column, "left_semi")
             parts.append(_labelled(orphans, table.name, "foreign_key_not_found", column))
     return parts
 
@@ -125,25 +127,17 @@ FINDING = ("table string, code string, severity string, column string, count big
 
 
 def aggregate_violations(violations: DataFrame) -> DataFrame:
-    """Findings out of violations, which are read once.
+    """Findings out of violations, which are read twice.
 
-    Violations are first reduced to blocks of neighbouring rows, mostly before the
-    shuffle, each with its count and at most ``BLOCK_ROWS`` row numbers. The first ten
-    rows of a finding lie in its first ten blocks, so a rule that most rows break needs
-    no more than those.
+    Counts are partial sums per rule. Row numbers are ranked inside their rule and cut to the
+    first ones; Spark applies that limit in each task before the shuffle too, so a task sends
+    at most ten rows per rule however many break it.
     """
     rule = ["table", "code", "column"]
-    blocks = violations.groupBy(*rule, F.floor(F.col("data_row") / BLOCK_ROWS).alias("block")).agg(
-        F.count(F.lit(1)).alias("rows"), F.sort_array(F.collect_list("data_row")).alias("row_numbers")
-    )
-    totals = blocks.groupBy(*rule).agg(F.sum("rows").alias("count"))
-    rank = F.row_number().over(Window.partitionBy(*rule).orderBy("block"))
-    samples = (
-        blocks.select(*rule, "block", F.slice("row_numbers", 1, SAMPLE_ROWS).alias("row_numbers"))
-        .withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_ROWS)
-        .groupBy(*rule).agg(F.flatten(F.collect_list("row_numbers")).alias("row_numbers"))
-        .select(*rule, F.slice(F.sort_array("row_numbers"), 1, SAMPLE_ROWS).alias("sample_rows"))
-    )
+    totals = violations.groupBy(*rule).agg(F.count(F.lit(1)).alias("count"))
+    rank = F.row_number().over(Window.partitionBy(*rule).orderBy("data_row"))
+    samples = violations.select(*rule, "data_row", rank.alias("rank")).filter(F.col("rank") <= SAMPLE_ROWS)
+    samples = samples.groupBy(*rule).agg(F.sort_array(F.collect_list("data_row")).alias("sample_rows"))
     severity = " ".join(f"WHEN '{code}' THEN '{level}'" for code, level in SEVERITY.items())
     message = " ".join(f"WHEN '{code}' THEN '{text}'" for code, text in MESSAGE.items())
     return totals.join(samples, rule).selectExpr(

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from harborline.functions import month_key, safe_ratio, two_proportion_p
 from harborline.functions.dates import in_month, month_bounds
-from harborline.operators.joins import fact_join, mode_per_key, with_scalar
+from harborline.operators.joins import fact_join, mode_per_key, repeated_keys, with_scalar
 from harborline.operators.ordering import dense_index
 from harborline.operators.storage import staged
-from harborline.plans.kpi import is_fulfilled
+from harborline.plans.kpi import is_fulfilled, order_lines, supplier_marks
 
 Tables = Mapping[str, DataFrame]
 
@@ -38,8 +38,8 @@ def order_facts(ops: Tables, when: Column | None = None) -> DataFrame:
     frequent one among the lines, ties to the least. ``when`` limits the orders before
     anything is joined.
     """
-    orders, deliveries = ops["orders"], ops["deliveries"].select("order_id", "supplier_id")
-    lines = ops["order_items"].select("order_id", "product_id")
+    orders, deliveries = ops["orders"], supplier_marks(ops).select("order_id", "supplier_id")
+    lines = order_lines(ops).select("order_id", "product_id")
     if when is not None:
         orders = orders.filter(when)
         chosen = ops["order_headers"].filter(when).select("order_id")
@@ -170,6 +170,8 @@ def decompose_months(ops: Tables, period_a: str, period_b: str) -> DataFrame:
     for month, rows in zip((period_a, period_b), facts.agg(F.count_if(a), F.count_if(b)).first()):
         if not rows:
             raise ValueError(f"no orders in {month}")
+    if not repeated_keys(facts, ["order_id"]).isEmpty():
+        raise ValueError("orders repeat an order_id")
     # Whether region renames warehouse is a property of all orders.
     places = ops["orders"].select("warehouse_id").distinct().join(
         ops["warehouses"].select("warehouse_id", F.coalesce("region", F.lit("Unknown")).alias("region")),

@@ -20,6 +20,7 @@ LOW_FULFILMENT = 0.90
 SUPPLIER_GAP = 0.10
 HIGH_STOCKOUT = 0.20
 
+# Headings a written answer must have.
 HEADINGS = ("Finding:", "Evidence:", "Recommendation:")
 
 
@@ -61,7 +62,9 @@ def worst_groups(counts: DataFrame) -> DataFrame:
 
 
 def stockout_evidence(ops: Tables, period: str) -> DataFrame:
-    """The worst SKU group of one month with its share of all stock-outs."""
+    """The worst SKU group of one month with its share of all stock-outs; a month without snapshots is refused."""
+    if ops["inventory_snapshots"].filter(in_month("snapshot_date", period)).isEmpty():
+        raise ValueError(f"no snapshots in {period}")
     return worst_groups(stockouts_in(ops, period))
 
 
@@ -90,6 +93,9 @@ def supplier_alerts(ops: Tables, limit: float = SUPPLIER_GAP) -> DataFrame:
         F.col("supplier_id").cast("string").alias("key"),
         F.col("supplier_late_rate").alias("value"),
         F.lit(limit).alias("threshold"),
+        "supplier_name",
+        F.col("average_supplier_late_rate").alias("average"),
+        gap.alias("gap"),
         F.concat(F.col("supplier_name"), F.lit(" delivered late in "), percent_text("supplier_late_rate", 1),
                  F.lit(" of cases, "), percent_text(gap, 1), F.lit(" over the mean of all suppliers."))
         .alias("message"),
@@ -104,6 +110,7 @@ def stockout_alerts(ops: Tables, period: str, limit: float = HIGH_STOCKOUT) -> D
         F.col("sku_group").alias("key"),
         F.col("stockout_rate").alias("value"),
         F.lit(limit).alias("threshold"),
+        "stockout_snapshots", "snapshot_count",
         F.concat(F.lit("SKU group "), F.col("sku_group"), F.lit(" was out of stock in "),
                  percent_text("stockout_rate", 1), F.lit(f" of snapshots of {period}, over {limit:.0%}."))
         .alias("message"),
@@ -112,11 +119,18 @@ def stockout_alerts(ops: Tables, period: str, limit: float = HIGH_STOCKOUT) -> D
 
 def alerts(ops: Tables, period: str, low: float = LOW_FULFILMENT, gap: float = SUPPLIER_GAP,
            stockout: float = HIGH_STOCKOUT) -> DataFrame:
-    """All alerts of one month."""
+    """All alerts of one month; columns that only one kind has are null for the others.
+
+    A month without orders or without snapshots is refused.
+    """
     month_bounds(period)
-    return fulfilment_alert(ops, period, low).unionByName(supplier_alerts(ops, gap)).unionByName(
-        stockout_alerts(ops, period, stockout)
-    )
+    for table, day, what in (("order_headers", "order_date", "orders"),
+                             ("inventory_snapshots", "snapshot_date", "snapshots")):
+        if ops[table].filter(in_month(day, period)).isEmpty():
+            raise ValueError(f"no {what} in {period}")
+    return fulfilment_alert(ops, period, low).unionByName(
+        supplier_alerts(ops, gap), allowMissingColumns=True
+    ).unionByName(stockout_alerts(ops, period, stockout), allowMissingColumns=True)
 
 
 def period_pairs(ops: Tables) -> DataFrame:

@@ -41,8 +41,9 @@ def with_row_position(df: DataFrame, out: str = "source_row", first: int = 2) ->
     """Number the rows of a file scan in file order, over all files in order of their names.
 
     ``df`` must read files directly. Rows of one split have consecutive ids, whatever
-    task reads them; the sizes of the preceding splits come from one row per split. The
-    numbered scan is written to the shared folder, so the files are parsed once.
+    task reads them. What goes before a split is looked up by the partition in the high bits of the
+    id, from a frame with one row per partition, which is small against the scan and never
+    shuffles it. The numbered scan is written to the shared folder, so the files are parsed once.
     """
     columns = [F.col(f"`{c}`") for c in df.columns]
     split = ["_path", "_start"]
@@ -50,11 +51,16 @@ def with_row_position(df: DataFrame, out: str = "source_row", first: int = 2) ->
         *columns, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_id"),
     ), "scan")
-    sizes = placed.groupBy(*split).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    before = F.sum("_rows").over(Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = staged(sizes.select(*split, "_first", F.coalesce(before, F.lit(0)).alias("_before")), "splits")
-    return placed.join(offsets, split).select(
-        *columns, (F.col("_before") + F.col("_id") - F.col("_first") + first).alias(out)
+    part = F.shiftright("_id", 33)
+    sizes = placed.groupBy(*split).agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(
+        Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    entry = F.struct(F.col("_id").alias("first"), (before - F.col("_id")).alias("shift"))
+    starts = sizes.select(part.alias("_part"), entry.alias("entry")).groupBy("_part").agg(
+        F.sort_array(F.collect_list("entry")).alias("_starts"))
+    own = F.element_at(F.filter("_starts", lambda e: e["first"] <= F.col("_id")), -1)
+    return placed.withColumn("_part", part).join(F.broadcast(starts), "_part").select(
+        *columns, (F.col("_id") + own["shift"] + first).alias(out)
     )
 
 

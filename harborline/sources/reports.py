@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from harborline.operators.storage import shared_path
 
+# Names of the published header columns.
 HEADER = ("kpi", "period_a", "period_b", "value_a", "value_b", "change")
 
 _FACTOR = T.StructType([

@@ -25,7 +25,7 @@ class OpsTables(Mapping):
 
     NAMES = (
         "warehouses", "suppliers", "products", "customers", "orders", "order_headers",
-        "order_items", "deliveries", "inventory_snapshots", "support_tickets",
+        "order_lines", "supplier_marks", "order_items", "deliveries", "inventory_snapshots", "support_tickets",
     )
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -114,13 +114,24 @@ class OpsTables(Mapping):
             "order_id", "customer_id", "warehouse_id", "employee_id", "order_date", "order_status"
         )
 
-    def _order_items(self) -> DataFrame:
-        price = self["products"].select("product_id", "unit_price")
+    def _order_lines(self) -> DataFrame:
+        """Order items without the price, for plans that never look at it."""
         return self.source("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
-        ).join(price, "product_id").select("order_id", "product_id", "quantity", "unit_price")
+        )
+
+    def _order_items(self) -> DataFrame:
+        price = self["products"].select("product_id", "unit_price")
+        return self["order_lines"].join(price, "product_id").select(
+            "order_id", "product_id", "quantity", "unit_price")
+
+    def _supplier_marks(self) -> DataFrame:
+        """Deliveries with supplier and lateness only, for plans that need neither place nor dates."""
+        return self.source("lineitem").groupBy(
+            F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("supplier_id")
+        ).agg(F.max(F.col("l_returnflag") == "R").alias("supplier_late"))
 
     def _deliveries(self) -> DataFrame:
         # Reduced before the join: an order has at most one row per supplier here.

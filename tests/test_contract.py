@@ -234,3 +234,21 @@ def test_audit_log(spark, tmp_path):
     assert last == {"validate": ("completed", 5), "clean": ("failed", 0), "load": ("skipped", 0)}
     with pytest.raises(ValueError):
         sinks.audit_rows(spark, "r1", [("other", "failed", t[0], t[0], 0, "")], steps)
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    """Columns are never taken by position from a file that names them in another order."""
+    os.makedirs(tmp_path / "t.csv")
+    (tmp_path / "t.csv" / "part-0.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "t.csv" / "part-1.csv").write_text("b,a\n2,1\n")
+    with pytest.raises(Exception, match="header"):
+        bundle.read_csv_text(spark, str(tmp_path / "t.csv")).collect()
+
+
+def test_numbering_does_not_shuffle_the_scan(spark, tmp_path):
+    path = str(tmp_path / "rows.csv")
+    bundle.write_csv(spark.range(0, 300, 1, 3).selectExpr("id"), path)
+    df = bundle.with_row_position(bundle.read_csv_text(spark, path))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

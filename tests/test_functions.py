@@ -1,4 +1,5 @@
 import math
+from datetime import date
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -31,10 +32,10 @@ def test_strip_and_title_match_python(spark, texts):
 
 
 def test_erfc_matches_math(spark):
-    zs = [i / 10 for i in range(0, 50)]
+    zs = [i / 10 for i in range(0, 120)] + [2.4999, 2.5, 20.0]
     rows = spark.createDataFrame([(z,) for z in zs], "z double").select("z", fn.erfc("z").alias("e")).collect()
     for r in rows:
-        assert r.e == pytest.approx(math.erfc(r.z), rel=2e-7, abs=1e-12)
+        assert r.e == pytest.approx(math.erfc(r.z), rel=2e-11)
 
 
 @pytest.mark.parametrize("x,k,p", [
@@ -46,6 +47,17 @@ def test_chi2_tail(spark, x, k, p):
     assert one(spark, fn.chi2_sf(F.lit(x), F.lit(k))) == pytest.approx(p, abs=1e-6)
 
 
+@pytest.mark.parametrize("k", [9_999, 10_000, 1_000_001])
+def test_chi2_tail_of_many_degrees(spark, k):
+    """Near the mean the tail follows the cube-root normal approximation; far out it is 0 or 1."""
+    for shift in (-1.5, 0.0, 2.0):
+        x = k + shift * math.sqrt(2 * k)
+        z = ((x / k) ** (1 / 3) - (1 - 2 / (9 * k))) / math.sqrt(2 / (9 * k))
+        assert one(spark, fn.chi2_sf(F.lit(x), F.lit(k))) == pytest.approx(math.erfc(z / math.sqrt(2)) / 2, abs=1e-5)
+    assert one(spark, fn.chi2_sf(F.lit(float(3 * k)), F.lit(k))) == pytest.approx(0.0, abs=1e-12)
+    assert one(spark, fn.chi2_sf(F.lit(k / 3), F.lit(k))) == pytest.approx(1.0, abs=1e-6)
+
+
 def test_two_proportion(spark):
     assert one(spark, fn.two_proportion_p(F.lit(0), F.lit(0), F.lit(1), F.lit(2))) == 1.0
     assert one(spark, fn.two_proportion_p(F.lit(3), F.lit(3), F.lit(2), F.lit(2))) == 1.0
@@ -78,7 +90,9 @@ def test_ratio_and_clip(spark):
     ("12", "integer", 12), ("12.0", "integer", 12), ("12.5", "integer", None), ("1d", "number", None),
     ("1e3", "number", 1000.0), ("-.5", "number", -0.5), ("NaN", "number", None), ("TRUE", "boolean", True),
     ("yes", "boolean", None), ("1", "boolean", None), ("2024-1-5", "date", None), ("2024-02-30", "date", None),
-    ("2024", "date", None),
+    ("2024", "date", None), ("2025-01-05 garbage", "date", None), ("2025-01-05Tzz", "date", None),
+    ("2025-01-05 ", "date", None), ("2025-01-05 25", "date", None), ("2025-01-05", "date", date(2025, 1, 5)),
+    ("2025-01-05T10:20:30.5Z", "date", date(2025, 1, 5)), ("2025-01-05 10:20", "date", date(2025, 1, 5)),
 ])
 def test_parsers(spark, text, kind, value):
     assert spark.createDataFrame([(text,)], "t string").select(

@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -12,6 +13,7 @@ from harborline.operators import joins, ordering
 from harborline.operators.clustering import kmeans_clusters, label_clusters, rfm_segments
 from harborline.operators.forest import average_path, isolation_forest
 from harborline.operators.hypothesis import chi_square, exact_u_p, mann_whitney
+from harborline.operators.ordering import exact_quantile, ntile_scaled
 
 QUICK = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -68,7 +70,7 @@ def brute_u(a, b):
 def test_mann_whitney_exact(frame):
     a, b = [10, 11, 12, 13], [1, 2, 3, 4]
     df = frame("v double, a boolean", [(float(x), True) for x in a] + [(float(x), False) for x in b])
-    row = mann_whitney(df, "v", F.col("a")).first()
+    row = mann_whitney(df, "v", F.col("a"), method="exact").first()
     assert row["u"] == 16 and row["cliffs_delta"] == 1.0
     assert row["p_value"] == pytest.approx(2 / math.comb(8, 4))
 
@@ -162,3 +164,50 @@ def test_kmeans_limits_clusters(frame):
     assert kmeans_clusters(df.limit(0), ["x"], 4).count() == 0
     with pytest.raises(ValueError):
         kmeans_clusters(df, ["x"], 0)
+
+
+def test_ntile_compares_values_in_their_own_type(spark):
+    """Steps of 1e-8 and values beyond a decimal's range, against the window function."""
+    rows = [(i, 1.0 + (i * 7 % 10) * 1e-8, None if i == 3 else i * 7 % 5, 1e35 * (i % 4)) for i in range(10)]
+    df = spark.createDataFrame(rows, "id int, fine double, small int, huge double")
+    got = ntile_scaled(df, "id", 4, {"a": F.col("fine"), "c": F.col("huge")})
+    for value, tile in (("fine", "a"), ("huge", "c")):
+        expected = df.withColumn("t", F.ntile(4).over(Window.orderBy(value, "id"))).select("id", "t").collect()
+        assert {r["id"]: r[tile] for r in got.collect()} == {r["id"]: r["t"] for r in expected}
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 10, 20, 40, 100, 200])
+@pytest.mark.parametrize("share", [0.05, 0.5])
+def test_exact_quantile(spark, n, share):
+    values = [round(random.Random(n).gauss(0, 1), 2) for _ in range(n)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    assert exact_quantile(df, "v", share).first()[0] == pytest.approx(np.quantile(values, share), abs=1e-12)
+    assert exact_quantile(df.limit(0), "v", share).first()[0] is None
+
+
+@pytest.mark.parametrize("n", [5, 10, 20, 40, 100])
+def test_forest_flags_below_the_interpolated_quantile(spark, n):
+    rng = random.Random(n)
+    df = spark.createDataFrame([(i, rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(n)], "id int, a double, b double")
+    rows = isolation_forest(df, ["id"], ["a", "b"], trees=10).collect()
+    scores = [r["anomaly_score"] for r in rows]
+    expected = sum(s < np.quantile(scores, 0.05) for s in scores)
+    assert sum(r["isolation_forest_flag"] for r in rows) == expected > 0
+
+
+def test_forest_has_one_sampling_scheme(spark):
+    """A row's score depends on rows and parameters alone, also across the size of the samples."""
+    df = spark.range(700).selectExpr("id", "CAST(id * id % 97 AS DOUBLE) AS a", "CAST(id % 89 AS DOUBLE) AS b")
+    one, two = ({r["id"]: r["anomaly_score"] for r in isolation_forest(
+        df.repartition(p), ["id"], ["a", "b"], trees=5, sample=32).collect()} for p in (1, 5))
+    assert one == two
+
+
+def test_mann_whitney_method(frame):
+    df = frame("a boolean, v double", [(True, 1.0), (True, 4.0), (False, 2.0), (False, 3.0), (False, 9.0)])
+    exact = mann_whitney(df, "v", F.col("a"), method="exact").first()["p_value"]
+    assert exact == pytest.approx(exact_u_p(2.0, 2, 3)) and exact != mann_whitney(df, "v", F.col("a")).first()["p_value"]
+    with pytest.raises(ValueError, match="method"):
+        mann_whitney(df, "v", F.col("a"), method="guess")
+    with pytest.raises(Exception, match="without ties"):
+        mann_whitney(df.union(df), "v", F.col("a"), method="exact").collect()

@@ -209,13 +209,22 @@ def test_mix_effect_and_absent_segment(tables):
     assert (z["orders_a"], z["rate_a"], z["p_value"]) == (0, 0.0, 1.0)
 
 
-def test_ranks_by_range_partition(tables, monkeypatch):
+def test_ranks_of_any_number_of_factors(tables, spark):
+    """The same positions as row numbers, and one schema for few and many factors."""
     ops = two_month_tables(tables, [("A", 1, 5, 1), ("B", 1, 4, 1), ("A", 2, 1, 4), ("B", 2, 4, 1), ("C", 2, 1, 1)],
                            [("A", "N"), ("B", "N"), ("C", "S")])
-    small = decompose.decompose_months(ops, "2025-01", "2025-02").collect()
-    monkeypatch.setattr(decompose, "WINDOW_ROWS", 0)
-    large = decompose.decompose_months(ops, "2025-01", "2025-02").collect()
-    assert sorted(map(tuple, small)) == sorted(map(tuple, large))
+    small = decompose.decompose_months(ops, "2025-01", "2025-02")
+    assert [t for c, t in small.dtypes if c.endswith("_rank")] == ["bigint", "bigint"]
+    many = spark.range(3000).selectExpr(
+        "concat('d', id % 3) AS dimension", "concat('s', id) AS segment", "CAST(id * 7919 % 101 AS DOUBLE) AS contribution")
+    got = decompose.ranked(many)
+    assert [t for c, t in got.dtypes if c.endswith("_rank")] == ["bigint", "bigint"]
+    rows = [(r["dimension"], r["segment"], r["contribution"], r["dimension_rank"], r["overall_rank"]) for r in got.collect()]
+    overall = sorted(rows, key=lambda r: (r[2], r[0], r[1]))
+    assert [r[4] for r in overall] == list(range(1, 3001))
+    for d in ("d0", "d1", "d2"):
+        inside = sorted((r for r in rows if r[0] == d), key=lambda r: (r[2], r[1]))
+        assert [r[3] for r in inside] == list(range(1, 1001))
 
 
 def test_decomposition_refuses_bad_periods(tables):
