@@ -1,9 +1,11 @@
 """Quality rules: base rules, and the log-likelihood ratio of hashed n-grams.
 
-Words and pairs of neighbouring words are hashed into ``BUCKETS`` buckets. Two
-multinomials with additive smoothing are counted over the buckets: the raw corpus, which
-is every document, and a trusted target, which is a bounded sample of the documents
-labelled good. A document's score is the mean over its n-grams of
+Words are cut where letters meet other characters; the pieces and pairs of neighbouring
+pieces are hashed into ``BUCKETS`` buckets. Two multinomials are counted over the buckets: the raw
+corpus, which is every document, and a trusted target, a bounded sample of the documents
+labelled good. The raw counts are scaled to the size of the target and both are smoothed by the
+same ``SMOOTHING`` counts, so an n-gram that is too rare to tell weighs nothing, in a corpus of
+two hundred documents as in one of billions. A document's score is the mean over its n-grams of
 ln(p_target / p_raw), so length does not matter; documents under ``THRESHOLD`` are rejected.
 Weights are rounded to whole multiples of 2**-20 and summed as whole numbers, so a
 score is the same for every partitioning and the threshold is deterministic.
@@ -29,12 +31,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.frames import packed, sampled, staged, text_of, unpacked, words
+from harborline.llm.frames import BLANK, packed, sampled, staged, text_of, unpacked, words
 
 BUCKETS = 1 << 17
 TRUSTED_ROWS = 20_000
 THRESHOLD = -0.3
-SMOOTHING = 1.0
+SMOOTHING = 20.0  # counts of the target sample
 UNIT = 1 << 20
 WINDOW = 5
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -82,6 +84,13 @@ def base_failed() -> Column:
     return (n < 10) | (F.lit(100) * F.col("n_repeat_words") > F.lit(20) * n)
 
 
+def tokens(text: Column) -> Column:
+    """Words, cut where letters meet other characters, so that ``word,`` and ``word###`` share ``word``."""
+    inner = F.btrim(text, F.lit(BLANK))
+    seams = r"[\x20\x09-\x0D]+|(?<=\p{L})(?=[^\p{L}\x20\x09-\x0D])|(?<=[^\p{L}\x20\x09-\x0D])(?=\p{L})"
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, seams, -1))
+
+
 def _bucket(*parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
 
@@ -105,16 +114,16 @@ def bucket_weights(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
                    text_column: str = "text") -> DataFrame:
     """``bucket`` and ``weight``, ln(p_target / p_raw) in units of 2**-20, counted over all documents."""
     trusted = F.broadcast(trusted_ids(labels).withColumn("_good", F.lit(1)))
-    rows = docs.select(F.col(id_column).alias("_id"), words(text_of(text_column)).alias("_w"))
+    rows = docs.select(F.col(id_column).alias("_id"), tokens(text_of(text_column)).alias("_w"))
     marked = rows.join(trusted, "_id", "left")
     grams = _grams(marked, ["_good"]).select("_good", F.explode(F.array("one", "two")).alias("bucket"))
     counts = staged(grams.filter("bucket IS NOT NULL").groupBy("bucket").agg(
         F.count(F.lit(1)).alias("raw"), F.count("_good").alias("good")), "ngrams")
     totals = counts.agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).first()
     raw, good = totals["raw"] or 0, totals["good"] or 0
-    room = SMOOTHING * BUCKETS
-    ratio = F.log((F.col("good") + SMOOTHING) / F.lit(good + room)) - F.log(
-        (F.col("raw") + SMOOTHING) / F.lit(raw + room))
+    # Both multinomials have the size of the target and the same smoothing, so their totals cancel.
+    expected = F.col("raw") * F.lit(good / max(raw, 1))
+    ratio = F.log((F.col("good") + SMOOTHING) / (expected + SMOOTHING))
     weight = F.round(ratio * UNIT).cast("bigint") if good else F.lit(0).cast("bigint")
     return staged(counts.select("bucket", weight.alias("weight")), "weights")
 
@@ -126,23 +135,26 @@ def quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_
     keys = ["_id", "_th"]
     rows = docs.select(F.col(id_column).alias("_id"), text_of(text_column).alias("_text"))
     rows = rows.select("*", F.xxhash64("_text").alias("_th"))
-    grams = _grams(base_columns(rows, "_text", keys), [*keys, *BASE])
+    rows = base_columns(rows, "_text", [*keys, "_text"]).drop("_w").withColumn("_w", tokens(F.col("_text")))
+    rows = rows.select(*keys, *BASE, F.size("_w").alias("n_tokens"), "_w")
+    grams = _grams(rows, [*keys, *BASE, "n_tokens"])
     first = F.broadcast(weights.select(F.col("bucket").alias("one"), F.col("weight").alias("w1")))
     second = F.broadcast(weights.select(F.col("bucket").alias("two"), F.col("weight").alias("w2")))
     weighed = grams.join(first, "one", "left").join(second, "two", "left")
-    sums = weighed.groupBy(*keys, *BASE).agg(
+    sums = weighed.groupBy(*keys, *BASE, "n_tokens").agg(
         F.sum(F.coalesce("w1", F.lit(0)) + F.coalesce("w2", F.lit(0))).alias("sum"),
         F.count(F.lit(1)).alias("rows"))
-    n = F.col("n_words")
-    # Every word gives one row and an empty text one, so the quotient counts rows that repeat id and text.
-    times = F.expr("CAST(rows DIV greatest(n_words, 1) AS INT)")
+    n = F.col("n_tokens")
+    # Every token gives one row and an empty text one, so the quotient counts rows that repeat id and text.
+    times = F.expr("CAST(rows DIV greatest(n_tokens, 1) AS INT)")
     grams_total = times * (F.lit(2) * n - 1)
     score = F.when(n > 0, F.col("sum") / F.lit(float(UNIT)) / grams_total)
     out = sums.select("*", score.alias("score"), base_failed().alias("base_failed"),
                       F.explode(F.sequence(F.lit(1), times)))
     kept = ~F.col("base_failed") & (F.col("score") >= F.lit(float(threshold)))
-    return out.select(F.col("_id").alias(id_column), *BASE, "base_failed", "score",
-                      F.coalesce(kept, F.lit(False)).alias("kept"), "_th")
+    # Stored, so that a filter on the result is not pushed down into the nested expressions of the counts.
+    return staged(out.select(F.col("_id").alias(id_column), *BASE, "base_failed", "score",
+                             F.coalesce(kept, F.lit(False)).alias("kept"), "_th"), "quality")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",

@@ -7,10 +7,12 @@ import re
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import regex
 import tiktoken
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SEAM = regex.compile(r"(?V1)(?<=\p{L})(?=\P{L})|(?<=\P{L})(?=\p{L})")
 
 
 def words(text):
@@ -65,21 +67,21 @@ def base(text):
 
 
 def buckets(text, size):
-    found = words(text)
+    found = [piece for word in words(text) for piece in SEAM.split(word)]
     one = [xxhash.xxh64_intdigest(w.encode(), 42) for w in found]
     two = [xxhash.xxh64_intdigest(b.encode(), h) for h, b in zip(one, found[1:])]
     return [(h - (1 << 64) if h >> 63 else h) % size for h in one + two]
 
 
-def quality(docs, trusted, size, threshold, unit=1 << 20):
+def quality(docs, trusted, size, threshold, unit=1 << 20, smoothing=20.0):
     """(n_words, ..., base_failed, kept) for (id, text) rows."""
     raw, good = Counter(), Counter()
     for id_, text in docs:
         raw.update(buckets(text, size))
         if id_ in trusted:
             good.update(buckets(text, size))
-    raw_room, good_room = sum(raw.values()) + size, sum(good.values()) + size
-    weight = {b: round((math.log((good[b] + 1) / good_room) - math.log((raw[b] + 1) / raw_room)) * unit) for b in raw}
+    share = sum(good.values()) / max(sum(raw.values()), 1)
+    weight = {b: round(math.log((good[b] + smoothing) / (raw[b] * share + smoothing)) * unit) for b in raw}
     if not good:
         weight = dict.fromkeys(raw, 0)
     out = []

@@ -59,3 +59,15 @@ def test_base_counts(spark, data):
 def test_no_python_on_the_main_path(docs, labels):
     plan = quality.quality(docs([(1, "a b")]), labels([(1, 1, 0)]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("table", ["sf0.001", "sf0.01"])
+def test_plain_documents_stay_and_junk_goes(spark, table):
+    """Also in a small corpus with few labels, where most n-grams occur once; filters on the result are cheap."""
+    folder = f"/root/testdata/{table}"
+    docs, given = (tuned(spark).read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    got = quality.quality(docs, given).filter("NOT base_failed")
+    marks = F.col("n_symbols") / F.col("n_words")
+    assert got.filter((marks < 0.05) & ~F.col("kept")).count() == 0
+    junk = got.filter(marks > 0.5)
+    assert junk.filter("NOT kept").count() > 0.8 * junk.count() > 0
