@@ -170,7 +170,8 @@ def token_counts(docs: DataFrame, path: str, cache: str | None = None, id_column
     narrow = staged(rows.select("_id", "n_bytes", "digest"), "digests")
     known = stored_counts(spark, cache, tokenizer)
     texts = rows.select("digest", "content")
-    missing = texts.join(known, "digest", "left_anti").dropDuplicates(["digest"])
+    # Copies are folded before the shuffle; what is left meets the cache where it lies.
+    missing = texts.dropDuplicates(["digest"]).join(known, "digest", "left_anti")
     count_texts(missing, path, tokenizer, blanks).write.mode("append").parquet(cache)
     counts = staged(stored_counts(spark, cache, tokenizer), "counts")
     return narrow.join(counts, "digest").select(
