@@ -382,7 +382,7 @@ FROM ops_deliveries"""))
 def sort_with_nulls(ops):
     """Global position in an order that puts nulls last."""
     placed = ordering.dense_index(
-        ops["deliveries"].select("delivery_id", "delivered_date"),
+        staged(ops["deliveries"].select("delivery_id", "delivered_date"), "unsorted"),
         [F.col("delivered_date").desc_nulls_last(), F.col("delivery_id").asc()], "at")
     return placed.select("delivery_id", "delivered_date", (F.col("at") + 1).alias("place"))
 

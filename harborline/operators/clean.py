@@ -95,6 +95,14 @@ def _add_reason(df: DataFrame, condition: str, text: str) -> DataFrame:
     return df.selectExpr("source_row", "raw", "value", "changed", added)
 
 
+def _spread(key: str) -> str:
+    """A key to join on: rows without one get a value of their own, so they do not meet in one task.
+
+    Such a value starts with a NUL character and a line number, which no key of the other side does.
+    """
+    return f"coalesce({key}, concat(char(0), CAST(source_row AS STRING)))"
+
+
 def _mark_duplicates(table: Table, df: DataFrame) -> DataFrame:
     """All rows of a key after its first one in file order, whatever became of the first.
 
@@ -103,7 +111,7 @@ def _mark_duplicates(table: Table, df: DataFrame) -> DataFrame:
     firsts = df.selectExpr(f"value.{table.key} AS k", "source_row").filter("k IS NOT NULL").groupBy("k").agg(
         F.min("source_row").alias("first_row"), F.count(F.lit(1)).alias("n")
     ).filter("n > 1")
-    marked = df.join(firsts, F.expr(f"value.{table.key} = k"), "left")
+    marked = df.join(firsts, F.expr(f"{_spread('value.' + table.key)} = k"), "left")
     return _add_reason(marked, "source_row > first_row", f"'duplicate_primary_key:{table.key}'")
 
 
@@ -116,7 +124,7 @@ def key_status(table: Table, judged: DataFrame) -> DataFrame:
 
 def _mark_orphans(df: DataFrame, column: str, parent: str, status: DataFrame) -> DataFrame:
     """Keys without a retained parent row."""
-    marked = df.join(status, F.expr(f"value.{column} = k"), "left")
+    marked = df.join(status, F.expr(f"{_spread('value.' + column)} = k"), "left")
     text = f"'orphan_foreign_key:{column}'"
     if parent == CASCADING_PARENT:
         text = f"CASE WHEN k IS NOT NULL THEN 'cascade_parent_order_rejected' ELSE {text} END"

@@ -193,7 +193,7 @@ def inventory_turnover(ops: Tables) -> DataFrame:
         value.alias("avg_inventory_value"),
         safe_ratio(F.coalesce(F.col("sales_value").cast("double"), F.lit(0.0)), value)
         .alias("inventory_turnover"),
-    ).orderBy(F.desc_nulls_last("inventory_turnover"), "product_id", "warehouse_id")
+    )
 
 
 def customer_cohorts(ops: Tables) -> DataFrame:
@@ -261,10 +261,8 @@ def customer_rfm_view(ops: Tables, score_high_is_best: bool = False) -> DataFram
 
 
 def customer_rfm(ops: Tables, score_high_is_best: bool = False) -> DataFrame:
-    """RFM report, sorted by the scores."""
-    return customer_rfm_view(ops, score_high_is_best).drop("customer_segment").orderBy(
-        F.desc("monetary_score"), F.desc("frequency_score"), F.desc("recency_score"), "customer_id"
-    )
+    """RFM report, one row per customer in no particular order."""
+    return customer_rfm_view(ops, score_high_is_best).drop("customer_segment")
 
 
 def support_tickets(ops: Tables) -> DataFrame:
