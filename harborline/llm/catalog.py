@@ -74,7 +74,7 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op6_mix_sources", r"""
 WITH docs AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+  SELECT doc_id, source, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS draw, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
 weighed AS (
   SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight,
@@ -91,7 +91,7 @@ targets AS (
          ELSE (weight * (total - stop.gone))::DOUBLE / stop.shares::DOUBLE END AS target FROM cut, stop),
 rates AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-         ('0x' || md5(coalesce(doc_id::VARCHAR, 'null') || ':mix-1')[1:13])::BIGINT::DOUBLE / 4503599627370496.0 AS u
+         ('0x' || md5(draw || ':mix-1')[1:13])::BIGINT::DOUBLE / 4503599627370496.0 AS u
   FROM docs JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source),
 copied AS (SELECT *, (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies FROM rates)
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM copied

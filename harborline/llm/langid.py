@@ -13,7 +13,7 @@ Rejection is calibrated: per language, the ``REJECT`` quantile of the cross-entr
 labelled texts that were not counted is the limit above which a prediction is marked as rejected.
 
 Fitting uses a bounded sample, about ``ROWS`` labelled rows of at most ``MAX_CHARS`` characters
-per language, so the models have a bounded size and may be broadcast. N-grams are counted by
+per language and ``SAMPLE_ROWS`` in all, so the models have a bounded size and may be broadcast. N-grams are counted by
 Spark. Scoring is one pass over whole texts without a shuffle; each batch looks up
 its distinct n-grams only.
 
@@ -41,6 +41,7 @@ ORDER = 4
 ROWS = 1500  # labelled rows per language to fit on, and as many again to calibrate on a quarter of them
 MAX_CHARS = 20_000  # longer texts are not fitted on
 LANGUAGES = 1000
+SAMPLE_ROWS = 20_000  # over all languages; with many of them each gets fewer than ROWS
 REJECT = 0.995
 CERTAIN = 64  # characters after which a score no longer sharpens
 BLOCK = 1 << 21  # characters scored at once
@@ -207,6 +208,7 @@ def _sample(docs: DataFrame, text: Column, lang: Column, rows: int, *keys: Colum
         raise ValueError(f"more than {LANGUAGES} languages")
     if not sizes:
         return usable.select("lang", "text")
+    rows = min(rows, max(1, SAMPLE_ROWS // len(sizes)))
     # One cut per language; the map has at most LANGUAGES entries.
     cuts = F.create_map(*[F.lit(x) for r in sizes
                           for x in (r["lang"], min(1 << 62, int(rows / r["count"] * (1 << 62))))])

@@ -14,8 +14,8 @@ adaptive execution split where one source is hot.
 
 Defined results: a null text has no words; a null source is a source of its own, last in
 order; a source without words has target 0 and its documents are emitted 0 times; rows
-with equal ids draw equal numbers, a null id draws its own; an empty table gives an empty
-result. Numbers do not depend on partitioning, so reruns agree.
+with equal ids draw equal numbers, a row without an id draws by the hash of its text; an empty
+table gives an empty result. Numbers do not depend on partitioning, so reruns agree.
 """
 
 from __future__ import annotations
@@ -63,17 +63,22 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int
     return pool.select("source", "source_size", target)
 
 
-def uniform(id_: Column, seed: str = SEED) -> Column:
-    """A number from 0 to 1 that depends on the id and the seed alone."""
-    digest = F.md5(F.concat(F.coalesce(id_.cast("string"), F.lit("null")), F.lit(":" + seed)))
+def drawn_by(id_: Column, text: Column) -> Column:
+    """What a row's number is drawn by: its id, or its text where it has none."""
+    return F.coalesce(id_.cast("string"), F.md5(text))
+
+
+def uniform(key: Column, seed: str = SEED) -> Column:
+    """A number from 0 to 1 that depends on the key and the seed alone."""
+    digest = F.md5(F.concat(key, F.lit(":" + seed)))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 52))
 
 
-def _with_copies(rows: DataFrame, targets: DataFrame, id_: Column, seed: str) -> DataFrame:
-    """Add ``source_size``, ``target`` and ``copies`` to rows with ``_source`` and ``_size``."""
+def _with_copies(rows: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
+    """Add ``source_size``, ``target`` and ``copies`` to rows with ``_source`` and ``_draw``."""
     joined = rows.join(targets, rows["_source"].eqNullSafe(targets["source"])).drop("source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + F.when(uniform(id_, seed) < rate - F.floor(rate), 1).otherwise(0)
+    copies = F.floor(rate) + F.when(uniform(F.col("_draw"), seed) < rate - F.floor(rate), 1).otherwise(0)
     return joined.withColumn("copies", copies.cast("bigint"))
 
 
@@ -87,10 +92,11 @@ def mix_plan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     """One row per document: id, ``size``, ``source_size``, ``target``, ``taken``, ``copies``."""
     narrow = staged(
         docs.select(F.col(id_column).alias("_id"), F.col(source_column).alias("_source"),
+                    drawn_by(F.col(id_column), text_of(text_column)).alias("_draw"),
                     F.size(words(text_of(text_column))).cast("bigint").alias("_size")), "sizes")
     sizes = narrow.select(F.col("_source").alias("source"), F.col("_size").alias("size"))
     targets = staged(source_targets(sizes, weights, cap), "targets")
-    out = _with_copies(narrow, targets, F.col("_id"), seed)
+    out = _with_copies(narrow, targets, seed)
     return out.select(F.col("_id").alias(id_column), F.col("_size").alias("size"), "source_size", "target",
                       (F.col("_size") * F.col("copies")).alias("taken"), "copies")
 
@@ -99,6 +105,6 @@ def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
           weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with all their columns."""
     targets = staged(source_targets(_sized(docs, text_column, source_column), weights, cap), "targets")
-    rows = packed(docs, _id=F.col(id_column), _source=F.col(source_column))
-    out = _with_copies(rows, targets, F.col("_id"), seed).filter("copies > 0")
+    rows = packed(docs, _source=F.col(source_column), _draw=drawn_by(F.col(id_column), text_of(text_column)))
+    out = _with_copies(rows, targets, seed).filter("copies > 0")
     return unpacked(out.select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))))

@@ -1,6 +1,6 @@
 """Quality rules: base rules, and the log-likelihood ratio of hashed n-grams.
 
-Words are cut where letters meet other characters; the pieces and pairs of neighbouring
+Words are cut where symbols such as ``#`` or ``|`` meet other characters; the pieces and pairs of neighbouring
 pieces are hashed into ``BUCKETS`` buckets. Two multinomials are counted over the buckets: the raw
 corpus, which is every document, and a trusted target, a bounded sample of the documents
 labelled good. The raw counts are scaled to the size of the target and both are smoothed by the
@@ -28,10 +28,13 @@ trusted. Repeated or null labels change nothing. An empty table gives an empty r
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.frames import BLANK, packed, sampled, staged, text_of, unpacked, words
+from harborline.llm.frames import packed, sampled, staged, text_of, unpacked, words
 
 BUCKETS = 1 << 17
 TRUSTED_ROWS = 20_000
@@ -39,6 +42,7 @@ THRESHOLD = -0.3
 SMOOTHING = 20.0  # counts of the target sample
 UNIT = 1 << 20
 WINDOW = 5
+SYMBOLS = "#*$%&|<>"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -73,7 +77,8 @@ def base_columns(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
         *keep, "_w",
         size.cast("bigint").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("bigint").alias("word_chars"),
-        F.regexp_count("_t", F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
+        F.when(has_symbols(F.col("_t")), F.regexp_count("_t", F.lit(f"[{SYMBOLS}]"))).otherwise(0).cast("bigint")
+        .alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
         F.when(F.col("_p").isNotNull(), covered).otherwise(0).cast("bigint").alias("n_repeat_words"),
     )
@@ -84,11 +89,14 @@ def base_failed() -> Column:
     return (n < 10) | (F.lit(100) * F.col("n_repeat_words") > F.lit(20) * n)
 
 
-def tokens(text: Column) -> Column:
-    """Words, cut where letters meet other characters, so that ``word,`` and ``word###`` share ``word``."""
-    inner = F.btrim(text, F.lit(BLANK))
-    seams = r"[\x20\x09-\x0D]+|(?<=\p{L})(?=[^\p{L}\x20\x09-\x0D])|(?<=[^\p{L}\x20\x09-\x0D])(?=\p{L})"
-    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, seams, -1))
+def has_symbols(text: Column) -> Column:
+    """Whether any symbol occurs; plain byte searches, which most texts need no regular expression after."""
+    return reduce(or_, [F.contains(text, F.lit(c)) for c in SYMBOLS])
+
+
+def tokens(text: Column, found: Column) -> Column:
+    """The words ``found`` in ``text``, cut where symbols begin and end, so that ``word###`` has a part ``word``."""
+    return F.when(has_symbols(text), words(F.regexp_replace(text, f"([{SYMBOLS}]+)", " $1 "))).otherwise(found)
 
 
 def _bucket(*parts: Column) -> Column:
@@ -114,7 +122,7 @@ def bucket_weights(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
                    text_column: str = "text") -> DataFrame:
     """``bucket`` and ``weight``, ln(p_target / p_raw) in units of 2**-20, counted over all documents."""
     trusted = F.broadcast(trusted_ids(labels).withColumn("_good", F.lit(1)))
-    rows = docs.select(F.col(id_column).alias("_id"), tokens(text_of(text_column)).alias("_w"))
+    rows = docs.select(F.col(id_column).alias("_id"), tokens(text_of(text_column), words(text_of(text_column))).alias("_w"))
     marked = rows.join(trusted, "_id", "left")
     grams = _grams(marked, ["_good"]).select("_good", F.explode(F.array("one", "two")).alias("bucket"))
     counts = staged(grams.filter("bucket IS NOT NULL").groupBy("bucket").agg(
@@ -135,7 +143,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_
     keys = ["_id", "_th"]
     rows = docs.select(F.col(id_column).alias("_id"), text_of(text_column).alias("_text"))
     rows = rows.select("*", F.xxhash64("_text").alias("_th"))
-    rows = base_columns(rows, "_text", [*keys, "_text"]).drop("_w").withColumn("_w", tokens(F.col("_text")))
+    rows = base_columns(rows, "_text", [*keys, "_text"]).withColumn("_w", tokens(F.col("_text"), F.col("_w")))
     rows = rows.select(*keys, *BASE, F.size("_w").alias("n_tokens"), "_w")
     grams = _grams(rows, [*keys, *BASE, "n_tokens"])
     first = F.broadcast(weights.select(F.col("bucket").alias("one"), F.col("weight").alias("w1")))

@@ -7,12 +7,11 @@ import re
 from collections import Counter, defaultdict
 from fractions import Fraction
 
-import regex
 import tiktoken
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SEAM = regex.compile(r"(?V1)(?<=\p{L})(?=\P{L})|(?<=\P{L})(?=\p{L})")
+PIECE = re.compile(r"[#*$%&|<>]+|[^#*$%&|<>]+")
 
 
 def words(text):
@@ -67,7 +66,7 @@ def base(text):
 
 
 def buckets(text, size):
-    found = [piece for word in words(text) for piece in SEAM.split(word)]
+    found = [piece for word in words(text) for piece in PIECE.findall(word)]
     one = [xxhash.xxh64_intdigest(w.encode(), 42) for w in found]
     two = [xxhash.xxh64_intdigest(b.encode(), h) for h, b in zip(one, found[1:])]
     return [(h - (1 << 64) if h >> 63 else h) % size for h in one + two]
@@ -109,8 +108,9 @@ def targets(sizes, weights=(5, 2, 1), cap=3):
     return out
 
 
-def uniform(id_, seed="mix-1"):
-    return int(hashlib.md5(f"{'null' if id_ is None else id_}:{seed}".encode()).hexdigest()[:13], 16) / (1 << 52)
+def uniform(id_, text, seed="mix-1"):
+    key = hashlib.md5((text or "").encode()).hexdigest() if id_ is None else id_
+    return int(hashlib.md5(f"{key}:{seed}".encode()).hexdigest()[:13], 16) / (1 << 52)
 
 
 def mix(docs):
@@ -120,9 +120,9 @@ def mix(docs):
         sizes[source] += len(words(text))
     wanted = targets(sizes)
     out = []
-    for id_, _, source in docs:
+    for id_, text, source in docs:
         rate = wanted[source] / sizes[source] if sizes[source] else 0.0
-        out.append(math.floor(rate) + (uniform(id_) < rate - math.floor(rate)))
+        out.append(math.floor(rate) + (uniform(id_, text) < rate - math.floor(rate)))
     return out
 
 
