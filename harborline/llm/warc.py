@@ -95,14 +95,14 @@ def record(page_id: int | None, url: str | None, payload: bytes, sha1: str, refe
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def build_dictionary(typed: DataFrame, rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES) -> bytes:
-    """A dictionary from a sample of about ``rows`` records, chosen by the hash of digest and id.
+def build_dictionary(typed: DataFrame, total: int, rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES) -> bytes:
+    """A dictionary from a sample of about ``rows`` of ``total`` records, chosen by the hash of digest and id.
 
     What reaches the driver is at most twice ``rows`` times ``SAMPLE_BYTES``, whatever the size of the table.
     """
     part = typed.filter("refers_to IS NULL").select(
         "page_id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "sha1")
-    chosen = sampled(part, rows, typed.select("page_id").count(), "sha1", "page_id")
+    chosen = sampled(part, rows, total, "sha1", "page_id")
     sample = sorted(chosen.limit(2 * rows).collect(), key=lambda r: (r.sha1, str(r.page_id), str(r.url)))
     records = [record(r.page_id, r.url, bytes(r.payload), r.sha1, None) for r in sample]
     try:
@@ -119,7 +119,7 @@ def skippable(content: bytes) -> bytes:
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, level: int = LEVEL) -> None:
     """Write all pages as archives below ``path``."""
     typed = record_types(pages, min_bytes)
-    content = build_dictionary(typed)
+    content = build_dictionary(typed, pages.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(content))

@@ -67,4 +67,4 @@ def test_empty_table_and_trained_dictionary(pages, spark, folder):
     assert warc.archive_round_trip(pages().limit(0)).count() == 0
     table = spark.read.parquet(f"{folder}/pages.parquet")
     assert warc.archive_round_trip(table).count() == table.count()
-    assert warc.build_dictionary(warc.record_types(table))[:4] == b"\x37\xa4\x30\xec"
+    assert warc.build_dictionary(warc.record_types(table), table.count())[:4] == b"\x37\xa4\x30\xec"
