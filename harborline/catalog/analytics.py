@@ -203,8 +203,7 @@ SELECT LEAST(4, (SELECT COUNT(*) FROM (SELECT DISTINCT ROUND(scaled_recency, 12)
                                        ROUND(scaled_monetary, 12) FROM scaled_rfm) AS d)) AS effective_k"""))
 def effective_k(ops):
     """Number of clusters the data allows, at most four."""
-    distinct = scaled(ops).select(*[F.round(c, 12) + F.lit(0.0) for c in SCALED]).distinct().limit(4)
-    return distinct.agg(F.count(F.lit(1)).alias("effective_k"))
+    return clustering.distinct_points(scaled(ops), SCALED, 4).agg(F.count(F.lit(1)).alias("effective_k"))
 
 
 @query("k16_customer_segments")

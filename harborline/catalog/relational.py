@@ -15,6 +15,7 @@ from harborline.operators.hypothesis import contingency
 from harborline.operators.storage import staged
 from harborline.plans import decompose, kpi, segments
 from harborline.plans.measures import share_of
+from harborline.sources import sinks
 from harborline.sources.calendar import calendar_of
 from harborline.sources.raw import RawTables
 
@@ -477,5 +478,5 @@ def calendar_table(ops):
 SELECT customer_id, monetary FROM rfm_base ORDER BY monetary DESC, customer_id LIMIT 5""", ("monetary",))))
 def result_sample(ops):
     """The first rows of a sorted result."""
-    return segments.customer_rfm(ops).select("customer_id", "monetary").orderBy(
-        F.desc("monetary"), "customer_id").limit(5)
+    return sinks.result_sample(segments.customer_rfm(ops).select("customer_id", "monetary").orderBy(
+        F.desc("monetary"), "customer_id"), 5)

@@ -191,8 +191,8 @@ def clean(tables: Mapping[str, DataFrame], stage: bool = True) -> Cleaned:
     return Cleaned(judge(tables, stage))
 
 
-def assert_clean(tables: Mapping[str, DataFrame]) -> None:
-    """Validate clean output again; raise if a reject-severity finding is left."""
+def reject_findings(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of clean output that break a reject rule when it is validated again, as one row ``reject_findings``."""
     as_text = {
         name: df.select(
             *[F.col(c).cast("string").alias(c) for c in df.columns],
@@ -200,6 +200,12 @@ def assert_clean(tables: Mapping[str, DataFrame]) -> None:
         )
         for name, df in tables.items()
     }
-    left = findings(as_text).filter(F.col("severity") == REJECT).agg(F.sum("count").alias("n")).first()["n"]
+    return findings(as_text).filter(F.col("severity") == REJECT).agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("reject_findings"))
+
+
+def assert_clean(tables: Mapping[str, DataFrame]) -> None:
+    """Validate clean output again; raise if a reject-severity finding is left."""
+    left = reject_findings(tables).first()["reject_findings"]
     if left:
         raise RuntimeError(f"clean output still has {left} rows that break a reject rule")

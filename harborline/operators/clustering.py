@@ -29,10 +29,14 @@ def standardise(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     return out.drop("_moments")
 
 
+def distinct_points(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
+    """At most ``k`` of the distinct points, rounded to twelve decimals."""
+    return df.select(*[(F.round(c, 12) + F.lit(0.0)).alias(c) for c in columns]).distinct().limit(k)
+
+
 def effective_k(df: DataFrame, columns: Sequence[str], k: int) -> int:
     """At most k, the number of rows, and the number of distinct rounded points."""
-    distinct = df.select(*[F.round(c, 12) + F.lit(0.0) for c in columns]).distinct()
-    return distinct.limit(k).count()
+    return distinct_points(df, columns, k).count()
 
 
 def kmeans_clusters(df: DataFrame, columns: Sequence[str], k: int, seed: int = 42, restarts: int = 10,
