@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from harborline.llm.frames import packed
 
-REMEMBERED = 400_000  # pieces per generation and worker
+REMEMBERED = 600_000  # pieces per generation and worker, about 130 MB
 LONG = 1 << 20  # characters from which a text is cut in blocks
 FLUSH = 1 << 22  # ids per Arrow batch
 
@@ -178,9 +178,9 @@ def decoded(df: DataFrame, path: str, ids_column: str = "ids", out: str = "decod
             made = []
             for i in range(len(lists)):
                 ids = lists[i].values
-                ids = ids.to_numpy(zero_copy_only=False).tolist() if ids is not None else []
-                plain = whole and (not ids or 0 <= min(ids) and max(ids) < len(tokens))
-                made.append(b"".join(map(tokens.__getitem__ if plain else token, ids)))
+                ids = np.empty(0, np.int32) if ids is None else ids.to_numpy(zero_copy_only=False)
+                plain = whole and (not len(ids) or 0 <= ids.min() and ids.max() < len(tokens))
+                made.append(b"".join(map(tokens.__getitem__ if plain else token, ids.tolist())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_row"), pa.array(made, pa.binary())], names=["_row", "_bytes"])
 
