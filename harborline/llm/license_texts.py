@@ -71,6 +71,34 @@ TEXTS = (
     ("CC-BY-4.0", "Licensed under CC BY 4.0."), ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC0-1.0", "Licensed under CC0 1.0."),
+    # without the title
+    *[(name, text.partition("\n")[2]) for name, text in (
+        ("MIT", MIT), ("ISC", ISC), ("0BSD", ZERO_BSD), ("BSD-2-Clause", BSD_TWO), ("BSD-3-Clause", BSD_THREE))],
+)
+
+#: (SPDX identifier, first words, length and SHA-256 of the canonical form) of longer texts, up to
+#: "END OF TERMS AND CONDITIONS" and, where more follows, as a whole; formed by ``licenses.shape``.
+FULL_TEXTS = (
+    ("Apache-2.0", "apache license version 2 0 january 2004 http", 8870, "119e2da0e9ec849d113a40405b338c1bbbd2ef9194c22bf2740fa4e195411c40"),
+    ("Apache-2.0", "apache license version 2 0 january 2004 http", 9886, "04e64e0427d80fdde16fa8415931bf2c09bc943f13ec322a09df188bf23a3543"),
+    ("Artistic-1.0-Perl", "the artistic license preamble the intent of this", 5833, "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702"),
+    ("BSD-3-Clause", "redistribution and use in source and binary forms", 1361, "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651"),
+    ("CC0-1.0", "creative commons legal code cc0 1 0 universal", 6696, "96f9b6f44f60a039539ef5cba12c6d4365c81621ff3a06ac37a3db1d5c225621"),
+    ("GFDL-1.2", "gnu free documentation license version 1 2 november", 19583, "94541e73869af10ab6bd68a29575eede324e54e7d5237e7386d12444f593af60"),
+    ("GFDL-1.3", "gnu free documentation license version 1 3 3", 22018, "a92fdbaeafedd9cbeb812ebbded06ee07e3b1427c81cfc333e682109c594d826"),
+    ("GPL-1.0", "gnu general public license version 1 february 1989", 9415, "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc"),
+    ("GPL-1.0", "gnu general public license version 1 february 1989", 11765, "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-2.0", "gnu general public license version 2 june 1991", 14483, "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34"),
+    ("GPL-2.0", "gnu general public license version 2 june 1991", 17117, "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0", "gnu general public license version 3 29 june", 30968, "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636"),
+    ("GPL-3.0", "gnu general public license version 3 29 june", 33406, "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a"),
+    ("LGPL-2.0", "gnu library general public license version 2 june", 22277, "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260"),
+    ("LGPL-2.0", "gnu library general public license version 2 june", 24130, "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", "gnu lesser general public license version 2 1", 23365, "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4"),
+    ("LGPL-2.1", "gnu lesser general public license version 2 1", 25217, "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0", "gnu lesser general public license version 3 29", 7104, "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "mozilla public license version 1 1 1 definitions", 22467, "a1b36de49a400e3d3385d5987188db954a084f9876243aa7207cd91de3f24a7b"),
+    ("MPL-2.0", "mozilla public license version 2 0 1 definitions", 14341, "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a"),
 )
 
 #: Spellings that count as the word after them.

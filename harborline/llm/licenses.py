@@ -4,11 +4,15 @@ A text is brought to a canonical form: lower case; lines that are copyright noti
 dropped; ``&`` read as "and"; everything but letters and digits taken as a blank; equivalent
 spellings replaced by one of them. The SHA-256 of the form is joined by equality to the
 digests of the known texts, which are formed in the same way. Whole texts are looked up, and
-every line as a whole, so that a notice inside a document is found as well.
+every line and paragraph as a whole, so that a notice inside a document is found as well, wrapped or
+not; a paragraph ends at a line without letters and digits, in a comment block too. Known
+texts of at least ``LONG`` words are found anywhere inside a document, over paragraphs and comment
+marks: where the first ``ANCHOR`` words of one occur in the canonical form, the digest of the piece of its
+length is looked up. A document that is a known text as a whole does not report pieces of it.
 
 Known texts are a table; the join is left to the planner, which broadcasts it while it is
-small. Digests are formed inside the tasks that read the text and each document sends every
-distinct line digest once; only those that match leave their task when the table is
+small; anchors and lengths of the long ones go to every task. Digests are formed inside the tasks that read the text and each document sends every
+distinct line digest once, and other digests where a known text begins; only those that match leave their task when the table is
 broadcast. Matches are folded per document by a partial aggregate.
 
 Defined results: a null or empty text, and one of punctuation alone, matches nothing.
@@ -27,12 +31,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.llm.frames import staged, text_of
-from harborline.llm.license_texts import EQUIVALENT, PHRASES, TEXTS
+from harborline.llm.license_texts import EQUIVALENT, FULL_TEXTS, PHRASES, TEXTS
+
+ANCHOR = 8  # first words of a known text that are searched for
+LONG = 20  # words from which a known text is found anywhere in a line
 
 _COPYRIGHT = re.compile(
     r"^[^\S\n]*[#*/;%>-]*[^\S\n]*(?:copyright[^\S\n]*(?:\(c\)|©|:|[0-9<\[{(])|(?:\(c\)|©)[^\S\n]*(?:copyright|[0-9<\[{])"
     r"|all rights reserved\.?[^\S\n]*$)[^\n]*", re.MULTILINE)
 _SEPARATORS = re.compile(r"[\W_]+")
+_PARAGRAPHS = re.compile(r"\n[\W_]*\n")
 _PHRASE = re.compile(r"\b(?:" + "|".join(map(re.escape, PHRASES)) + r")\b")
 _SPELLING = re.compile(r"\b(?:" + "|".join(map(re.escape, EQUIVALENT)) + r")\b")
 
@@ -51,27 +59,62 @@ def digest(text: str) -> bytes | None:
     return sha256(form.encode("utf-8", "surrogatepass")).digest() if form else None
 
 
-def known_licenses(spark: SparkSession, texts: Iterable[tuple[str, str]] = TEXTS) -> DataFrame:
-    """``license_id`` and ``digest`` of known texts; each row once."""
-    rows = sorted({(name, d) for name, text in texts if (d := digest(text)) is not None})
-    return spark.createDataFrame(rows, "license_id string, digest binary")
-
+def shape(text: str) -> tuple[str, int, bytes, bool] | None:
+    """Anchor, length and digest of the canonical form, and whether it is long; nothing for an empty form."""
+    form = canonical(text)
+    words = form.split(" ")
+    own = sha256(form.encode("utf-8", "surrogatepass")).digest()
+    return (" ".join(words[:ANCHOR]), len(form), own, len(words) >= LONG) if form else None
+
+
+def known_licenses(spark: SparkSession, texts: Iterable[tuple[str, str]] = TEXTS,
+                   full: Iterable[tuple[str, str, int, str]] = FULL_TEXTS) -> DataFrame:
+    """``license_id``, ``digest``, ``anchor``, ``size`` and ``long`` of known texts; each row once."""
+    rows = {(name, found[2], found[0], found[1], found[3]) for name, text in texts if (found := shape(text)) is not None}
+    rows |= {(name, bytes.fromhex(own), anchor, size, True) for name, anchor, size, own in full}
+    return spark.createDataFrame(sorted(rows), "license_id string, digest binary, anchor string, size int, long boolean")
+
+
+def passages(text: str, form: str, anchors: dict[str, set[tuple[int, bool]]]) -> set[bytes]:
+    """Digests of the pieces of a text that begin like a known one; ``form`` is the text's canonical form."""
+    padded, found, wrapped = f" {form} ", set(), False
+    for anchor, sizes in anchors.items():
+        at = padded.find(f" {anchor} ")
+        while at >= 0:
+            wrapped = wrapped or any(not long for _, long in sizes)
+            for end in {at + 1 + size for size, long in sizes if long}:
+                if padded[end:end + 1] == " ":
+                    found.add(sha256(padded[at + 1:end].encode("utf-8", "surrogatepass")).digest())
+            at = padded.find(f" {anchor} ", at + 1)
+    if wrapped:
+        found |= {d for part in _PARAGRAPHS.split(text.replace("\r\n", "\n")) if (d := digest(part)) is not None}
+    return found
+
+
+def digests(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``_id``, ``own`` (SHA-256 of the text), ``whole`` (or a part), ``digest``, of texts, their distinct lines and passages."""
+    anchors, entire = {}, set()
+    for row in known.select("anchor", "size", "long", "digest").collect():
+        anchors.setdefault(row.anchor, set()).add((row.size, row.long))
+        entire.add(bytes(row.digest))
 
-def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``_id``, ``own`` (SHA-256 of the text), ``whole`` (or a line), ``digest``, of texts and their distinct lines."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, own, whole, found = [], [], [], []
             for i, value in enumerate(batch.column("text")):
                 text = value.as_py()
+                form = canonical(text)
+                first = sha256(form.encode("utf-8", "surrogatepass")).digest() if form else None
                 at.append(i)
                 whole.append(True)
-                found.append(digest(text))
-                lines = {d for line in set(re.split(r"\r?\n", text)) if (d := digest(line)) is not None}
-                at += [i] * len(lines)
-                own += [sha256(text.encode()).digest()] * (1 + len(lines))
-                whole += [False] * len(lines)
-                found += sorted(lines)
+                found.append(first)
+                parts = {d for line in set(re.split(r"\r?\n", text)) if (d := digest(line)) is not None}
+                if first not in entire:
+                    parts |= passages(text, form, anchors)
+                at += [i] * len(parts)
+                own += [sha256(text.encode()).digest()] * (1 + len(parts))
+                whole += [False] * len(parts)
+                found += sorted(parts)
             ids = batch.column("_id").take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(own, pa.binary()), pa.array(whole, pa.bool_()), pa.array(found, pa.binary())],
@@ -83,8 +126,10 @@ def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 
 
 def license_scan(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: id, ``canonical_sha256``, ``license_ids`` of the entire text, ``notice_ids`` of lines."""
-    found = staged(digests(docs, id_column, text_column).join(known, "digest", "left").filter(
+    """One row per document: id, ``canonical_sha256``, ``license_ids`` of the entire text, ``notice_ids`` of its parts."""
+    found = digests(docs, known, id_column, text_column)
+    known = known.select("license_id", "digest")
+    found = staged(found.join(known, "digest", "left").filter(
         "whole OR license_id IS NOT NULL"), "licences")
     entire = found.filter("whole")
     matches = found.filter("license_id IS NOT NULL").groupBy("_id", "own").agg(

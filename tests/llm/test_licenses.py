@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,3 +53,37 @@ def test_empty(docs, spark):
     known = licenses.known_licenses(tuned(spark))
     assert licenses.license_scan(docs([(1, "a")]).limit(0), known).count() == 0
     assert licenses.license_scan(docs([(1, "a")]), known.limit(0)).first().license_ids == []
+
+
+LOCAL = "/usr/share/common-licenses/"
+
+
+@pytest.mark.skipif(not os.path.isdir(LOCAL), reason="no local licence files")
+@pytest.mark.parametrize("file,name", [
+    ("Apache-2.0", "Apache-2.0"), ("GPL-2", "GPL-2.0"), ("GPL-3", "GPL-3.0"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3", "LGPL-3.0"),
+    ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0"), ("GFDL-1.3", "GFDL-1.3"), ("Artistic", "Artistic-1.0-Perl"),
+    ("BSD", "BSD-3-Clause")])
+def test_full_texts(file, name):
+    with open(LOCAL + file, encoding="utf-8") as f:
+        anchor, size, own, _ = licenses.shape(f.read())
+    assert (name, anchor, size, own.hex()) in license_texts.FULL_TEXTS
+
+
+def test_parts_of_longer_documents(docs, spark):
+    notice = license_texts.APACHE_HEADER.replace("to in writing,", "to in\nwriting,")
+    comment = "\n".join(f" * {line}" for line in notice.split("\n"))
+    body = MIT.partition("\n")[2]
+    wrapped = "# This work is licensed under the GNU General\n# Public License, version 3.\n#\n# more"
+    rows = [(1, f"/*\n{comment}\n */\nint main() {{}}\n"), (2, f"intro\n\n{MIT}\n\nmore"), (3, f"intro\n{body}\nmore"),
+            (4, wrapped), (5, MIT[:-20] + "\nand more"), (6, "They said: not released under the MIT License."),
+            (7, f"{notice}\n\n{license_texts.BSD_THREE}")]
+    if os.path.isdir(LOCAL):
+        with open(LOCAL + "MPL-2.0", encoding="utf-8") as f:
+            mpl = f.read()
+        rows += [(8, mpl), (9, f"first\n\n{mpl}\nlast")]
+    known = licenses.known_licenses(tuned(spark))
+    got = {r.doc_id: (r.license_ids, r.notice_ids) for r in licenses.license_scan(docs(rows), known).collect()}
+    assert got == {k: v for k, v in {
+        1: ([], ["Apache-2.0"]), 2: ([], ["MIT"]), 3: ([], ["MIT"]), 4: ([], ["GPL-3.0"]), 5: ([], []), 6: ([], []),
+        7: ([], ["Apache-2.0", "BSD-3-Clause"]), 8: (["MPL-2.0"], []), 9: ([], ["MPL-2.0"])}.items() if k in got}
+    assert len(got) == len(rows)
