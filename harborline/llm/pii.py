@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 from harborline.llm.frames import packed
 
 ROUNDS = 8
+CHUNK = 512  # characters of a secret that are one number
 DEMO_KEY = b"replace this key"
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
@@ -135,12 +136,22 @@ def _iban(found: re.Match, permuted) -> str | None:
     return "".join(c if c == " " else next(made) for c in layout)
 
 
+def _chained(value: str, permuted, kind: str, hexadecimal: bool) -> str:
+    """``_mixed_radix`` of ``CHUNK`` characters at a time, each under a digest of the whole value before it."""
+    out, seen = [], blake2b(digest_size=8)
+    for at in range(0, len(value), CHUNK):
+        chunk = value[at:at + CHUNK]
+        out.append(_mixed_radix(chunk, permuted, f"{kind}|{seen.hexdigest()}" if at else kind, hexadecimal))
+        seen.update(chunk.lower().encode())
+    return "".join(out)
+
+
 def _secret(found: re.Match, permuted) -> str | None:
     value = found.group("value")
     if not any(c.isdigit() for c in value):
         return None
     plain = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value) is not None
-    made = _mixed_radix(value, permuted, "secret", hexadecimal=plain)
+    made = _chained(value, permuted, "secret", hexadecimal=plain)
     return found.group()[:found.start("value") - found.start()] + made
 
 
@@ -235,7 +246,7 @@ KINDS: list[tuple[str, re.Pattern, Callable]] = [
     ("email", re.compile(r"(?<![^\s<>()\[\],;:\"'=|])[^\s@<>()\[\],;:\"'=|]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"),
      _email),
     ("secret", re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b[\"']?\s{0,4}[=:]\s{0,4}[\"']?"
-                          r"(?P<value>[A-Za-z0-9+/_-]{12,512})"), _secret),
+                          r"(?P<value>(?=[A-Za-z0-9+/_.=-]{12})[A-Za-z0-9+/_-]+(?:[.=]+[A-Za-z0-9+/_-]+)*)"), _secret),
 ]
 _SIGN = re.compile("[0-9@]")
 

@@ -83,3 +83,18 @@ def test_clean_documents_stay(texts):
     for _, text, _ in texts:
         made, spans = pii.pseudonymised_text(text, KEY)
         assert (made == text) == (not spans)
+
+
+def test_long_and_dotted_secrets_are_replaced_whole():
+    long = "".join("0123456789abcdefghijklmnopqrstuvwxyz"[i * 7 % 36] for i in range(900))
+    made, spans = pii.pseudonymised_text(f"token={long} end", KEY)
+    assert spans == [("secret", 0, 906)] and made.startswith("token=") and made.endswith(" end")
+    parts = [made[6:906][i:i + 30] != long[i:i + 30] for i in range(0, 900, 30)]
+    assert all(parts)
+    # an equal chunk after another beginning gets another pseudonym
+    other = pii.pseudonymised_text(f"token={'b' * 511}1{long[512:]}", KEY)[0]
+    assert other[6 + 512:] != made[6 + 512:906]
+    token = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3In0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9P"
+    made, spans = pii.pseudonymised_text(f"token: {token}.", KEY)
+    assert spans == [("secret", 0, 7 + len(token))] and made.endswith(".")
+    assert all(a != b for a, b in zip(made[7:-1].split("."), token.split(".")))
