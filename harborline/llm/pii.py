@@ -3,7 +3,9 @@
 Candidates are found in the whole text and validated: payment cards by Luhn's check digit,
 bank accounts (IBAN) modulo 97, social security numbers by their ranges, IPv4 addresses by
 their octets, phone numbers by their length, dates by the calendar, e-mail addresses by
-their shape, and secrets that follow a keyword. What does not validate stays as it is.
+their shape, and secrets that follow a keyword. Of an account or phone number that does not validate
+the beginnings up to a blank are tried, longest first, since a word or number may follow it; after a card or
+account number that does not validate the search goes on at its next group. What does not validate stays as it is.
 
 A valid value is numbered within its format, the number is permuted by a keyed Feistel
 network with cycle walking, and the result is written back in the same layout: the
@@ -248,6 +250,8 @@ KINDS: list[tuple[str, re.Pattern, Callable]] = [
     ("secret", re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b[\"']?\s{0,4}[=:]\s{0,4}[\"']?"
                           r"(?P<value>(?=[A-Za-z0-9+/_.=-]{12})[A-Za-z0-9+/_-]+(?:[.=]+[A-Za-z0-9+/_-]+)*)"), _secret),
 ]
+SHORTENED = ("iban", "phone")  # kinds of several groups that may take in a word or number that follows
+RESUMED = ("card", "iban")  # kinds that may begin at a later group, after a word or number like a first one
 _SIGN = re.compile("[0-9@]")
 
 
@@ -266,15 +270,31 @@ def pseudonymised_text(text: str, key: bytes) -> tuple[str, list[tuple[str, int,
 
     taken: list[tuple[int, int, str, str]] = []  # sorted and apart from each other
     for kind, pattern, make in KINDS:
-        more = []
-        for found in pattern.finditer(text):
+        more, at = [], 0
+        while found := pattern.search(text, at):
             start, end = found.span()
-            at = bisect_left(taken, (start,))
-            if at and taken[at - 1][1] > start or at < len(taken) and taken[at][0] < end:
+            place = bisect_left(taken, (start,))
+            if place and taken[place - 1][1] > start:
+                at = taken[place - 1][1]
                 continue
-            made = make(found, permuted)
-            if made is not None:
-                more.append((start, end, kind, made))
+            limit = taken[place][0] if place < len(taken) else len(text)
+            at = end
+            if kind == "secret" and end > limit:
+                found = pattern.match(text, start, limit)
+                if found is None:
+                    continue
+                end = found.end()
+            blanks = [i for i in range(end - 1, start, -1) if text[i] == " "] if kind in SHORTENED else []
+            for stop in [end, *blanks]:
+                part = found if stop == end else pattern.fullmatch(text, start, stop)
+                made = make(part, permuted) if part and stop <= limit else None
+                if made is not None:
+                    more.append((start, stop, kind, made))
+                    at = stop
+                    break
+            else:
+                if kind in RESUMED:
+                    at = next((i for i in range(start + 1, end) if text[i] in " -"), end)
         taken = sorted(taken + more)
     out, at = [], 0
     for start, end, _, made in taken:

@@ -98,3 +98,22 @@ def test_long_and_dotted_secrets_are_replaced_whole():
     made, spans = pii.pseudonymised_text(f"token: {token}.", KEY)
     assert spans == [("secret", 0, 7 + len(token))] and made.endswith(".")
     assert all(a != b for a, b in zip(made[7:-1].split("."), token.split(".")))
+
+
+@pytest.mark.parametrize("text,value", [
+    ("BE68 5390 0754 7034 BIC", "BE68 5390 0754 7034"),
+    ("ES91 2100 0418 4502 0005 1332 USD", "ES91 2100 0418 4502 0005 1332"),
+    ("BE68 5390 0754 7034 BE68 5390 0754 7034 BIC", "BE68 5390 0754 7034"),
+    ("CD34 BE68 5390 0754 7034 BIC", "BE68 5390 0754 7034"), ("BE68539007547034 EUR", "BE68539007547034")])
+def test_accounts_before_other_words(text, value):
+    made, spans = pii.pseudonymised_text(text, KEY)
+    assert [(k, text[s:e]) for k, s, e in spans] == [("iban", value)] * text.count(value)
+    assert value not in made and made[spans[-1][2]:] == text[spans[-1][2]:]
+
+
+def test_numbers_before_other_numbers():
+    text = "+49 30 1234 5678 4845 1681 1440 7329"
+    assert [(k, text[s:e]) for k, s, e in pii.pseudonymised_text(text, KEY)[1]] == [
+        ("phone", "+49 30 1234 5678"), ("card", "4845 1681 1440 7329")]
+    text = "token=abcdefghijkl1=1985-03-12"
+    assert [k for k, _, _ in pii.pseudonymised_text(text, KEY)[1]] == ["secret", "date"]
