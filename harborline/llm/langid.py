@@ -12,8 +12,10 @@ with the lowest cross-entropy per character, ties by name.
 Rejection is calibrated: per language, the ``REJECT`` quantile of the cross-entropy over
 labelled texts that were not counted is the limit above which a prediction is marked as rejected.
 
-Fitting uses a bounded sample, about ``ROWS`` labelled rows of at most ``MAX_CHARS`` characters
-per language and ``SAMPLE_ROWS`` in all, so the models have a bounded size and may be broadcast. N-grams are counted by
+Fitting uses a bounded sample, about ``ROWS`` labelled rows
+per language and ``SAMPLE_ROWS`` in all, so the models have a bounded size and may be broadcast. Of a text with more
+than ``MAX_CHARS`` letters and blanks, ``PIECES`` pieces of that size together are counted, one from each part of
+equal length at a place chosen by the row's hash. Limits are measured on whole texts. N-grams are counted by
 Spark. Scoring is one pass over whole texts without a shuffle; each batch looks up
 its distinct n-grams only.
 
@@ -39,7 +41,8 @@ from harborline.llm.frames import packed, text_of
 
 ORDER = 4
 ROWS = 1500  # labelled rows per language to fit on, and as many again to calibrate on a quarter of them
-MAX_CHARS = 20_000  # longer texts are not fitted on
+MAX_CHARS = 20_000  # of longer texts, pieces of this size together are fitted on
+PIECES = 4
 LANGUAGES = 1000
 SAMPLE_ROWS = 20_000  # over all languages; with many of them each gets fewer than ROWS
 REJECT = 0.995
@@ -207,13 +210,22 @@ def _sample(docs: DataFrame, text: Column, lang: Column, rows: int, *keys: Colum
     if len(sizes) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     if not sizes:
-        return usable.select("lang", "text")
+        return usable
     rows = min(rows, max(1, SAMPLE_ROWS // len(sizes)))
     # One cut per language; the map has at most LANGUAGES entries.
     cuts = F.create_map(*[F.lit(x) for r in sizes
                           for x in (r["lang"], min(1 << 62, int(rows / r["count"] * (1 << 62))))])
     low = F.pmod(F.col("h"), F.lit(1 << 62)) < F.element_at(cuts, F.col("lang"))
-    return usable.filter(low & (F.length("text") <= MAX_CHARS)).select("lang", "text")
+    return usable.filter(low)
+
+
+def _pieces(points: np.ndarray, h: int) -> list[np.ndarray]:
+    """A text of at most ``MAX_CHARS`` points whole, else ``PIECES`` pieces of it at places chosen by ``h``."""
+    if len(points) <= MAX_CHARS:
+        return [points]
+    part, size = len(points) // PIECES, MAX_CHARS // PIECES
+    places = np.random.default_rng(h & (1 << 64) - 1).integers(0, part - size + 1, PIECES)
+    return [points[k * part + at:k * part + at + size] for k, at in enumerate(places)]
 
 
 def train(fitting: DataFrame, calibrating: DataFrame, keys: list[str], text_column: str = "text",
@@ -224,12 +236,13 @@ def train(fitting: DataFrame, calibrating: DataFrame, keys: list[str], text_colu
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
+            langs, texts, hashes = (batch.column(c).to_pylist() for c in ("lang", "text", "h"))
             for lang in sorted(set(langs)):
-                found = [letters(t) for t, own in zip(texts, langs) if own == lang]
-                found = [np.concatenate([np.full(order - 2, 32, np.uint32), p]) for p in found if len(p)]
-                if found:
-                    chars = np.concatenate([np.lib.stride_tricks.sliding_window_view(p, order) for p in found])
+                own = [i for i, name in enumerate(langs) if name == lang]
+                for places, found in _blocks([texts[i] for i in own]):
+                    padded = [np.concatenate([np.full(order - 2, 32, np.uint32), p]) for p in found]
+                    parts = [x for p, q in zip(places, padded) for x in _pieces(q, hashes[own[p]])]
+                    chars = np.concatenate([np.lib.stride_tricks.sliding_window_view(x, order) for x in parts])
                     distinct, n = np.unique(chars, axis=0, return_counts=True)
                     columns = [pa.array(distinct[:, k].astype(np.int32)) for k in range(order)]
                     yield pa.RecordBatch.from_arrays(

@@ -64,3 +64,24 @@ def test_foreign_text_is_rejected(spark):
     models = langid.train(table.filter("doc_id % 2 = 0"), table.filter("doc_id % 2 = 1"), ["doc_id"])
     strange = spark.createDataFrame([("привет как дела сегодня " * 20,), ("zqxj kwvv xxqz " * 30,)], "text string")
     assert all(r.rejected for r in langid.identify(strange, models).collect())
+
+
+def test_long_texts_are_learned(docs):
+    """A language of long texts has a model and a limit; of each text a bounded part is counted."""
+    rows = [(i, ("der hund und die katze " if i % 2 else "the dog and a cat ") * (2000 if i % 2 else 3)) for i in range(40)]
+    df = docs(rows).withColumn("lang", F.when(F.col("doc_id") % 2 == 1, "de").otherwise("en"))
+    got = langid.identified_documents(df).collect()
+    assert all(r.lang_pred == ("de" if r.doc_id % 2 else "en") for r in got)
+    models = langid.train(df.filter("doc_id < 20"), df.filter("doc_id >= 20"), ["doc_id"])
+    assert [m.name for m in models] == ["de", "en"] and all(np.isfinite(m.limit) for m in models)
+    only = df.filter("lang = 'de'")
+    assert {r.lang_pred for r in langid.identified_documents(only).collect()} == {"de"}
+
+
+def test_pieces():
+    points = np.arange(100_001, dtype=np.uint32)
+    parts = langid._pieces(points, -5)
+    assert [len(p) for p in parts] == [5000] * 4 and all((np.diff(p) == 1).all() for p in parts)
+    assert all(k * 25_000 <= p[0] and p[-1] < (k + 1) * 25_000 for k, p in enumerate(parts))
+    assert [p[0] for p in langid._pieces(points, -5)] == [p[0] for p in parts] != [p[0] for p in langid._pieces(points, 6)]
+    assert langid._pieces(points[:20_000], 1)[0] is not None and len(langid._pieces(points[:20_000], 1)) == 1
