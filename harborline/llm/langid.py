@@ -11,9 +11,12 @@ with the lowest cross-entropy per character, ties by name.
 
 Rejection is calibrated: per language, the ``REJECT`` quantile of the cross-entropy over
 labelled texts that were not counted is the limit above which a prediction is marked as rejected.
+A language whose labelled rows all belong to the calibrating part is learned from them and has no limit.
 
 Fitting uses a bounded sample, about ``ROWS`` labelled rows
-per language and ``SAMPLE_ROWS`` in all, so the models have a bounded size and may be broadcast. Of a text with more
+per language and ``SAMPLE_ROWS`` in all; what languages with few rows leave goes to the others, and each gives
+one row at least, so every labelled language has a model. Models are broadcast; their size, and
+the time to score a text, grow with the number of languages only. Of a text with more
 than ``MAX_CHARS`` letters and blanks, ``PIECES`` pieces of that size together are counted, one from each part of
 equal length at a place chosen by the row's hash. Limits are measured on whole texts. N-grams are counted by
 Spark. Scoring is one pass over whole texts without a shuffle; each batch looks up
@@ -37,14 +40,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harborline.llm.frames import packed, text_of
+from harborline.llm.frames import packed, staged, text_of
 
 ORDER = 4
 ROWS = 1500  # labelled rows per language to fit on, and as many again to calibrate on a quarter of them
 MAX_CHARS = 20_000  # of longer texts, pieces of this size together are fitted on
 PIECES = 4
-LANGUAGES = 1000
-SAMPLE_ROWS = 20_000  # over all languages; with many of them each gets fewer than ROWS
+SAMPLE_ROWS = 20_000  # over all languages; with many of them each gets fewer than ROWS, but one at least
 REJECT = 0.995
 CERTAIN = 64  # characters after which a score no longer sharpens
 BLOCK = 1 << 21  # characters scored at once
@@ -202,21 +204,36 @@ def _blocks(texts: list[str | None]) -> Iterator[tuple[list[int], list[np.ndarra
         yield places, found
 
 
-def _sample(docs: DataFrame, text: Column, lang: Column, rows: int, *keys: Column) -> DataFrame:
-    """About ``rows`` rows per language, chosen by a hash, as ``lang`` and ``text``."""
-    usable = docs.select(lang.alias("lang"), text.alias("text"), F.xxhash64(*keys).alias("h")).filter(
+def _usable(docs: DataFrame, text: Column, lang: Column, *keys: Column) -> DataFrame:
+    """Labelled rows as ``lang``, ``text`` and a hash ``h``."""
+    return docs.select(lang.alias("lang"), text.alias("text"), F.xxhash64(*keys).alias("h")).filter(
         (F.col("lang") != "") & F.col("text").isNotNull())
-    sizes = usable.groupBy("lang").count().limit(LANGUAGES + 1).collect()
-    if len(sizes) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    if not sizes:
-        return usable
-    rows = min(rows, max(1, SAMPLE_ROWS // len(sizes)))
-    # One cut per language; the map has at most LANGUAGES entries.
-    cuts = F.create_map(*[F.lit(x) for r in sizes
-                          for x in (r["lang"], min(1 << 62, int(rows / r["count"] * (1 << 62))))])
-    low = F.pmod(F.col("h"), F.lit(1 << 62)) < F.element_at(cuts, F.col("lang"))
-    return usable.filter(low)
+
+
+def _share(sizes: DataFrame, count: str, rows: int) -> int:
+    """The rows a language may give at most, so that all give ``SAMPLE_ROWS``; what small ones leave goes to the others.
+
+    ``rows`` at most and 1 at least. Only the counts up to ``rows`` reach the driver, with their numbers of languages.
+    """
+    some = sizes.filter(F.col(count) > 0).groupBy(F.least(count, F.lit(rows)).alias("size")).agg(F.count(F.lit(1)).alias("n"))
+    left = SAMPLE_ROWS
+    found = sorted((r["size"], r["n"]) for r in some.collect())
+    langs = sum(n for _, n in found)
+    for size, n in found:
+        if size * langs > left:
+            return max(1, left // langs)
+        left, langs = left - size * n, langs - n
+    return rows
+
+
+def _sample(usable: DataFrame, sizes: DataFrame, count: str, rows: int) -> DataFrame:
+    """About as many rows per language as its share, chosen by the hash, and at least that of the least hash."""
+    share = _share(sizes, count, rows)
+    cut = F.least(F.lit(share) / F.col(count), F.lit(1.0)) * F.lit(float(1 << 62))
+    cuts = sizes.filter(F.col(count) > 0).select("lang", cut.alias("_cut"), F.col(f"{count}_least").alias("_least"))
+    place = F.pmod(F.col("h"), F.lit(1 << 62))
+    return usable.join(cuts, "lang").filter((place < F.col("_cut")) | (F.col("h") == F.col("_least"))).select(
+        "lang", "text", "h")
 
 
 def _pieces(points: np.ndarray, h: int) -> list[np.ndarray]:
@@ -249,12 +266,24 @@ def train(fitting: DataFrame, calibrating: DataFrame, keys: list[str], text_colu
                         [pa.array([lang] * len(n), pa.string()), *columns, pa.array(n.astype(np.int64))],
                         names=["lang", *names, "n"])
 
-    def part(docs: DataFrame) -> DataFrame:
-        return _sample(docs, F.col(text_column), F.col(lang_column).cast("string"), rows,
-                       *[F.col(k) for k in keys])
+    columns = [F.col(text_column), F.col(lang_column).cast("string"), *[F.col(k) for k in keys]]
+    learned, measured = _usable(fitting, *columns), _usable(calibrating, *columns)
+    both = learned.withColumn("_own", F.lit(True)).unionByName(measured.withColumn("_own", F.lit(False)))
+    sizes = both.groupBy("lang").agg(
+        F.count(F.when(F.col("_own"), 1)).alias("own"), F.min(F.when(F.col("_own"), F.col("h"))).alias("own_least"),
+        F.count(F.when(~F.col("_own"), 1)).alias("rest"), F.min(F.when(~F.col("_own"), F.col("h"))).alias("rest_least"))
+    # A language without rows to fit on is learned from those that would calibrate it, and has no limit.
+    alone = F.col("own") == 0
+    sizes = staged(sizes.select(
+        "lang", F.when(alone, F.col("rest")).otherwise(F.col("own")).alias("fit"),
+        F.coalesce("own_least", "rest_least").alias("fit_least"),
+        F.when(alone, 0).otherwise(F.col("rest")).alias("limit"), F.col("rest_least").alias("limit_least"),
+        alone.alias("_alone")), "languages")
+    few = sizes.filter("_alone").select("lang")
+    source = learned if few.isEmpty() else learned.unionByName(measured.join(few, "lang", "left_semi"))
 
     schema = "lang string, " + ", ".join(f"{c} int" for c in names) + ", n bigint"
-    counted = part(fitting).mapInArrow(count, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    counted = _sample(source, sizes, "fit", rows).mapInArrow(count, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
     table = counted.toArrow()
     langs = np.array(table.column("lang").to_pylist(), dtype=object)
     chars = np.stack([table.column(c).to_numpy().astype(np.uint32) for c in names], axis=1) if len(langs) else None
@@ -264,7 +293,7 @@ def train(fitting: DataFrame, calibrating: DataFrame, keys: list[str], text_colu
         own = langs == lang
         place = np.lexsort(chars[own].T[::-1])  # one order for every run, since sums of floats follow it
         models.append(fit(lang, chars[own][place], n[own][place]))
-    _calibrate(spark, models, part(calibrating))
+    _calibrate(spark, models, _sample(measured, sizes, "limit", rows))
     return models
 
 

@@ -85,3 +85,25 @@ def test_pieces():
     assert all(k * 25_000 <= p[0] and p[-1] < (k + 1) * 25_000 for k, p in enumerate(parts))
     assert [p[0] for p in langid._pieces(points, -5)] == [p[0] for p in parts] != [p[0] for p in langid._pieces(points, 6)]
     assert langid._pieces(points[:20_000], 1)[0] is not None and len(langid._pieces(points[:20_000], 1)) == 1
+
+
+def test_stray_languages_leave_the_sample_to_the_others(spark, docs):
+    sizes = spark.createDataFrame([("en", 10**6), ("de", 10**6), *[(f"x{i}", 1) for i in range(1500)]], "lang string, n long")
+    assert langid._share(sizes, "n", 1500) == 1500
+    assert langid._share(sizes, "n", 10**6) == (langid.SAMPLE_ROWS - 1500) // 2
+    assert langid._share(spark.range(langid.SAMPLE_ROWS * 2).select(F.lit(5).alias("n")), "n", 1500) == 1
+    assert langid._share(sizes.limit(0), "n", 1500) == 1500
+
+
+def test_more_than_a_thousand_languages(docs):
+    rows = [(i, f"word{chr(97 + i % 26)}") for i in range(1100)] + [(i, "the dog and a cat") for i in range(2000, 2040)]
+    df = docs(rows).withColumn("lang", F.when(F.col("doc_id") < 1100, F.concat(F.lit("x"), "doc_id")).otherwise("en"))
+    models = langid.train(df, df.limit(0), ["doc_id"])
+    assert len(models) == 1101
+
+
+def test_language_of_the_calibrating_part_alone(docs):
+    df = docs([(i, "der hund" if i < 5 else "the cat and") for i in range(30)])
+    df = df.withColumn("lang", F.when(F.col("doc_id") < 5, "de").otherwise("en"))
+    models = langid.train(df.filter("doc_id >= 10"), df.filter("doc_id < 10"), ["doc_id"])
+    assert [(m.name, np.isfinite(m.limit)) for m in models] == [("de", False), ("en", True)]
