@@ -98,10 +98,13 @@ def record(page_id: int | None, url: str | None, payload: bytes, sha1: str, refe
 def build_dictionary(typed: DataFrame, total: int, rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES) -> bytes:
     """A dictionary from a sample of about ``rows`` of ``total`` records, chosen by the hash of digest and id.
 
+    Of a long payload the sample holds ``SAMPLE_BYTES`` at a place chosen by another hash of both.
     What reaches the driver is at most twice ``rows`` times ``SAMPLE_BYTES``, whatever the size of the table.
     """
+    room = F.greatest(F.octet_length("payload") - SAMPLE_BYTES, F.lit(0))
+    start = F.pmod(F.xxhash64(F.lit("place"), "sha1", "page_id"), room + 1).cast("int") + 1
     part = typed.filter("refers_to IS NULL").select(
-        "page_id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "sha1")
+        "page_id", "url", F.substring("payload", start, F.lit(SAMPLE_BYTES)).alias("payload"), "sha1")
     chosen = sampled(part, rows, total, "sha1", "page_id")
     sample = sorted(chosen.limit(2 * rows).collect(), key=lambda r: (r.sha1, str(r.page_id), str(r.url)))
     records = [record(r.page_id, r.url, bytes(r.payload), r.sha1, None) for r in sample]

@@ -68,3 +68,11 @@ def test_empty_table_and_trained_dictionary(pages, spark, folder):
     table = spark.read.parquet(f"{folder}/pages.parquet")
     assert warc.archive_round_trip(table).count() == table.count()
     assert warc.build_dictionary(warc.record_types(table), table.count())[:4] == b"\x37\xa4\x30\xec"
+
+
+def test_dictionary_learns_from_all_of_a_page(pages):
+    """A phrase that stands only after the first ``SAMPLE_BYTES`` of every page is in the dictionary."""
+    filler = lambda i: hashlib.shake_256(str(i).encode()).hexdigest(6000)
+    rows = [(i, f"http://a/{i}", filler(i) + "<footer>the same closing words of every page</footer>" * 400) for i in range(200)]
+    made = warc.build_dictionary(warc.record_types(pages(rows)), len(rows))
+    assert b"the same closing words of every page" in made
