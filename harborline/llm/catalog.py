@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import bpe, dedup, langid, licenses, mixing, pii, quality, simhash, tokencount, warc
+from harborline.llm import alignment, bpe, dedup, langid, licenses, mixing, pii, quality, simhash, tokencount, warc
 from harborline.llm.frames import documents, table, tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,6 +138,13 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "keep_id", F.col("group_size"), "kept", "text_sha256")
 
 
+@query("op13_token_alignment")
+def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups, links and corpus counts of two tokenizers over every document."""
+    return alignment.alignment(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline over all documents."""
