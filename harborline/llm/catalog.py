@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import alignment, bpe, dedup, langid, licenses, mixing, pii, quality, simhash, tokencount, warc
+from harborline.llm import alignment, bpe, dedup, langid, licenses, minhash, mixing, pii, quality, rtree, simhash, tokencount, warc
 from harborline.llm.frames import documents, table, tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,6 +138,38 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "keep_id", F.col("group_size"), "kept", "text_sha256")
 
 
+@query("op11_hard_negatives", """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CASE WHEN len(a.v) = 0 THEN 0 ELSE list_inner_product(a.v, b.v) END::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, positive_id, positive_score, other_id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+   AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+""")
+def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """The hardest negatives inside the score window of every anchor's positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rtree.hard_negatives(table(spark, folder, "embeddings"), label=label)
+
+
+@query("op12_minhash")
+def minhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate group of every document by the shingles it shares."""
+    return minhash.near_duplicates(documents(spark, folder))
+
+
 @query("op13_token_alignment")
 def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Groups, links and corpus counts of two tokenizers over every document."""

@@ -129,3 +129,23 @@ def mix(docs):
 def encoding(path, pattern):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     return tiktoken.Encoding("test", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def shingle_set(text, n=4):
+    found = words(lower(text))
+    return {" ".join(found[i:i + n]) for i in range(len(found) - n + 1)} or ({" ".join(found)} if found else set())
+
+
+def similar_groups(texts, percent=80):
+    """Group (its least place) of every text, and the size of its set."""
+    sets = [shingle_set(t) for t in texts]
+    holds = defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            holds[x].append(i)
+    edges = []
+    for i, s in enumerate(sets):
+        both = Counter(j for x in s for j in holds[x] if j < i)
+        edges += [(i, j) for j, n in both.items() if 100 * n >= percent * (len(s) + len(sets[j]) - n)]
+    found = roots(range(len(texts)), edges)
+    return [(len(s), found[i]) for i, s in enumerate(sets)]
