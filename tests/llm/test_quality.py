@@ -48,6 +48,17 @@ def test_empty_and_unlabelled(docs, labels):
     assert [r.kept for r in quality.quality(docs([(1, text)]), labels([]).limit(0)).collect()] == [True]
 
 
+def test_repeated_labels_change_nothing(docs, labels, texts):
+    ids = [(i, 1, 0) for i in range(4000)]
+    once = {r._id for r in quality.trusted_ids(labels(ids), 1000).collect()}
+    assert 800 < len(once) < 1200
+    assert once == {r._id for r in quality.trusted_ids(labels(ids * 10 + ids[:500] * 7), 1000).collect()}
+    rows = [(i, t) for i, t, _ in texts]
+    marks = [(i, i % 2, 0) for i, _, _ in texts]
+    first, again = (rows_of(quality.quality(docs(rows), labels(m))) for m in (marks, marks * 3 + marks[:90] * 5))
+    assert first == again
+
+
 @settings(max_examples=3, deadline=None)
 @given(data=st.lists(st.text(alphabet="ab \n\t#é", max_size=120), min_size=20, max_size=60))
 def test_base_counts(spark, data):
