@@ -9,8 +9,8 @@ live neighbours, three leaves, and each change climbs at most log2(n) levels: a
 of n bytes costs O(n log n), also when it is a megabyte without a blank.
 
 Encoding runs inside the tasks that read the text; no shuffle. Pieces that were merged are
-remembered per worker in two generations of ``REMEMBERED``, which bounds memory and never
-changes a result. Long texts are cut piece by piece and never held as a list of all pieces.
+remembered per worker in two generations of ``REMEMBERED`` bytes, and pieces over ``KEPT`` characters not at all, which
+bounds memory and never changes a result. Long texts are cut piece by piece and never held as a list of all pieces.
 
 Defined results: a null text encodes like the empty one, to no ids; decoding null or no
 ids gives empty bytes, an id outside the vocabulary raises. Rows, order of columns and
@@ -34,7 +34,9 @@ from pyspark.sql import types as T
 
 from harborline.llm.frames import packed
 
-REMEMBERED = 600_000  # pieces per generation and worker, about 130 MB
+REMEMBERED = 128 << 20  # bytes of pieces and ids per generation and worker
+ENTRY = 180  # bytes of an entry besides its characters and ids
+KEPT = 256  # characters up to which a piece is remembered
 LONG = 1 << 20  # characters from which a text is cut in blocks
 FLUSH = 1 << 22  # ids per Arrow batch
 
@@ -93,7 +95,7 @@ class Pieces(dict):
 
     def __init__(self, ranks: dict[bytes, int], room: int = REMEMBERED):
         super().__init__()
-        self.ranks, self.room, self.older = ranks, room, {}
+        self.ranks, self.room, self.older, self.held = ranks, room, {}, 0
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
@@ -101,9 +103,13 @@ class Pieces(dict):
             data = piece.encode()
             whole = self.ranks.get(data)
             ids = array("i", merge(data, self.ranks) if whole is None else (whole,)).tobytes()
-        if len(self) >= self.room:
+        if len(piece) > KEPT:
+            return ids
+        self.held += ENTRY + 4 * len(piece) + len(ids)
+        if self.held > self.room:
             self.older = dict(self)
             self.clear()
+            self.held = ENTRY + 4 * len(piece) + len(ids)
         self[piece] = ids
         return ids
 

@@ -14,10 +14,12 @@ a whole; a repeated append can only add equal rows, which reading folds together
 
 For a tokenizer that drops blanks and never looks across them, runs of the six ASCII
 blanks count as one, and within a task a text is encoded as its runs of non-blanks, each
-distinct run once per worker memory of ``REMEMBERED`` runs.
+distinct run once per worker memory. That memory holds at most ``REMEMBERED`` bytes besides the runs of the text
+at hand, however long the runs are.
 
 Defined results: a null text is empty and has 0 tokens; an empty table gives an empty result
-and leaves the cache as it is; repeated rows each get their count.
+and leaves the cache as it is; repeated rows each get their count. Very long texts are counted whole. Other columns
+play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +36,8 @@ from pyspark.sql import functions as F
 from harborline.llm.frames import BLANK, staged, text_of
 from harborline.operators.storage import shared_path
 
-REMEMBERED = 500_000
+REMEMBERED = 96 << 20  # bytes of remembered runs and counts per worker
+ENTRY = 160  # bytes of an entry besides its run
 LIMIT = 2048
 SCHEMA = "digest binary, tokenizer string, n_tokens bigint"
 
@@ -99,18 +102,22 @@ def normalised(text: Column, blanks: bool) -> Column:
 
 
 class Runs(dict):
-    """Token counts by run of non-blanks."""
+    """Token counts by run of non-blanks, at most ``room`` bytes of them from one text to the next."""
 
-    def __init__(self, count):
+    def __init__(self, count, room: int = REMEMBERED):
         super().__init__()
-        self.count = count
+        self.count, self.room, self.held = count, room, 0
 
-    def learn(self, runs: list[bytes]) -> None:
+    def total(self, runs: list[bytes]) -> int:
+        """Tokens of all runs."""
         missing = list({r for r in runs if r not in self})
-        if len(self) + len(missing) > REMEMBERED:
-            self.clear()
-            missing = list(set(runs))
+        self.held += sum(map(len, missing)) + ENTRY * len(missing)
         self.update(zip(missing, self.count([r.decode() for r in missing])))
+        found = sum(map(self.__getitem__, runs))
+        if self.held > self.room:
+            self.clear()
+            self.held = 0
+        return found
 
 
 @lru_cache(maxsize=4)
@@ -133,9 +140,7 @@ def count_texts(texts: DataFrame, path: str, tokenizer: str, blanks: bool) -> Da
                     continue
                 known, runs, total = _runs(path), text.encode().split(), 0
                 for at in range(0, len(runs), block):
-                    part = runs[at:at + block]
-                    known.learn(part)
-                    total += sum(map(known.__getitem__, part))
+                    total += known.total(runs[at:at + block])
                 counts.append(total)
             names = pa.array([tokenizer] * len(counts), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("digest"), names, pa.array(counts, pa.int64())],

@@ -62,3 +62,15 @@ def test_unknown_ids_raise(spark):
     with pytest.raises(Exception, match="not in the vocabulary"):
         bpe.decoded(df, PATH).collect()
     assert bytes(bpe.decoded(spark.createDataFrame([(None,)], "ids array<int>"), PATH).first().decoded) == b""
+
+
+def test_memory_is_bounded_in_bytes():
+    """100 000 pieces of many lengths leave two generations of the stated size at most."""
+    known, most = bpe.Pieces(dict.fromkeys((bytes([i]) for i in range(256)), 0), room=4 << 20), 0
+    for i in range(100_000):
+        piece = f"{i:07d}" + "x" * (i % 300)
+        assert len(known[piece]) == 4 * len(piece) if i % 50 == 0 else known[piece]
+        if i % 500 == 0:
+            most = max(most, sum(4 * len(k) + len(v) for one in (known, known.older) for k, v in one.items()))
+    assert 4 << 20 < most <= 2 * (4 << 20)
+    assert all(len(k) <= bpe.KEPT for k in known)

@@ -62,3 +62,13 @@ def test_versions_do_not_mix(docs, tmp_path):
 
 def test_empty(docs):
     assert tc.token_counts(docs([(1, "a")]).limit(0), WORDS).count() == 0
+
+
+def test_memory_is_bounded_in_bytes():
+    """100 000 runs of 3 KB, in texts of 50 runs, leave no more than the stated limit."""
+    known, most = tc.Runs(lambda runs: [len(r) for r in runs], room=20 << 20), 0
+    for text in range(2000):
+        runs = [b"%d-%d-" % (text, i) + b"x" * 3000 for i in range(50)]
+        assert known.total(runs * 2) == 2 * sum(map(len, runs))
+        most = max(most, sum(map(len, known)))
+    assert most <= 20 << 20
