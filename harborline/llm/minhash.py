@@ -17,7 +17,7 @@ shares of ``SHARE``. Buckets that still hold more than one component are then co
 dealt in blocks of bounded size, each member goes to the cells (own block, other block), which
 together hold every pair, and a cell counts the intersections of its sets through postings and emits a
 spanning forest of links only. So no link of a bucket is lost, no list of pairs is made, and no task
-holds an unbounded group. Texts, which compress, travel instead of sets.
+holds an unbounded group. Compressed texts travel instead of sets.
 
 Only one document of each distinct set is sketched into buckets. Components come from
 ``components``; all intermediate frames lie in the shared folder.
@@ -37,6 +37,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -149,10 +150,24 @@ def _key(text: Column) -> Column:
 
 
 def _texts(docs: DataFrame, text_column: str, nodes: DataFrame) -> DataFrame:
-    """``node`` and ``text`` of the given rows of ``node`` and ``key``, one text each."""
+    """``node`` and compressed ``text`` of the given rows of ``node`` and ``key``, one text each.
+
+    The nodes grow with the corpus, so the join is a merge join at every size, and texts are compressed before
+    they are shuffled.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            pressed = [press.compress(t.as_py().encode()) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(pressed, pa.binary())], names=["key", "text"])
+
     rows = docs.select(_key(text_of(text_column)).alias("key"), text_of(text_column).alias("text"))
-    # Copies of a text are folded before the shuffle as far as a task sees them.
-    return staged(rows.join(nodes, "key").dropDuplicates(["node"]).select("node", "text"), "texts")
+    rows = rows.mapInArrow(run, "key binary, text binary")
+    return staged(rows.hint("merge").join(nodes, "key").dropDuplicates(["node"]).select("node", "text"), "texts")
+
+
+def _set_of(pressed: pa.Scalar, shingle: int) -> np.ndarray:
+    return shingles(zstandard.decompress(pressed.as_py()).decode(), shingle)
 
 
 def star_links(stars: DataFrame, texts: DataFrame, shingle: int, percent: int, share: int = SHARE) -> DataFrame:
@@ -171,7 +186,7 @@ def star_links(stars: DataFrame, texts: DataFrame, shingle: int, percent: int, s
             found = []
             columns = [batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("center", "share", "other", "node")]
             for i, (center, part, other, node) in enumerate(zip(*columns)):
-                mine = shingles(batch.column("text")[i].as_py(), shingle)
+                mine = _set_of(batch.column("text")[i], shingle)
                 if not other:
                     held, own = (center, part), mine
                     continue
@@ -251,7 +266,7 @@ def bucket_links(members: DataFrame, texts: DataFrame, shingle: int, percent: in
                     now, nodes, roots, sets = key, [], [], []
                 nodes.append(node)
                 roots.append(root)
-                sets.append(shingles(batch.column("text")[i].as_py(), shingle))
+                sets.append(_set_of(batch.column("text")[i], shingle))
             yield _edges(found)
         if len(set(roots)) > 1:
             yield _edges(cell_links(nodes, roots, sets, percent))
@@ -266,7 +281,7 @@ def set_links(docs: DataFrame, classes: DataFrame, text_column: str, shingle: in
     dealt = classes.select("node", "n", F.explode("bands").alias("band"))
     buckets = dealt.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("center"))
     buckets = staged(buckets.filter("size > 1"), "buckets")
-    met = staged(dealt.join(buckets, "band"), "met")
+    met = staged(dealt.hint("merge").join(buckets, "band"), "met")
     stars = staged(met.filter("node <> center").select("center", "node").distinct(), "stars")
     used = stars.select("node").union(stars.select("center")).distinct()
     texts = _texts(docs, text_column, staged(classes.select("node", "key").join(used, "node"), "used"))
