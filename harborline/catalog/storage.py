@@ -47,6 +47,27 @@ def csv_scan(ops):
     return bundle.read_bundle(ops.spark, folder)["orders"]
 
 
+BROKEN_NOTES = """
+SELECT source_row, order_id, customer_id, warehouse_id, employee_id, order_date,
+       CASE CAST(source_row AS BIGINT) % 5
+            WHEN 0 THEN 'first' || chr(10) || '"second", ' || employee_id || chr(10) || chr(10) || 'last'
+            WHEN 1 THEN 'said ""' || chr(13) || chr(10) || order_status WHEN 2 THEN '"' ELSE order_notes END AS order_notes,
+       order_status FROM raw_orders"""
+
+
+@query("a01_csv_scan_with_breaks", with_ctes(BROKEN_NOTES))
+def csv_scan_with_breaks(ops):
+    """A raw table whose notes hold line breaks and quotes, read back in parallel."""
+    orders = RawTables(ops)["orders"]
+    kind = F.col("source_row") % 5
+    broken = F.when(kind == 0, F.concat(F.lit('first\n"second", '), F.col("employee_id"), F.lit("\n\nlast"))).when(
+        kind == 1, F.concat(F.lit('said ""\r\n'), F.col("order_status"))).when(kind == 2, '"').otherwise(F.col("order_notes"))
+    orders = orders.withColumn("order_notes", broken)
+    folder, _ = written_as_csv(orders.withColumn("at", F.col("source_row")).drop("source_row"), "orders", "at")
+    read = bundle.read_bundle(ops.spark, folder, multiline=True)["orders"]
+    return read
+
+
 TOKENS = ("NA", "null", "None", "NONE", "nan", "N/A", "x")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from harborline.contract import CONTRACT, REJECT, Table
 from harborline.operators.storage import staged
 from harborline.operators.validate import FINDING, MESSAGE
+from harborline.sources.records import read_records
 
 # Texts that mean a missing value in a CSV file. ``NONE`` does not.
 NULL_TOKENS = (
@@ -24,7 +25,7 @@ def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> Da
 
     Quotes are doubled inside quoted values. Files whose header differs in names or order are
     refused. ``multiline`` allows line breaks inside values, which keeps a file from
-    being split.
+    being split; ``records.read_records`` reads such files in parallel.
     """
     return (
         spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
@@ -65,8 +66,14 @@ def with_row_position(df: DataFrame, out: str = "source_row", first: int = 2) ->
 
 
 def read_table(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """One raw table: text columns with missing values as null, and ``source_row``."""
-    df = with_row_position(read_csv_text(spark, path, multiline))
+    """One raw table: text columns with missing values as null, and ``source_row``.
+
+    ``multiline`` allows line breaks inside quoted values and columns in another order per file.
+    """
+    if multiline:
+        df = read_records(spark, path).drop("source_line")
+    else:
+        df = with_row_position(read_csv_text(spark, path))
     return df.select("source_row", *[null_tokens_as_null(c) for c in df.columns if c != "source_row"])
 
 
