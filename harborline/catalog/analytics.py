@@ -75,11 +75,14 @@ def z_scores(ops):
     return features.processing_outliers(stored_features(ops)).select("order_id", "z_score", "z_score_flag")
 
 
-@query("k04_order_anomalies", with_ctes(rounded("""
+ORDER_ANOMALIES = """
 SELECT 'order_processing_time' AS anomaly_type, order_id, warehouse_id, order_date AS "date", processing_days,
        warehouse_load, CAST(is_late AS DOUBLE) AS late_rate, iqr_flag, z_score_flag,
        FALSE AS isolation_forest_flag, z_score AS anomaly_score
-FROM outliers WHERE iqr_flag OR z_score_flag""", ("processing_days", "late_rate", "anomaly_score"))))
+FROM outliers WHERE iqr_flag OR z_score_flag"""
+
+
+@query("k04_order_anomalies", with_ctes(rounded(ORDER_ANOMALIES, ("processing_days", "late_rate", "anomaly_score"))))
 def order_anomalies(ops):
     """Orders with an unusual processing time; a tight limit lets some through."""
     return features.order_anomalies(stored_features(ops))
@@ -104,13 +107,73 @@ def warehouse_days(ops):
     return features.warehouse_days(features.order_features(ops))
 
 
-@query("k06_isolation_forest")
+define("forest_rows", """
+SELECT row_number() OVER () AS rid, warehouse_id, "date", warehouse_load, processing_days, late_rate,
+       CAST(warehouse_id AS VARCHAR) || '|' || CAST("date" AS VARCHAR) AS row_key,
+       CAST(warehouse_load AS DOUBLE) AS x1, CAST(processing_days AS DOUBLE) AS x2, CAST(late_rate AS DOUBLE) AS x3
+FROM days WHERE processing_days IS NOT NULL""", stored=True)
+define("forest_size", """
+SELECT LEAST(256, COUNT(*)) AS sample, CAST(GREATEST(1, ceil(log2(LEAST(256, COUNT(*))))) AS INT) AS deep
+FROM forest_rows""", stored=True)
+define("forest_members", """
+SELECT tree, rid, row_number() OVER (PARTITION BY tree ORDER BY h, row_key) <= (SELECT sample FROM forest_size) AS sampled
+FROM (SELECT tree, rid, row_key, CAST('0x' || md5('42:' || tree || ':row:' || row_key)[1:13] AS BIGINT) AS h
+      FROM forest_rows, range(100) AS t(tree)) AS drawn""", stored=True)
+
+
+def path_sql(n: str) -> str:
+    """Mean depth of an unsuccessful search among n keys."""
+    return (f"CASE WHEN {n} <= 1 THEN 0::DOUBLE WHEN {n} = 2 THEN 1::DOUBLE ELSE 2::DOUBLE * (ln({n} - 1) "
+            f"+ 0.5772156649015329::DOUBLE) - 2::DOUBLE * ({n} - 1) / {n} END")
+
+
+def node_draw_sql(what: str) -> str:
+    return f"CAST('0x' || md5('42:' || tree || ':' || node || ':{what}')[1:13] AS BIGINT)::DOUBLE / 4503599627370496::DOUBLE"
+
+
+# All rows walk down all trees together; the sampled ones among those at a node decide its split.
+define("forest_walk", f"""
+SELECT tree, rid, sampled, 0::BIGINT AS node, 0 AS depth, NULL::BIGINT AS path FROM forest_members
+UNION ALL
+SELECT w.tree, w.rid, w.sampled,
+       CASE WHEN feature IS NULL THEN w.node WHEN (CASE feature WHEN 1 THEN x1 WHEN 2 THEN x2 ELSE x3 END) <= cut
+            THEN 2 * w.node + 1 ELSE 2 * w.node + 2 END,
+       w.depth + 1, CASE WHEN feature IS NULL THEN CAST(round((w.depth + ({path_sql("n")})) * 4294967296::DOUBLE) AS BIGINT) END
+FROM forest_walk AS w JOIN forest_rows AS r ON r.rid = w.rid JOIN (
+    SELECT tree, node, n, feature, CASE WHEN lows[feature] + u * (highs[feature] - lows[feature]) >= highs[feature]
+                                        THEN lows[feature] ELSE lows[feature] + u * (highs[feature] - lows[feature]) END AS cut
+    FROM (SELECT tree, node, n, lows, highs, {node_draw_sql("cut")} AS u,
+                 CASE WHEN depth < (SELECT deep FROM forest_size) AND n > 1 THEN usable[CAST(floor({node_draw_sql("feature")}
+                      * len(usable)) AS INT) + 1] END AS feature
+          FROM (SELECT *, list_filter([1, 2, 3], lambda i: highs[i] > lows[i]) AS usable
+                FROM (SELECT tree, node, MAX(depth) AS depth, COUNT(*) AS n, [MIN(x1), MIN(x2), MIN(x3)] AS lows,
+                             [MAX(x1), MAX(x2), MAX(x3)] AS highs
+                      FROM forest_walk JOIN forest_rows ON forest_rows.rid = forest_walk.rid
+                      WHERE sampled AND path IS NULL GROUP BY tree, node) AS seen) AS able) AS split
+) AS s ON s.tree = w.tree AND s.node = w.node
+WHERE w.path IS NULL""")
+define("forest_scores", f"""
+SELECT rid, -pow(2::DOUBLE, -SUM(path)::DOUBLE / 4294967296::DOUBLE / 100 / (SELECT {path_sql("sample")} FROM forest_size))
+       AS anomaly_score FROM forest_walk WHERE path IS NOT NULL GROUP BY rid""", stored=True)
+define("day_anomalies", """
+SELECT 'warehouse_day' AS anomaly_type, warehouse_id, "date", processing_days, warehouse_load, late_rate,
+       FALSE AS iqr_flag, FALSE AS z_score_flag, TRUE AS isolation_forest_flag, anomaly_score
+FROM forest_rows JOIN forest_scores ON forest_scores.rid = forest_rows.rid
+WHERE anomaly_score < (SELECT quantile_cont(anomaly_score, 0.05) FROM forest_scores)
+  AND (SELECT COUNT(*) FROM forest_rows) >= 5""", stored=True)
+define("all_anomalies", f"""
+{ORDER_ANOMALIES}
+UNION ALL BY NAME
+SELECT *, NULL::BIGINT AS order_id FROM day_anomalies""")
+
+
+@query("k06_isolation_forest", with_ctes(rounded("SELECT * FROM day_anomalies", ("processing_days", "late_rate", "anomaly_score"))))
 def isolation_forest(ops):
     """Unusual warehouse-days."""
     return features.warehouse_day_anomalies(stored_features(ops))
 
 
-@query("k07_anomalies")
+@query("k07_anomalies", with_ctes(rounded("SELECT * FROM all_anomalies", ("processing_days", "late_rate", "anomaly_score"))))
 def anomalies(ops):
     """Order and warehouse-day anomalies in one relation."""
     return features.anomalies(stored_features(ops))
@@ -206,14 +269,67 @@ def effective_k(ops):
     return clustering.distinct_points(scaled(ops), SCALED, 4).agg(F.count(F.lit(1)).alias("effective_k"))
 
 
-@query("k16_customer_segments")
-def customer_segments(ops):
-    """k-means segments with churn risk."""
-    return segments.customer_segments(ops)
+define("grid", """
+SELECT CAST(round(scaled_recency * 65536) AS BIGINT) AS q1, CAST(round(scaled_frequency * 65536) AS BIGINT) AS q2,
+       CAST(round(scaled_monetary * 65536) AS BIGINT) AS q3, COUNT(*) AS weight
+FROM scaled_rfm GROUP BY 1, 2, 3""", stored=True)
+
+
+def distances_sql(centers: str) -> str:
+    """Squared distances of a grid point to a list of centres."""
+    gap = lambda i: f"CAST(q{i} - c[{i}] AS DOUBLE) * CAST(q{i} - c[{i}] AS DOUBLE)"
+    return f"list_transform({centers}, lambda c: {gap(1)} + {gap(2)} + {gap(3)})"
+
 
+def race_sql(place: str, far: str) -> str:
+    """Time at which a point wins a place among the first centres."""
+    key = f"'42:' || run || ':' || {place} || ':' || q1 || ':' || q2 || ':' || q3"
+    return f"(-ln((CAST('0x' || md5({key})[1:13] AS BIGINT)::DOUBLE + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / (weight::DOUBLE * {far}))"
 
-@query("k17_cluster_labels", with_ctes("""
-SELECT r.customer_id, r.customer_id % 5 AS cluster_id, label AS segment_label FROM rfm_base AS r JOIN (
+
+def mean_sql(place: int) -> str:
+    """Centre number ``place`` after a step: means rounded to whole numbers, by a division of positive ones."""
+    shift = 1 << 40
+    own = f"FILTER (WHERE a = {place})"
+    mean = lambda i: (f"CAST((2 * SUM(weight::HUGEINT * q{i}) {own} + SUM(weight) {own} + 2 * SUM(weight)::HUGEINT {own} * {shift})"
+                      f" // (2 * SUM(weight)::HUGEINT {own}) - {shift} AS BIGINT)").replace("::HUGEINT FILTER", " FILTER")
+    return f"CASE WHEN COUNT(*) {own} > 0 THEN [{mean(1)}, {mean(2)}, {mean(3)}] ELSE any_value(centers)[{place}] END"
+
+
+define("first_centers", f"""
+SELECT run, 1 AS places, [arg_min([q1, q2, q3], ({race_sql("0", "1::DOUBLE")}, q1, q2, q3))] AS centers
+FROM grid, range(10) AS t(run) GROUP BY run
+UNION ALL
+SELECT run, places + 1, list_append(any_value(centers), arg_min([q1, q2, q3], ({race_sql("places", "far")}, q1, q2, q3)))
+FROM (SELECT run, places, centers, q1, q2, q3, weight, list_min({distances_sql("centers")}) AS far
+      FROM first_centers, grid WHERE places < 4) AS d
+WHERE far > 0 GROUP BY run, places""")
+define("steps", f"""
+SELECT run, 0 AS step, arg_max(centers, places) AS centers, FALSE AS still FROM first_centers GROUP BY run
+UNION ALL
+SELECT run, step + 1, moved, moved = centers
+FROM (SELECT run, step, any_value(centers) AS centers, [{", ".join(map(mean_sql, range(1, 5)))}][1:len(any_value(centers))] AS moved
+      FROM (SELECT *, list_position(ds, list_min(ds)) AS a
+            FROM (SELECT run, step, centers, q1, q2, q3, weight, {distances_sql("centers")} AS ds
+                  FROM steps, grid WHERE NOT still AND step < 300) AS d) AS near
+      GROUP BY run, step) AS m""")
+define("best_centers", f"""
+SELECT arg_min(centers, (cost, run)) AS centers FROM (
+    SELECT run, any_value(centers) AS centers, SUM(weight * CAST(list_min({distances_sql("centers")}) AS HUGEINT)) AS cost
+    FROM (SELECT run, arg_max(centers, step) AS centers FROM steps GROUP BY run) AS last, grid GROUP BY run) AS c""", stored=True)
+define("clusters", f"""
+SELECT r.*, list_position(ds, list_min(ds)) - 1 AS cluster_id
+FROM rfm_base AS r JOIN (
+    SELECT customer_id, {distances_sql("centers")} AS ds
+    FROM (SELECT customer_id, CAST(round(scaled_recency * 65536) AS BIGINT) AS q1,
+                 CAST(round(scaled_frequency * 65536) AS BIGINT) AS q2,
+                 CAST(round(scaled_monetary * 65536) AS BIGINT) AS q3 FROM scaled_rfm) AS p, best_centers
+) AS d ON d.customer_id = r.customer_id""", stored=True)
+
+
+def labels_sql(clustered: str) -> str:
+    """Label of every cluster of a table with RFM columns and ``cluster_id``."""
+    return f"""
     SELECT cluster_id, CASE WHEN cluster_id = champion THEN 'Champions' WHEN cluster_id = lost THEN 'Lost'
                             WHEN ROW_NUMBER() OVER (ORDER BY cluster_id IN (champion, lost), f - r DESC, cluster_id) = 1
                             THEN 'Loyal' ELSE 'At Risk' END AS label
@@ -224,9 +340,27 @@ SELECT r.customer_id, r.customer_id % 5 AS cluster_id, label AS segment_label FR
                            (r - AVG(r) OVER ()) / COALESCE(NULLIF(stddev_pop(r) OVER (), 0), 1) AS r,
                            (f - AVG(f) OVER ()) / COALESCE(NULLIF(stddev_pop(f) OVER (), 0), 1) AS f,
                            (m - AVG(m) OVER ()) / COALESCE(NULLIF(stddev_pop(m) OVER (), 0), 1) AS m
-                    FROM (SELECT customer_id % 5 AS cluster_id, AVG(recency_days) AS r, AVG(frequency) AS f,
-                                 AVG(monetary) AS m FROM rfm_base GROUP BY 1) AS means) AS profile) AS c) AS l
-) AS labels ON labels.cluster_id = r.customer_id % 5"""))
+                    FROM (SELECT cluster_id, AVG(recency_days) AS r, AVG(frequency) AS f,
+                                 AVG(monetary) AS m FROM {clustered} GROUP BY 1) AS means) AS profile) AS c) AS l"""
+
+
+define("segments", f"""
+SELECT c.*, label AS segment_label, frequency_decline_score, ticket_count, churn_risk_score
+FROM clusters AS c JOIN ({labels_sql("clusters")}) AS labels ON labels.cluster_id = c.cluster_id
+JOIN churn ON churn.customer_id = c.customer_id""")
+
+
+@query("k16_customer_segments", with_ctes(rounded("SELECT * FROM segments", (
+    "recency_days", "monetary", "frequency_decline_score", "churn_risk_score"))))
+def customer_segments(ops):
+    """k-means segments with churn risk."""
+    return segments.customer_segments(ops)
+
+
+@query("k17_cluster_labels", with_ctes(f"""
+SELECT r.customer_id, r.customer_id % 5 AS cluster_id, label AS segment_label
+FROM rfm_base AS r JOIN ({labels_sql("(SELECT *, customer_id % 5 AS cluster_id FROM rfm_base) AS given")}) AS labels
+ON labels.cluster_id = r.customer_id % 5"""))
 def cluster_labels(ops):
     """Labels of given clusters; here five classes of customer numbers."""
     rfm = segments.customer_rfm(ops).withColumn("cluster_id", F.col("customer_id") % 5)

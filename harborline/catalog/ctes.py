@@ -5,10 +5,14 @@ from __future__ import annotations
 import re
 
 CTES: dict[str, str] = {}
+STORED: set[str] = set()
 
 
-def define(name: str, sql: str) -> None:
+def define(name: str, sql: str, stored: bool = False) -> None:
+    """A table definition; it may refer to itself. ``stored`` has it computed once where it is read many times."""
     CTES[name] = sql.strip()
+    if stored:
+        STORED.add(name)
 
 
 def with_ctes(body: str) -> str:
@@ -25,8 +29,9 @@ def with_ctes(body: str) -> str:
     visit(body)
     if not wanted:
         return body
-    heads = ",\n".join(f"{name} AS (\n{CTES[name]}\n)" for name in wanted)
-    return f"WITH {heads}\n{body}"
+    heads = ",\n".join(f"{name} AS {'MATERIALIZED ' if name in STORED else ''}(\n{CTES[name]}\n)" for name in wanted)
+    recursive = "RECURSIVE " if any(re.search(rf"\b{name}\b", CTES[name]) for name in wanted) else ""
+    return f"WITH {recursive}{heads}\n{body}"
 
 
 define("ops_warehouses", """

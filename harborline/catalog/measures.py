@@ -11,15 +11,17 @@ from harborline.functions import days_between, mean_of, safe_ratio
 from harborline.operators.storage import staged
 from harborline.plans import decompose, features, kpi, segments
 from harborline.plans.measures import histogram, measure, share_of
-from harborline.sources.calendar import calendar
+from harborline.sources.calendar import calendar_of
 
-YEAR = 2000  # selected on the calendar
+# The year selected on the calendar: the latest one with orders.
+LATEST_YEAR = "(SELECT strftime(MAX(order_date), '%Y') FROM ops_orders)"
 
 
 def chosen_months(ops):
-    """Months of the selected year, as a calendar slicer yields them."""
-    days = calendar(ops.spark, f"{YEAR}-01-01", f"{YEAR}-12-31")
-    return days.select(F.date_format("date", "yyyy-MM").alias("month")).distinct()
+    """Months of the latest year with orders, as a calendar slicer yields them."""
+    days = calendar_of(ops["order_headers"], "order_date")
+    latest = days.agg(F.max("year")).scalar()
+    return days.filter(F.col("year") == latest).select(F.date_format("date", "yyyy-MM").alias("month")).distinct()
 
 
 def monthly_measures():
@@ -48,7 +50,7 @@ def monthly_totals(ops):
     return measure(kpi.monthly_kpis(ops), monthly_measures())
 
 
-@query("n02_calendar_measures", with_ctes(rounded(f"{MONTHLY_SQL} WHERE substr(month, 1, 4) = '{YEAR}'", RATES)))
+@query("n02_calendar_measures", with_ctes(rounded(f"{MONTHLY_SQL} WHERE substr(month, 1, 4) = {LATEST_YEAR}", RATES)))
 def calendar_measures(ops):
     """The same for the months selected on the calendar."""
     return measure(kpi.monthly_kpis(ops), monthly_measures(), within=(chosen_months(ops), "month"))
@@ -75,7 +77,7 @@ def warehouse_measures(ops):
 
 
 @query("n03_calendar_warehouse_measures", with_ctes(rounded(
-    f"{WAREHOUSE_SQL} WHERE substr(month, 1, 4) = '{YEAR}' GROUP BY 1", WAREHOUSE_RATES)))
+    f"{WAREHOUSE_SQL} WHERE substr(month, 1, 4) = {LATEST_YEAR} GROUP BY 1", WAREHOUSE_RATES)))
 def calendar_warehouse_measures(ops):
     """The same for the selected months."""
     return _warehouse(ops, within=(chosen_months(ops), "month"))
@@ -112,7 +114,7 @@ def order_anomaly_rows(ops):
     return measure(found, {"anomaly_rows": F.count(F.lit(1))}, by=["anomaly_type"])
 
 
-@query("n06_anomaly_rows")
+@query("n06_anomaly_rows", with_ctes("SELECT anomaly_type, COUNT(*) AS anomaly_rows FROM all_anomalies GROUP BY 1"))
 def anomaly_rows(ops):
     """Anomalies by type, warehouse-days included."""
     found = features.anomalies(staged(features.order_features(ops), "features"))
@@ -163,7 +165,7 @@ def customer_measures(ops):
     })
 
 
-@query("n09_at_risk_customers")
+@query("n09_at_risk_customers", with_ctes("SELECT segment_label, COUNT(DISTINCT customer_id) AS customers FROM segments GROUP BY 1"))
 def at_risk_customers(ops):
     """Customers per segment label."""
     found = segments.customer_segments(ops)

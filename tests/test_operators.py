@@ -98,6 +98,42 @@ def test_exact_distribution():
             assert exact_u_p(u, n_a, n_b) == pytest.approx(p)
 
 
+def test_exact_distribution_of_few_against_many():
+    """The closed form equals the recurrence, and its cost does not depend on the larger side."""
+    from harborline.operators.hypothesis import few_u_p
+
+    for few, many in ((1, 9), (2, 30), (5, 11), (8, 8), (8, 25)):
+        counts = {0: 1}  # arrangements by U, from those with a value less on one side
+        table = [[{} for _ in range(many + 1)] for _ in range(few + 1)]
+        for a in range(few + 1):
+            for b in range(many + 1):
+                if not a or not b:
+                    table[a][b] = counts
+                    continue
+                cell = dict(table[a][b - 1])
+                for k, n in table[a - 1][b].items():
+                    cell[k + b] = cell.get(k + b, 0) + n
+                table[a][b] = cell
+        total = math.comb(few + many, few)
+        for u in range(few * many + 1):
+            tail = sum(n for k, n in table[few][many].items() if k >= max(u, few * many - u))
+            assert few_u_p(u, few, many) == pytest.approx(min(1.0, 2 * tail / total), abs=1e-12)
+    assert few_u_p(0, 2, 10 ** 9) == pytest.approx(2 / math.comb(10 ** 9 + 2, 2))
+    assert few_u_p(4 * 10 ** 9, 8, 10 ** 9) == pytest.approx(1.0, abs=1e-6)
+
+
+def test_mann_whitney_chooses_the_method(frame):
+    """Exact for a small side without ties; approximate with ties or two large sides."""
+    small = frame("a boolean, v double", [(i < 3, float(i * 7 % 31)) for i in range(31)])
+    row, exact, rough = (mann_whitney(small, "v", F.col("a"), method=m).first() for m in ("auto", "exact", "asymptotic"))
+    assert row["p_value"] == exact["p_value"] == pytest.approx(exact_u_p(row["u"], 3, 28), abs=1e-10)
+    assert row["p_value"] != rough["p_value"]
+    tied = small.union(frame("a boolean, v double", [(False, 7.0)]))
+    large = frame("a boolean, v double", [(i < 9, float(i * 7 % 31)) for i in range(31)])
+    for df in (tied, large):
+        assert mann_whitney(df, "v", F.col("a")).first() == mann_whitney(df, "v", F.col("a"), method="asymptotic").first()
+
+
 def test_chi_square_against_brute_force(frame):
     rng = random.Random(3)
     rows = [(rng.choice("abcd"), rng.random() < 0.3) for _ in range(200)] + [("e", True)] * 7
@@ -166,6 +202,40 @@ def test_kmeans_limits_clusters(frame):
         kmeans_clusters(df, ["x"], 0)
 
 
+def test_kmeans_does_not_depend_on_partitions(spark):
+    """Same clusters for any partitioning and order of rows, and the best of all restarts."""
+    rng = random.Random(9)
+    rows = [(i, rng.gauss(i % 4 * 3.0, 0.7), rng.gauss(i % 3 * 2.0, 0.7)) for i in range(300)] + [(300, 1.0, 1.0)] * 5
+    results = []
+    for parts in (1, 9):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "id int, x double, y double").repartition(parts)
+        results.append(sorted(tuple(r) for r in kmeans_clusters(df, ["x", "y"], 4).select("id", "cluster_id").collect()))
+    assert results[0] == results[1] and {c for _, c in results[0]} == {0, 1, 2, 3}
+    place = {i: (x, y) for i, x, y in rows}
+
+    def cost(found):
+        total = 0.0
+        for c in range(4):
+            own = np.array([place[i] for i, k in found if k == c])
+            total += ((own - own.mean(axis=0)) ** 2).sum()
+        return total
+
+    one = kmeans_clusters(spark.createDataFrame(rows, "id int, x double, y double"), ["x", "y"], 4, restarts=1)
+    assert cost(results[0]) <= cost([tuple(r) for r in one.select("id", "cluster_id").collect()]) + 1e-6
+    # No point is nearer to the mean of another cluster, but for the rounding to the grid.
+    means = {c: np.mean([place[i] for i, k in results[0] if k == c], axis=0) for c in range(4)}
+    for i, c in results[0]:
+        far = {k: ((np.array(place[i]) - m) ** 2).sum() for k, m in means.items()}
+        assert far[c] <= min(far.values()) + 1e-3
+
+
+def test_kmeans_separates_far_groups(frame):
+    df = frame("id int, x double", [(i, 100.0 * (i % 3) + i / 100) for i in range(30)])
+    found = kmeans_clusters(df, ["x"], 3, restarts=5).collect()
+    assert len({(r["id"] % 3, r["cluster_id"]) for r in found}) == 3
+
+
 def test_ntile_compares_values_in_their_own_type(spark):
     """Steps of 1e-8 and values beyond a decimal's range, against the window function."""
     rows = [(i, 1.0 + (i * 7 % 10) * 1e-8, None if i == 3 else i * 7 % 5, 1e35 * (i % 4)) for i in range(10)]
@@ -206,7 +276,8 @@ def test_forest_has_one_sampling_scheme(spark):
 def test_mann_whitney_method(frame):
     df = frame("a boolean, v double", [(True, 1.0), (True, 4.0), (False, 2.0), (False, 3.0), (False, 9.0)])
     exact = mann_whitney(df, "v", F.col("a"), method="exact").first()["p_value"]
-    assert exact == pytest.approx(exact_u_p(2.0, 2, 3)) and exact != mann_whitney(df, "v", F.col("a")).first()["p_value"]
+    assert exact == pytest.approx(exact_u_p(2.0, 2, 3))
+    assert exact != mann_whitney(df, "v", F.col("a"), method="asymptotic").first()["p_value"]
     with pytest.raises(ValueError, match="method"):
         mann_whitney(df, "v", F.col("a"), method="guess")
     with pytest.raises(Exception, match="without ties"):
