@@ -124,6 +124,28 @@ def trimmed_text(ops):
     ).drop("raw")
 
 
+TEXTS = {name: [f.name for f in t.fields] for name, t in CONTRACT.items()}
+
+
+@query("c01_trimmed_columns", with_ctes(" UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", '{c}' AS "column", COUNT(*) FILTER (WHERE {c} IS DISTINCT FROM t_{c}) AS trimmed,
+        COUNT(*) FILTER (WHERE {c} IS NOT NULL AND t_{c} IS NULL) AS emptied FROM judged_{name}"""
+    for name, columns in TEXTS.items() for c in columns)))
+def trimmed_columns(ops):
+    """For every column of every table how many values trimming changed, and how many it left empty."""
+    parts = []
+    for name, columns in TEXTS.items():
+        counts = []
+        for c in columns:
+            raw, text = F.col(c), strip(c)
+            counts.append(F.struct(
+                F.lit(name).alias("table"), F.lit(c).alias("column"),
+                F.count_if(~raw.eqNullSafe(F.nullif(text, F.lit("")))).alias("trimmed"),
+                F.count_if(raw.isNotNull() & (text == "")).alias("emptied")))
+        parts.append(RawTables(ops)[name].agg(F.array(*counts).alias("counts")).select(F.inline("counts")))
+    return reduce(DataFrame.union, parts)
+
+
 @query("c05_title_cased_category", with_ctes("""
 SELECT category AS raw_category, v_category AS category, COUNT(*) AS products,
        COUNT(*) FILTER (WHERE changed) AS changed
@@ -169,6 +191,21 @@ def distinct_reasons(ops):
     )
 
 
+@query("c08_distinct_reasons_all", with_ctes(" UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", source_row, len(string_split(reject_reason, '; ')) AS reasons,
+        len(list_distinct(string_split(reject_reason, '; '))) AS distinct_reasons
+        FROM judged_{name} WHERE reject_reason <> ''""" for name in CONTRACT)))
+def distinct_reasons_all(ops):
+    """The same for the rows of all tables."""
+    parts = [
+        df.filter(F.size("reasons") > 0).select(
+            F.lit(name).alias("table"), "source_row", F.size("reasons").alias("reasons"),
+            F.size(F.array_distinct("reasons")).alias("distinct_reasons"))
+        for name, df in clean.judge(RawTables(ops), stage=True).items()
+    ]
+    return reduce(DataFrame.union, parts)
+
+
 @query("c14_reason_lists", with_ctes(" UNION ALL ".join(
     f"""SELECT '{name}' AS "table", reject_reason, COUNT(*) AS rows_rejected
         FROM judged_{name} WHERE reject_reason <> '' GROUP BY 2""" for name in CONTRACT)))

@@ -221,6 +221,15 @@ def quantile(ops):
         F.percentile("l_quantity", F.lit(p)).alias(n) for n, p in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))])
 
 
+@query("f09_grouped_quantiles", rounded("""
+SELECT l_returnflag, l_linestatus, quantile_cont(l_extendedprice, 0.05) AS q05, quantile_cont(l_extendedprice, 0.5) AS q50,
+       quantile_cont(l_extendedprice, 0.99) AS q99 FROM lineitem GROUP BY 1, 2""", ("q05", "q50", "q99")))
+def grouped_quantiles(ops):
+    """Exact interpolated quantiles per group of a value with about as many levels as rows."""
+    return ordering.grouped_quantiles(ops.source("lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice",
+                                      {"q05": 0.05, "q50": 0.5, "q99": 0.99})
+
+
 @query("f10_population_moments", rounded("""
 SELECT l_returnflag, AVG(l_extendedprice) AS mean, stddev_pop(l_extendedprice) AS sd FROM lineitem GROUP BY 1""",
     ("mean", "sd")))

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.catalog import analytics, cleaning, decomposition, validation
+from harborline.catalog import analytics, cleaning, decomposition
 from harborline.catalog.ctes import with_ctes
 from harborline.catalog.registry import query, rounded
 from harborline.contract import CONTRACT
@@ -130,13 +130,45 @@ def typed_load(ops):
     return bundle.typed(bundle.read_csv_text(ops.spark, path), CONTRACT["orders"])
 
 
+def _total(kind: str, column: str) -> str:
+    """A number that any lost, added or changed value of a typed column moves; in words both engines know."""
+    return {"string": f"SUM(length({column}))", "integer": f"SUM({column})", "number": f"SUM(CAST({column} AS DECIMAL(12,2)))",
+            "boolean": f"SUM(CASE WHEN {column} THEN 1 ELSE 0 END)",
+            "date": f"SUM({column} - DATE '2000-01-01')"}[kind]
+
+
+TYPED = {name: [(f.name, f.kind) for f in table.fields] for name, table in CONTRACT.items()}
+
+
+@query("a07_typed_load_all", with_ctes(rounded(" UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", '{c}' AS "column", COUNT(v_{c}) AS n_values,
+        CAST({_total(kind, 'v_' + c)} AS DOUBLE) AS total FROM judged_{name} WHERE reject_reason = ''"""
+    for name, columns in TYPED.items() for c, kind in columns), ("total",))))
+def typed_load_all(ops):
+    """The clean layer of all tables as CSV, loaded into declared types; values and totals of every column."""
+    done = clean.clean(RawTables(ops).only(*SINK_TABLES))
+    folder = shared_path(ops.spark, "clean-csv")
+    sinks.write_layer(done.clean, folder, csv=True)
+    parts = []
+    for name, columns in TYPED.items():
+        rows = bundle.typed(bundle.read_csv_text(ops.spark, f"{folder}/{name}"), CONTRACT[name])
+        sums = [F.expr(_total(kind, c) if kind != "date" else f"SUM(datediff({c}, DATE'2000-01-01'))").cast("double")
+                for c, kind in columns]
+        entries = rows.agg(F.array(*[
+            F.struct(F.lit(name).alias("table"), F.lit(c).alias("column"), F.count(c).alias("n_values"), total.alias("total"))
+            for (c, _), total in zip(columns, sums)]).alias("entries"))
+        parts.append(entries.select(F.inline("entries")))
+    return reduce(DataFrame.union, parts)
+
+
 @query("a08_publish_reconciled", with_ctes(" UNION ALL ".join(
-    f"SELECT '{n}' AS \"table\", COUNT(*) AS n_rows FROM {source}" for n, (source, _) in validation.PUBLISHED.items())))
+    f"SELECT '{n}' AS \"table\", COUNT(*) AS n_rows FROM judged_{n} WHERE reject_reason = ''" for n in SINK_TABLES)))
 def publish_reconciled(ops):
-    """All tables published together after their counts agreed, then read back."""
-    tables = validation.published_tables(ops)
+    """All clean tables published together after their counts agreed with the cleaning summary, then read back."""
+    done = clean.clean(RawTables(ops).only(*SINK_TABLES))
+    after = {r["table"]: r["rows_after"] for r in done.summary.collect()}  # one row per table
     target = shared_path(ops.spark, "published")
-    sinks.publish(tables, target, {name: df.count() for name, df in tables.items()})
+    sinks.publish(done.clean, target, {name: after[name] for name in done.clean})
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), "n_rows")
              for name, df in sinks.read_published(ops.spark, target).items()]
     return reduce(DataFrame.union, parts)
@@ -150,18 +182,34 @@ def replaced_derived(ops):
     rows = features.order_features(ops).select("order_id", "processing_days", "is_late", "warehouse_load")
     for _ in range(2):
         sinks.replace_derived(rows, path)
-    return ops.spark.read.parquet(path)
+    return sinks.read_derived(ops.spark, path)
 
 
 @query("a10_table_scan", with_ctes("SELECT * FROM ops_suppliers"))
 def table_scan(ops):
     """A whole published table."""
     target = shared_path(ops.spark, "published")
-    tables = {"suppliers": ops["suppliers"]}
-    sinks.publish(tables, target, {"suppliers": ops["suppliers"].count()})
+    sinks.publish({"suppliers": ops["suppliers"]}, target, {"suppliers": ops["suppliers"].count()})
     return sinks.read_published(ops.spark, target)["suppliers"]
 
 
+@query("a10_catalog_scan", with_ctes("""
+SELECT snapshot_id, product_id, warehouse_id, snapshot_date FROM ops_inventory_snapshots
+WHERE quantity_on_hand = 0 AND date_trunc('month', snapshot_date) = (
+    SELECT date_trunc('month', MAX(snapshot_date)) FROM ops_inventory_snapshots)"""))
+def catalog_scan(ops):
+    """Empty shelves of the latest month, out of a published table in the session's catalog that is split by month."""
+    target = shared_path(ops.spark, "published")
+    month = F.date_format("snapshot_date", "yyyy-MM").alias("month")
+    # The rows of a month meet before they are written, in several tasks where there are many.
+    dealt = ops["inventory_snapshots"].select("*", month).hint("rebalance", F.col("month"))
+    sinks.publish({"inventory_snapshots": dealt}, target, None, partitions={"inventory_snapshots": ["month"]})
+    (name,) = sinks.register_published(ops.spark, target)
+    latest = ops.spark.table(name).agg(F.max("month")).first()[0]
+    return sinks.scan(ops.spark, name, ["snapshot_id", "product_id", "warehouse_id", "snapshot_date"],
+                      (F.col("month") == latest) & (F.col("quantity_on_hand") == 0))
+
+
 def star_relations(ops) -> dict[str, DataFrame]:
     """The fifteen relations of the reporting star."""
     feats = staged(features.order_features(ops), "features")
@@ -184,7 +232,7 @@ STAR_SQL = {
     "vw_warehouse_performance": "kpi_warehouse", "vw_supplier_performance": "kpi_supplier",
     "vw_inventory_status": "kpi_inventory_status", "vw_customer_rfm": "kpi_rfm", "customer_segments": "ops_customers",
     "order_features": "features", "warehouses": "ops_warehouses", "suppliers": "ops_suppliers",
-    "products": "ops_products", "inventory_snapshots": "ops_inventory_snapshots",
+    "products": "ops_products", "inventory_snapshots": "ops_inventory_snapshots", "anomalies": "all_anomalies",
 }
 
 
@@ -193,7 +241,7 @@ STAR_SQL = {
         "SELECT 'stat_tests', 2", "SELECT 'root_cause', COUNT(*) FROM factors WHERE dimension_rank <= 3",
         "SELECT 'dim_date', date_diff('day', MIN(order_date), MAX(order_date)) + 1 FROM ops_orders"])))
 def star_export(ops):
-    """Rows read back from the exported star; anomalies have no SQL counterpart and are left out."""
+    """Rows read back from the exported star, all of its relations."""
     folder = shared_path(ops.spark, "star")
     a, b = decomposition.periods(ops)
     top = decompose.top_factors(decompose.decompose_months(ops, a, b))
@@ -205,43 +253,43 @@ def star_export(ops):
     parts = [
         bundle.read_csv_text(ops.spark, f"{folder}/{name}", multiline=False).agg(F.count(F.lit(1)).alias("n_rows"))
         .select(F.lit(name).alias("relation"), "n_rows")
-        for name in names if name != "anomalies"
+        for name in names
     ]
     return reduce(DataFrame.union, parts)
 
 
-_ENTRY = """event_id, CAST(user_id AS VARCHAR) AS run_id, event_type AS step,
+_ENTRY = """CAST(user_id AS VARCHAR) AS run_id, event_type AS step,
        CASE WHEN value >= 100 THEN 'failed' WHEN value >= 30 THEN 'completed' ELSE 'running' END AS status, ts"""
 
 
 @query("a13_appended_log", f"""
 SELECT run_id, step, status, COUNT(*) AS entries FROM (SELECT {_ENTRY} FROM events) AS e GROUP BY 1, 2, 3""")
 def appended_log(ops):
-    """All events written as log entries in two appends, then counted."""
-    return log_of_events(ops).groupBy("run_id", "step", "status").agg(F.count(F.lit(1)).alias("entries"))
+    """All events written as log entries in three appends, then counted."""
+    return sinks.read_audit(ops.spark, log_of_events(ops)).groupBy("run_id", "step", "status").agg(
+        F.count(F.lit(1)).alias("entries"))
 
 
 @query("a14_latest_state", f"""
-SELECT run_id, step, arg_max(status, (ts, event_id)) AS status, COUNT(*) AS entries
+SELECT run_id, step, arg_max(status, (ts, status)) AS status, COUNT(*) AS entries
 FROM (SELECT {_ENTRY} FROM events) AS e GROUP BY 1, 2""")
 def latest_state(ops):
-    """The last entry of every run and step."""
-    log = log_of_events(ops).groupBy("run_id", "step").agg(
-        F.max_by("status", F.struct("ts", "event_id")).alias("status"), F.count(F.lit(1)).alias("entries"))
-    return log
+    """The last entry of every run and step, kept up to date by the appends."""
+    return sinks.audit_state(ops.spark, log_of_events(ops)).select("run_id", "step", "status", "entries")
 
 
-def log_of_events(ops) -> DataFrame:
-    """A log with one entry per event: the events of the first half of the month, then the others."""
+def log_of_events(ops) -> str:
+    """A log with one entry per event, appended by thirds of the month."""
+    status = F.when(F.col("value") >= 100, "failed").when(F.col("value") >= 30, "completed").otherwise("running")
     entries = ops.source("events").select(
-        "event_id", F.col("user_id").cast("string").alias("run_id"), F.col("event_type").alias("step"),
-        F.when(F.col("value") >= 100, "failed").when(F.col("value") >= 30, "completed").otherwise("running")
-        .alias("status"), "ts")
+        F.col("user_id").cast("string").alias("run_id"), F.col("event_type").alias("step"), status.alias("status"),
+        F.col("ts").cast("timestamp").alias("started_at"), F.col("ts").cast("timestamp").alias("ended_at"),
+        F.col("event_id").alias("rows_processed"), F.lit("").alias("message"))
     path = shared_path(ops.spark, "log")
-    early = F.dayofmonth("ts") <= 15
-    for part in (entries.filter(early), entries.filter(~early | F.col("ts").isNull())):
-        part.write.mode("append").parquet(path)
-    return ops.spark.read.schema(entries.schema).parquet(path)
+    third = F.coalesce(F.least(F.floor((F.dayofmonth("started_at") - 1) / 10), F.lit(2)), F.lit(0))
+    for i in range(3):
+        sinks.append_audit(entries.filter(third == i), path)
+    return path
 
 
 @query("a15_registered_views", with_ctes(rounded("""

@@ -8,6 +8,8 @@ written to the shared folder before anything is derived from it.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -139,3 +141,36 @@ def exact_quantile(df: DataFrame, value: str, share: float) -> DataFrame:
     high = ranks.filter(F.col("_upto") >= F.ceil(at) + 1).agg(F.min(value)).scalar()
     return ranks.limit(1).agg(F.count(F.lit(1)).alias("n")).select(
         (low + (high - low) * (at - F.floor(at))).alias("quantile"))
+
+
+def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Mapping[str, float]) -> DataFrame:
+    """Quantiles with linear interpolation per group: ``keys`` and a column for each of ``shares``; null without values.
+
+    All quantiles of all groups are read off one histogram that is range-partitioned by group and value, so
+    neither the rows nor the distinct values of a group meet in one task.
+    """
+    def same(renamed: Sequence[str]) -> Column:
+        return reduce(and_, [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)])
+
+    def at(share: float) -> Column:
+        return F.lit(float(share)) * (F.col("_n") - 1)
+
+    names = [f"_k{i}" for i in range(len(keys))]
+    renamed = [F.col(k).alias(n) for k, n in zip(keys, names)]
+    known = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rows"))
+    stored = staged(known, "histogram")  # its range bounds are sampled, which reads it twice
+    placed = staged(stored.repartitionByRange(*keys, value).withColumn("_part", F.spark_partition_id()), "ordered")
+    own = Window.partitionBy(*keys).orderBy("_part")
+    sizes = placed.groupBy(*keys, "_part").agg(F.sum("_rows").alias("_own"))
+    sizes = sizes.select(*renamed, F.col("_part").alias("_p"), (F.sum("_own").over(own) - F.col("_own")).alias("_before"),
+                         F.sum("_own").over(Window.partitionBy(*keys)).alias("_n"))
+    inside = F.sum("_rows").over(Window.partitionBy(*keys, "_part").orderBy(value))
+    upto = placed.withColumn("_inside", inside).join(sizes, same(names) & (F.col("_part") == F.col("_p"))).select(
+        *keys, value, "_n", (F.col("_before") + F.col("_inside")).alias("_upto"))
+    found = upto.groupBy(*keys, "_n").agg(*[
+        F.min(F.when(F.col("_upto") >= edge(at(share)) + 1, F.col(value))).alias(f"_{end}{i}")
+        for i, share in enumerate(shares.values()) for end, edge in (("low", F.floor), ("high", F.ceil))])
+    quantiles = [
+        (F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (at(share) - F.floor(at(share)))).alias(name)
+        for i, (name, share) in enumerate(shares.items())]
+    return df.select(*keys).distinct().join(found.select(*renamed, *quantiles), same(names), "left").select(*keys, *shares)

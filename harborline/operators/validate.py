@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from harborline.contract import CONTRACT, FIX, REJECT, SEVERITIES, WARN, Table, known
 from harborline.operators.joins import repeated_keys
 from harborline.operators.parsing import date_sql, number_sql, parsed_sql, strip_sql, title_sql
+from harborline.operators.storage import staged
 
 SAMPLE_ROWS = 10
 
@@ -127,12 +128,13 @@ FINDING = ("table string, code string, severity string, column string, count big
 
 
 def aggregate_violations(violations: DataFrame) -> DataFrame:
-    """Findings out of violations, which are read twice.
+    """Findings out of violations, narrow rows that are written once because they are read twice.
 
     Counts are partial sums per rule. Row numbers are ranked inside their rule and cut to the
     first ones; Spark applies that limit in each task before the shuffle too, so a task sends
     at most ten rows per rule however many break it.
     """
+    violations = staged(violations, "violations")
     rule = ["table", "code", "column"]
     totals = violations.groupBy(*rule).agg(F.count(F.lit(1)).alias("count"))
     rank = F.row_number().over(Window.partitionBy(*rule).orderBy("data_row"))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from harborline.sources.bundle import write_csv
+from harborline.sources.commits import Conflict, commit, last_commit, read_commit
 
 # The relations of the reporting star.
 STAR = (
@@ -20,10 +22,11 @@ STAR = (
 )
 
 
-def write_layer(tables: Mapping[str, DataFrame], folder: str, csv: bool = False) -> dict[str, int]:
+def write_layer(tables: Mapping[str, DataFrame], folder: str, csv: bool = False,
+                partitions: Mapping[str, Sequence[str]] | None = None) -> dict[str, int]:
     """Write every table below a folder, empty ones with their columns; rows per table.
 
-    Rows are counted while they are written.
+    Rows are counted while they are written. ``partitions`` names the columns that a table's folders are split by.
     """
     counts = {}
     for name, df in tables.items():
@@ -33,7 +36,7 @@ def write_layer(tables: Mapping[str, DataFrame], folder: str, csv: bool = False)
         if csv:
             write_csv(counted, path)
         else:
-            counted.write.parquet(path)
+            counted.write.partitionBy(*(partitions or {}).get(name, ())).parquet(path)
         counts[name] = seen.get["rows"]
     return counts
 
@@ -44,46 +47,92 @@ def write_report(found: DataFrame, path: str) -> None:
 
 
 def replace_derived(df: DataFrame, path: str) -> int:
-    """Replace a derived table and verify the number of rows that can be read back."""
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    written, stored = seen.get["rows"], df.sparkSession.read.parquet(path).count()
-    if written != stored:
-        raise RuntimeError(f"{path} holds {stored} rows, {written} were written")
-    return stored
+    """Replace a derived table once the rows written have been read back; the number of rows.
+
+    The new table lies beside the old one until it is verified. Then a commit points to it, so readers have the old
+    table or the new one, and after an error still the old one.
+    """
+    return publish({"derived": df}, path, None)["derived"]
 
 
-MANIFEST = "version string, published_at timestamp, tables array<string>"
+def read_derived(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """A derived table, as of its last replacement or an earlier one."""
+    return read_published(spark, path, version)["derived"]
 
 
-def publish(tables: Mapping[str, DataFrame], target: str, expected: Mapping[str, int]) -> dict[str, int]:
-    """Publish all tables as a new version, or none of them.
+def publish(tables: Mapping[str, DataFrame], target: str, expected: Mapping[str, int] | None,
+            based_on: int | None = None, partitions: Mapping[str, Sequence[str]] | None = None) -> dict[str, int]:
+    """Publish all tables as the next version, or none of them; rows per table.
 
-    The tables are written to a folder of their own and their counts compared with the
-    expected ones. Only then one row is appended to the manifest, which readers
-    consult; a mismatch raises and leaves the published version as it was.
+    The tables are written to a folder of their own. What can be read back must be what was written and, with
+    ``expected``, what another account (such as the cleaning summary) says. Only then a commit names
+    the folder; a mismatch raises and leaves the published version as it was. A version is based on the last
+    one (or ``based_on``, which a caller has read); if another publisher commits meanwhile, ``Conflict`` is raised.
     """
-    if set(expected) != set(tables):
+    if expected is not None and set(expected) != set(tables):
         raise ValueError("expected counts must name exactly the published tables")
     spark = next(iter(tables.values())).sparkSession
-    version = uuid.uuid4().hex
-    write_layer(tables, f"{target.rstrip('/')}/versions/{version}")
-    counts = {name: spark.read.parquet(f"{target.rstrip('/')}/versions/{version}/{name}").count() for name in tables}
-    wrong = {name: (n, expected[name]) for name, n in counts.items() if n != expected[name]}
+    before = last_commit(spark, target) if based_on is None else based_on
+    folder = f"versions/{uuid.uuid4().hex}"
+    written = write_layer(tables, f"{target.rstrip('/')}/{folder}", partitions=partitions)
+    counts = {name: spark.read.schema(df.schema).parquet(f"{target.rstrip('/')}/{folder}/{name}").count()
+              for name, df in tables.items()}
+    lost = {name: n for name, n in counts.items() if n != written[name]}
+    if lost:
+        raise RuntimeError("rows read back differ from those written: " + ", ".join(
+            f"{name} has {n} instead of {written[name]}" for name, n in sorted(lost.items())))
+    wrong = {name: (n, expected[name]) for name, n in counts.items() if n != expected[name]} if expected is not None else {}
     if wrong:
         raise RuntimeError("published rows differ from the cleaning summary: " + ", ".join(
             f"{name} has {n} instead of {e}" for name, (n, e) in sorted(wrong.items())))
-    entry = [(version, datetime.now(timezone.utc), sorted(tables))]
-    spark.createDataFrame(entry, MANIFEST).coalesce(1).write.mode("append").parquet(f"{target.rstrip('/')}/manifest")
+    commit(spark, target, before + 1, {
+        "folder": folder, "published_at": datetime.now(timezone.utc).isoformat(), "rows": counts,
+        "tables": {name: df.schema.json() for name, df in tables.items()},
+        "partitions": {name: list(c) for name, c in (partitions or {}).items()},
+    })
     return counts
 
 
-def read_published(spark: SparkSession, target: str) -> dict[str, DataFrame]:
-    """The tables of the latest published version."""
-    manifest = spark.read.schema(MANIFEST).parquet(f"{target.rstrip('/')}/manifest")
-    last = manifest.orderBy(F.desc("published_at")).first()
-    return {name: spark.read.parquet(f"{target.rstrip('/')}/versions/{last['version']}/{name}")
-            for name in last["tables"]}
+def read_published(spark: SparkSession, target: str, version: int | None = None) -> dict[str, DataFrame]:
+    """The tables of a published version, the last one by default.
+
+    A reader that keeps the number of a version reads the same rows however often others publish.
+    """
+    entry = read_commit(spark, target, last_commit(spark, target) if version is None else version)
+    return {name: spark.read.schema(_schema(text)).parquet(f"{target.rstrip('/')}/{entry['folder']}/{name}")
+            for name, text in entry["tables"].items()}
+
+
+def _schema(text: str) -> StructType:
+    return StructType.fromJson(json.loads(text))
+
+
+def register_published(spark: SparkSession, target: str, version: int | None = None, prefix: str = "published_") -> list[str]:
+    """Enter the tables of a version in the session's catalog, replacing earlier entries; their names.
+
+    The catalog knows the partitions of a partitioned table, so a filter on them is answered without listing the others.
+    """
+    entry = read_commit(spark, target, last_commit(spark, target) if version is None else version)
+    names = []
+    for name, text in entry["tables"].items():
+        known = f"{prefix}{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {known}")
+        split = entry["partitions"].get(name, [])
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _schema(text).fields)
+        by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in split)})" if split else ""
+        path = f"{target.rstrip('/')}/{entry['folder']}/{name}".replace("'", "\'")
+        spark.sql(f"CREATE TABLE {known} ({columns}) USING parquet {by} LOCATION '{path}'")
+        if split:
+            spark.catalog.recoverPartitions(known)
+        names.append(known)
+    return names
+
+
+def scan(spark: SparkSession, table: str, columns: Sequence[str] | None = None, where: Column | str | None = None) -> DataFrame:
+    """Rows of a catalog table; the filter and the choice of columns reach the scan."""
+    df = spark.table(table)
+    df = df if where is None else df.filter(where)
+    return df if columns is None else df.select(*columns)
 
 
 def export_star(relations: Mapping[str, DataFrame], report: DataFrame, folder: str) -> dict[str, int]:
@@ -130,21 +179,69 @@ def audit_rows(spark: SparkSession, run_id: str, outcomes: Sequence[tuple], step
     return spark.createDataFrame(rows, AUDIT)
 
 
-def append_audit(df: DataFrame, path: str) -> None:
-    """Append entries to the audit log."""
-    df.write.mode("append").parquet(path)
+ENTRY = ["status", "started_at", "ended_at", "rows_processed", "message"]
+STATE = f"{AUDIT}, entries bigint, bucket int"
+BUCKETS = 64
+ATTEMPTS = 20
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("run_id", "step"), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """The last entry and the number of entries of each run and step, out of rows that stand for ``entries`` of them."""
+    last = F.max_by(F.struct(*ENTRY), F.struct("ended_at", "started_at", "status")).alias("last")
+    return rows.groupBy("run_id", "step").agg(last, F.sum("entries").alias("entries")).select(
+        "run_id", "step", "last.*", "entries", _bucket())
+
+
+def _state(spark: SparkSession, path: str, folders: Mapping[str, str]) -> DataFrame:
+    """State rows of the given buckets, a folder for each."""
+    paths = sorted({f"{path.rstrip('/')}/{folder}/part={bucket}" for bucket, folder in folders.items()})
+    return spark.read.schema(STATE).parquet(*paths) if paths else spark.createDataFrame([], STATE)
+
+
+def append_audit(df: DataFrame, path: str) -> int:
+    """Append entries to the audit log and bring the latest states up to date; the number of the commit.
+
+    States lie in ``BUCKETS`` by run and step. Only buckets that the new entries touch are read, merged and written
+    again; one commit names the new entries and the new buckets together. Appends commute, so
+    one that loses to another writer merges with what that one left.
+    """
+    spark = df.sparkSession
+    fresh = f"entries/{uuid.uuid4().hex}"
+    df.select(*[c.split()[0] for c in AUDIT.split(", ")]).write.parquet(f"{path.rstrip('/')}/{fresh}")
+    entries = spark.read.schema(AUDIT).parquet(f"{path.rstrip('/')}/{fresh}")
+    touched = {str(r["bucket"]) for r in entries.select(_bucket()).distinct().collect()}  # at most BUCKETS
+    for _ in range(ATTEMPTS):
+        before = last_commit(spark, path)
+        buckets = read_commit(spark, path, before)["buckets"] if before else {}
+        old = _state(spark, path, {b: f for b, f in buckets.items() if b in touched})
+        merged = _merged(old.drop("bucket").unionByName(entries.withColumn("entries", F.lit(1).cast("bigint"))))
+        folder = f"state/{uuid.uuid4().hex}"
+        merged.withColumn("part", F.col("bucket")).write.partitionBy("part").parquet(f"{path.rstrip('/')}/{folder}")
+        try:
+            commit(spark, path, before + 1, {"entries": fresh, "buckets": {**buckets, **dict.fromkeys(touched, folder)}})
+            return before + 1
+        except Conflict:
+            continue
+    raise Conflict(f"other writers kept appending to {path}")
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(AUDIT).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], AUDIT)
+    """All entries of the log that are committed."""
+    last = last_commit(spark, path)
+    folders = [f"{path.rstrip('/')}/{read_commit(spark, path, n)['entries']}" for n in range(1, last + 1)]
+    return spark.read.schema(AUDIT).parquet(*folders) if folders else spark.createDataFrame([], AUDIT)
+
+
+def audit_state(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """Last entry of each run and step, and its number of entries, as kept by ``append_audit``."""
+    last = last_commit(spark, path) if version is None else version
+    return _state(spark, path, read_commit(spark, path, last)["buckets"] if last else {}).drop("bucket")
 
 
 def latest_audit(log: DataFrame) -> DataFrame:
-    """Last entry of each run and step."""
-    entry = ["status", "started_at", "ended_at", "rows_processed", "message"]
-    return log.groupBy("run_id", "step").agg(
-        F.max_by(F.struct(*entry), F.struct("ended_at", "started_at", "status")).alias("last")
-    ).select("run_id", "step", "last.*")
+    """Last entry of each run and step, recomputed from all entries of a log."""
+    return _merged(log.withColumn("entries", F.lit(1).cast("bigint"))).drop("entries", "bucket")
