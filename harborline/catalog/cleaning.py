@@ -12,7 +12,7 @@ from harborline.catalog.ctes import with_ctes
 from harborline.catalog.registry import query, rounded
 from harborline.contract import CASCADING_PARENT, CONTRACT
 from harborline.functions import strip
-from harborline.operators import clean
+from harborline.operators import clean, date_formats
 from harborline.sources.raw import RawTables
 
 # A table is judged together with the ancestors its keys refer to.
@@ -124,6 +124,54 @@ def trimmed_text(ops):
     ).drop("raw")
 
 
+# How some tables write their dates, and the columns it concerns.
+LOCAL = {
+    "customers": {"signup_date": ("$3/$2/$1", "day/month/year")},
+    "employees": {"hire_date": ("$2-$3-$1", "month-day-year")},
+    "orders": {"order_date": ("$2/$3/$1", "month/day/year")},
+    "deliveries": {"shipped_date": ("$3.$2.$1", "day.month.year"), "delivered_date": ("$1/$2/$3", "year/month/day"),
+                   "promised_delivery_date": ("$1$2$3", "yearmonthday")},
+}
+
+
+def local_tables(ops) -> dict[str, DataFrame]:
+    """The raw tables of ``LOCAL`` with their dates written in formats of their own; texts that are no dates stay."""
+    iso = r"^(\d{4})-(\d{2})-(\d{2})$"
+    return {name: RawTables(ops)[name].withColumns({c: F.regexp_replace(c, iso, form) for c, (form, _) in columns.items()})
+            for name, columns in LOCAL.items()}
+
+
+def _iso_day_sql(column: str) -> str:
+    return f"try_cast(CASE WHEN regexp_full_match({column}, '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN {column} END AS DATE)"
+
+
+@query("b04_date_formats", with_ctes(" UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", '{c}' AS "column", CASE WHEN COUNT({_iso_day_sql(c)}) = 0 THEN 'iso' ELSE '{form}' END AS format,
+        COUNT({c}) AS n_values, COUNT({_iso_day_sql(c)}) AS parsed,
+        {"COUNT(*) FILTER (WHERE day(" + _iso_day_sql(c) + ") > 12) = 0 AND COUNT(*) FILTER (WHERE day(" + _iso_day_sql(c)
+         + ") <> month(" + _iso_day_sql(c) + ")) > 0" if form[:3] in ("day", "mon") else "FALSE"} AS ambiguous FROM raw_{name}"""
+    for name, columns in LOCAL.items() for c, (_, form) in columns.items())))
+def found_date_formats(ops):
+    """The format of every date column of tables that write their dates differently."""
+    return date_formats.date_format_report(local_tables(ops))
+
+
+@query("c04_local_dates", with_ctes(" UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", source_row, '{c}' AS "column", u_{c} AS day, t_{c} IS NOT NULL AND u_{c} IS NULL AS invalid
+        FROM judged_{name}""" for name, columns in LOCAL.items() for c in columns)))
+def local_dates(ops):
+    """Days read from the formats that were found; the texts that are no dates are the same as in ISO tables."""
+    tables = local_tables(ops)
+    formats = date_formats.date_formats(tables)
+    parts = []
+    for name, columns in LOCAL.items():
+        rows = clean.normalise(CONTRACT[name], tables[name], formats[name])
+        parts += [rows.select(
+            F.lit(name).alias("table"), "source_row", F.lit(c).alias("column"), F.col(f"value.{c}").alias("day"),
+            F.array_contains("reasons", f"invalid_type:{c}").alias("invalid")) for c in columns]
+    return reduce(DataFrame.union, parts)
+
+
 TEXTS = {name: [f.name for f in t.fields] for name, t in CONTRACT.items()}
 
 

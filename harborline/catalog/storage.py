@@ -10,16 +10,18 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.catalog import analytics, cleaning, decomposition
+from harborline.catalog import analytics, cleaning, decomposition, kpis  # noqa: F401  (kpis registers SQL used here)
 from harborline.catalog.ctes import with_ctes
-from harborline.catalog.registry import query, rounded
+from harborline.catalog.registry import ORACLES, query, rounded
 from harborline.contract import CONTRACT
 from harborline.functions.dates import in_month
 from harborline.operators import clean, validate
+from harborline.operators.joins import fact_join
 from harborline.operators.storage import shared_path, staged
 from harborline.plans import decompose, features, kpi, segments
 from harborline.sources import bundle, sinks
 from harborline.sources.calendar import calendar_of
+from harborline.sources.facts import BucketedFacts
 from harborline.sources.raw import RawTables
 
 VIEWS = {
@@ -258,6 +260,27 @@ def star_export(ops):
     return reduce(DataFrame.union, parts)
 
 
+def bucketed(ops) -> BucketedFacts:
+    """The operational tables with their facts by bucket of the order."""
+    buckets = int(ops.spark.conf.get("spark.sql.shuffle.partitions"))
+    return BucketedFacts(ops, shared_path(ops.spark, "facts"), buckets)
+
+
+@query("e02_bucketed_fact_to_fact", with_ctes("""
+SELECT o.order_id, o.order_status, i.product_id, i.quantity FROM ops_orders AS o
+JOIN ops_order_items AS i ON i.order_id = o.order_id"""))
+def bucketed_fact_to_fact(ops):
+    """Orders and items joined bucket by bucket."""
+    facts = bucketed(ops)
+    return fact_join(facts["order_headers"], facts["order_lines"], "order_id").select(
+        "order_id", "order_status", "product_id", "quantity")
+
+
+query("j07_bucketed_turnover", ORACLES["j07_inventory_turnover"])(lambda ops: kpi.inventory_turnover(bucketed(ops)))
+query("j11_bucketed_orders_enriched", ORACLES["j11_orders_enriched"])(lambda ops: kpi.orders_enriched(bucketed(ops)))
+query("l01_bucketed_order_facts", ORACLES["l01_order_facts"])(lambda ops: decompose.order_facts(bucketed(ops)))
+
+
 _ENTRY = """CAST(user_id AS VARCHAR) AS run_id, event_type AS step,
        CASE WHEN value >= 100 THEN 'failed' WHEN value >= 30 THEN 'completed' ELSE 'running' END AS status, ts"""
 

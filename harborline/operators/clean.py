@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborline.contract import CASCADING_PARENT, CONTRACT, REJECT, Table, known
-from harborline.operators.parsing import parsed_sql, strip_sql, title_sql
+from harborline.operators.parsing import ISO, parsed_sql, strip_sql, title_sql
 from harborline.operators.storage import staged
 from harborline.operators.validate import findings
 
@@ -39,10 +40,10 @@ class Cleaned:
         return summary(self.judged)
 
 
-def normalise(table: Table, raw: DataFrame) -> DataFrame:
+def normalise(table: Table, raw: DataFrame, formats: Mapping[str, str] = MappingProxyType({})) -> DataFrame:
     """Raw struct, normalised struct, ``changed`` and the reasons one row gives by itself.
 
-    ``raw`` carries ``source_row``. Extra columns pass through.
+    ``formats`` names the formats of date columns that are not ISO. ``raw`` carries ``source_row``. Extra columns pass through.
     """
     missing = [c for c in table.columns if c not in raw.columns]
     if missing:
@@ -62,7 +63,7 @@ def normalise(table: Table, raw: DataFrame) -> DataFrame:
     typed = texts.selectExpr(
         "source_row", "raw", "edged",
         *[f"t_{f.name}" for f in table.fields if f.kind != "string"],
-        *[f"{parsed_sql('t_' + f.name, f.kind)} AS v_{f.name}" for f in table.fields],
+        *[f"{parsed_sql('t_' + f.name, f.kind, formats.get(f.name, ISO))} AS v_{f.name}" for f in table.fields],
         *([f"{title_sql('t_' + table.title_cased)} AS cased"] if table.title_cased else []),
     )
     # Order of the reasons: types by column, then missing values by column, then
@@ -89,12 +90,6 @@ def normalise(table: Table, raw: DataFrame) -> DataFrame:
     )
 
 
-def _add_reason(df: DataFrame, condition: str, text: str) -> DataFrame:
-    """Append the text expression to the reasons where the condition holds."""
-    added = f"CASE WHEN {condition} THEN array_append(reasons, {text}) ELSE reasons END AS reasons"
-    return df.selectExpr("source_row", "raw", "value", "changed", added)
-
-
 def _spread(key: str) -> str:
     """A key to join on: rows without one get a value of their own, so they do not meet in one task.
 
@@ -103,16 +98,17 @@ def _spread(key: str) -> str:
     return f"coalesce({key}, concat(char(0), CAST(source_row AS STRING)))"
 
 
-def _mark_duplicates(table: Table, df: DataFrame) -> DataFrame:
-    """All rows of a key after its first one in file order, whatever became of the first.
+def _duplicates(table: Table, keys: DataFrame) -> DataFrame:
+    """``source_row``, parent keys and ``extra``: a reason for all rows of a key after its first one in file order.
 
-    Only keys that repeat are joined back, one row each.
+    Whatever became of the first. Only keys that repeat are joined back, one row each.
     """
-    firsts = df.selectExpr(f"value.{table.key} AS k", "source_row").filter("k IS NOT NULL").groupBy("k").agg(
+    firsts = keys.filter("own IS NOT NULL").groupBy(F.col("own").alias("k")).agg(
         F.min("source_row").alias("first_row"), F.count(F.lit(1)).alias("n")
     ).filter("n > 1")
-    marked = df.join(firsts, F.expr(f"{_spread('value.' + table.key)} = k"), "left")
-    return _add_reason(marked, "source_row > first_row", f"'duplicate_primary_key:{table.key}'")
+    marked = keys.join(firsts, F.expr(f"{_spread('own')} = k"), "left")
+    reason = f"CASE WHEN source_row > first_row THEN array('duplicate_primary_key:{table.key}') ELSE array() END AS extra"
+    return marked.selectExpr("source_row", *[f"p_{c}" for c in table.parents], reason)
 
 
 def key_status(table: Table, judged: DataFrame) -> DataFrame:
@@ -122,16 +118,35 @@ def key_status(table: Table, judged: DataFrame) -> DataFrame:
     ).groupBy("k").agg(F.max("ok").alias("retained"))
 
 
-def _mark_orphans(df: DataFrame, column: str, parent: str, status: DataFrame) -> DataFrame:
-    """Keys without a retained parent row."""
-    marked = df.join(status, F.expr(f"{_spread('value.' + column)} = k"), "left")
+def _orphans(keys: DataFrame, table: Table, column: str, status: DataFrame) -> DataFrame:
+    """Add a reason where a key has no retained parent row."""
+    marked = keys.join(status, F.expr(f"{_spread('p_' + column)} = k"), "left")
     text = f"'orphan_foreign_key:{column}'"
-    if parent == CASCADING_PARENT:
+    if table.parents[column] == CASCADING_PARENT:
         text = f"CASE WHEN k IS NOT NULL THEN 'cascade_parent_order_rejected' ELSE {text} END"
-    return _add_reason(marked, f"value.{column} IS NOT NULL AND NOT coalesce(retained, false)", text)
+    lost = f"p_{column} IS NOT NULL AND NOT coalesce(retained, false)"
+    return marked.selectExpr("source_row", *[f"p_{c}" for c in table.parents],
+                             f"CASE WHEN {lost} THEN array_append(extra, {text}) ELSE extra END AS extra")
 
 
-def judge(tables: Mapping[str, DataFrame], stage: bool = False) -> dict[str, DataFrame]:
+def _with_key_reasons(table: Table, df: DataFrame, statuses: Mapping[str, DataFrame]) -> DataFrame:
+    """A normalised frame with the reasons that keys give, after those of its rows.
+
+    Keys are compared on narrow rows (line and keys). Only lines with a reason, usually few, come back to the
+    wide rows; they are written first, so that their size decides how.
+    """
+    keys = df.selectExpr("source_row", f"value.{table.key} AS own", *[f"value.{c} AS p_{c}" for c in table.parents])
+    keys = _duplicates(table, keys)
+    for column, status in statuses.items():
+        keys = _orphans(keys, table, column, status)
+    found = staged(keys.filter("size(extra) > 0").select("source_row", "extra"), "key-reasons")
+    return df.join(found, "source_row", "left").selectExpr(
+        "source_row", "raw", "value", "changed",
+        "concat(reasons, coalesce(extra, CAST(array() AS array<string>))) AS reasons")
+
+
+def judge(tables: Mapping[str, DataFrame], stage: bool = False,
+          formats: Mapping[str, Mapping[str, str]] = MappingProxyType({})) -> dict[str, DataFrame]:
     """Judged frame per table; parents are judged before their children.
 
     Each raw frame carries a unique ``source_row`` that follows the file order.
@@ -144,13 +159,10 @@ def judge(tables: Mapping[str, DataFrame], stage: bool = False) -> dict[str, Dat
     for name, table in CONTRACT.items():
         if name not in tables:
             continue
-        df = _mark_duplicates(table, normalise(table, tables[name]))
-        for column, parent in table.parents.items():
-            if parent in judged:
-                if parent not in status:
-                    found = key_status(CONTRACT[parent], judged[parent])
-                    status[parent] = staged(found, f"keys-{parent}") if stage else found
-                df = _mark_orphans(df, column, parent, status[parent])
+        for parent in set(table.parents.values()) & set(judged) - set(status):
+            status[parent] = staged(key_status(CONTRACT[parent], judged[parent]), f"keys-{parent}")
+        df = _with_key_reasons(table, normalise(table, tables[name], formats.get(name, {})),
+                               {c: status[p] for c, p in table.parents.items() if p in status})
         judged[name] = staged(df, f"judged-{name}") if stage else df
     return judged
 
@@ -186,9 +198,10 @@ def summary(judged: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def clean(tables: Mapping[str, DataFrame], stage: bool = True) -> Cleaned:
-    """Judge all tables of a bundle."""
-    return Cleaned(judge(tables, stage))
+def clean(tables: Mapping[str, DataFrame], stage: bool = True,
+          formats: Mapping[str, Mapping[str, str]] = MappingProxyType({})) -> Cleaned:
+    """Judge all tables of a bundle; ``formats`` as found by ``date_formats``, ISO where it names none."""
+    return Cleaned(judge(tables, stage, formats))
 
 
 def reject_findings(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Reading typed values out of raw text, as SQL expression text.
 
 The raw layer is all text. A parser returns null for text that is not a value of the
-declared kind; it accepts plain decimal numbers, ISO dates (with or without a time)
-and the words true and false.
+declared kind; it accepts plain decimal numbers, ISO dates (with or without a time) or those of
+another given format, and the words true and false.
 
 Rules and parsers over whole tables are written as SQL text: a table has dozens of
 them, and one ``selectExpr`` hands all of them to Spark at once.
@@ -43,16 +43,37 @@ def boolean_sql(text: str) -> str:
     return f"CASE lower({text}) WHEN 'true' THEN true WHEN 'false' THEN false END"
 
 
-def date_sql(text: str) -> str:
-    return f"CASE WHEN {text} RLIKE '{DATE_TEXT}' THEN try_cast(left({text}, 10) AS DATE) END"
-
-
-def parsed_sql(text: str, kind: str) -> str:
-    """Expression for the typed value of a trimmed text expression."""
+ISO = "iso"
+# Text pattern and parser pattern of every format but ISO, in the order in which they are preferred.
+_NUMBERS = "[0-9]{{1,2}}{0}[0-9]{{1,2}}{0}[0-9]{{4}}"
+DATE_FORMATS: dict[str, tuple[str, str] | None] = {
+    ISO: None,
+    "month/day/year": (_NUMBERS.format("/"), "M/d/yyyy"),
+    "day/month/year": (_NUMBERS.format("/"), "d/M/yyyy"),
+    "day.month.year": (_NUMBERS.format("[.]"), "d.M.yyyy"),
+    "month.day.year": (_NUMBERS.format("[.]"), "M.d.yyyy"),
+    "month-day-year": (_NUMBERS.format("-"), "M-d-yyyy"),
+    "day-month-year": (_NUMBERS.format("-"), "d-M-yyyy"),
+    "year/month/day": ("[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}", "yyyy/M/d"),
+    "yearmonthday": ("[0-9]{8}", "yyyyMMdd"),
+    "day month-name year": ("[0-9]{1,2} [A-Z][a-z]{2} [0-9]{4}", "d MMM yyyy"),
+}
+
+
+def date_sql(text: str, form: str = ISO) -> str:
+    """The day that a text names in one of ``DATE_FORMATS``."""
+    if form == ISO:
+        return f"CASE WHEN {text} RLIKE '{DATE_TEXT}' THEN try_cast(left({text}, 10) AS DATE) END"
+    shape, pattern = DATE_FORMATS[form]
+    return f"CASE WHEN {text} RLIKE '^{shape}$' THEN CAST(try_to_timestamp({text}, '{pattern}') AS DATE) END"
+
+
+def parsed_sql(text: str, kind: str, form: str = ISO) -> str:
+    """Expression for the typed value of a trimmed text expression; ``form`` is the format of dates."""
     return {
         "string": lambda t: t,
         "integer": integer_sql,
         "number": number_sql,
         "boolean": boolean_sql,
-        "date": date_sql,
+        "date": lambda t: date_sql(t, form),
     }[kind](text)

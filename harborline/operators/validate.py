@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 from functools import reduce
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.contract import CONTRACT, FIX, REJECT, SEVERITIES, WARN, Table, known
 from harborline.operators.joins import repeated_keys
-from harborline.operators.parsing import date_sql, number_sql, parsed_sql, strip_sql, title_sql
+from harborline.operators.parsing import ISO, date_sql, number_sql, parsed_sql, strip_sql, title_sql
 from harborline.operators.storage import staged
 
 SAMPLE_ROWS = 10
@@ -47,8 +48,11 @@ MESSAGE = {
     "missing_file": "no file for table {column}",
 }
 
-def row_rules(table: Table, present: set[str]) -> list[tuple[str, str, str]]:
-    """(code, column, condition) of every rule decided by one row alone."""
+def row_rules(table: Table, present: set[str], formats: Mapping[str, str] = MappingProxyType({})) -> list[tuple[str, str, str]]:
+    """(code, column, condition) of every rule decided by one row alone; ``formats`` are those of date columns."""
+    def form(column: str) -> str:
+        return formats.get(column, ISO)
+
     rules = []
     for spec in table.fields:
         name = spec.name
@@ -60,7 +64,7 @@ def row_rules(table: Table, present: set[str]) -> list[tuple[str, str, str]]:
             rules.append(("null_optional", name, f"{name} IS NULL"))
         if spec.kind != "string":
             rules.append(("invalid_type", name,
-                          f"{name} IS NOT NULL AND ({parsed_sql(strip_sql(name), spec.kind)}) IS NULL"))
+                          f"{name} IS NOT NULL AND ({parsed_sql(strip_sql(name), spec.kind, form(name))}) IS NULL"))
     for name in table.non_negative:
         if name in present:
             rules.append(("negative_value", name, f"({number_sql(strip_sql(name))}) < 0"))
@@ -70,7 +74,7 @@ def row_rules(table: Table, present: set[str]) -> list[tuple[str, str, str]]:
     if table.ordered_dates and present.issuperset(table.ordered_dates):
         first, second = table.ordered_dates
         rules.append(("delivered_before_shipped", second,
-                      f"({date_sql(strip_sql(second))}) < ({date_sql(strip_sql(first))})"))
+                      f"({date_sql(strip_sql(second), form(second))}) < ({date_sql(strip_sql(first), form(first))})"))
     return rules
 
 
@@ -81,12 +85,12 @@ def _labelled(df: DataFrame, table: str, code: str, column: str) -> DataFrame:
 
 
 def table_violations(table: Table, frame: DataFrame, tables: Mapping[str, DataFrame],
-                     codes: Collection[str]) -> list[DataFrame]:
+                     codes: Collection[str], formats: Mapping[str, str] = MappingProxyType({})) -> list[DataFrame]:
     """Violations of one table, limited to ``codes``; ``frame`` has a 1-based ``data_row``."""
     present = set(frame.columns)
     marks = [
         f"CASE WHEN {condition} THEN named_struct('code', '{code}', 'column', '{column}') END"
-        for code, column, condition in row_rules(table, present) if code in codes
+        for code, column, condition in row_rules(table, present, formats) if code in codes
     ]
     parts = []
     if marks:
@@ -148,22 +152,25 @@ def aggregate_violations(violations: DataFrame) -> DataFrame:
     )
 
 
-def violations(tables: Mapping[str, DataFrame], codes: Collection[str] = tuple(SEVERITY)) -> DataFrame:
+def violations(tables: Mapping[str, DataFrame], codes: Collection[str] = tuple(SEVERITY),
+               formats: Mapping[str, Mapping[str, str]] = MappingProxyType({})) -> DataFrame:
     """Violations of all supplied tables, in contract order."""
     known(tables)
     parts = [
         part for name, table in CONTRACT.items() if name in tables
-        for part in table_violations(table, tables[name], tables, codes)
+        for part in table_violations(table, tables[name], tables, codes, formats.get(name, {}))
     ]
     return reduce(DataFrame.union, parts)
 
 
-def findings(tables: Mapping[str, DataFrame], codes: Collection[str] = tuple(SEVERITY)) -> DataFrame:
+def findings(tables: Mapping[str, DataFrame], codes: Collection[str] = tuple(SEVERITY),
+             formats: Mapping[str, Mapping[str, str]] = MappingProxyType({})) -> DataFrame:
     """Findings of the supplied tables, limited to ``codes``.
 
-    A foreign key is checked only if its parent table is supplied as well.
+    A foreign key is checked only if its parent table is supplied as well. Dates are ISO but for
+    columns that ``formats`` names by table (see ``date_formats``).
     """
-    broken = aggregate_violations(violations(tables, codes))
+    broken = aggregate_violations(violations(tables, codes, formats))
     if "missing_column" not in codes:
         return broken
     return missing_columns(broken.sparkSession, tables).unionByName(broken)

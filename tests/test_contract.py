@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborline.contract import CONTRACT
-from harborline.operators import clean, validate
+from harborline.operators import clean, date_formats, validate
 from harborline.sources import bundle, sinks
 
 SUPPLIERS = [("S1", "One", "a@b", "DE", "gold"), ("S2", "Two", None, "DE", "gold")]
@@ -252,3 +252,47 @@ def test_numbering_does_not_shuffle_the_scan(spark, tmp_path):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def local(spark, shipped, delivered, promised):
+    rows = [(f"D{i}", "O1", "S1", "W1", a, b, c, "true", "x", None) for i, (a, b, c) in enumerate(zip(shipped, delivered, promised))]
+    return {"deliveries": raw(spark, "deliveries", rows)}
+
+
+def test_date_formats_are_found_by_column(spark):
+    tables = local(spark, ["13/02/2025", "01/03/2025", " 28/2/2025 ", "nope", None], ["02-13-2025", None, "3-1-2025", "x", "13-13-2025"],
+                   ["2025-02-13", "2025-03-01T10:00:00", "2025-02-30", "", "20250101"])
+    found = {r["column"]: tuple(r)[2:] for r in date_formats.date_format_report(tables).collect()}
+    assert found == {"shipped_date": ("day/month/year", 4, 3, False), "delivered_date": ("month-day-year", 4, 2, False),
+                     "promised_delivery_date": ("iso", 4, 2, False)}
+    done = clean.clean(tables, stage=False, formats=date_formats.date_formats(tables))
+    rows = {r["source_row"]: (r["value"], r["reasons"]) for r in done.judged["deliveries"].collect()}
+    columns = ("shipped_date", "delivered_date", "promised_delivery_date")
+    assert [str(rows[2][0][c]) for c in columns] == ["2025-02-13"] * 3 and rows[2][1] == []
+    assert [str(rows[3][0][c]) for c in columns] == ["2025-03-01", "None", "2025-03-01"]
+    assert rows[4][1] == ["invalid_type:promised_delivery_date", "null_required:promised_delivery_date"]
+    assert "invalid_type:shipped_date" in rows[5][1] and "invalid_type:delivered_date" in rows[6][1]
+
+
+def test_ambiguous_dates_are_reported(spark):
+    tables = local(spark, ["01/02/2025", "03/04/2025"], ["05/05/2025", "06/06/2025"], ["bad", None])
+    found = {r["column"]: (r["format"], r["ambiguous"]) for r in date_formats.date_format_report(tables).collect()}
+    # Days equal to months read the same either way; a column without dates counts as ISO.
+    assert found == {"shipped_date": ("month/day/year", True), "delivered_date": ("month/day/year", False),
+                     "promised_delivery_date": ("iso", False)}
+
+
+def test_findings_know_the_formats(spark):
+    tables = {"deliveries": local(spark, ["13/02/2025"], ["11.02.2025"], ["20250301"])["deliveries"].withColumn(
+        "data_row", F.col("source_row") - 1).drop("source_row")}
+    plain = {(r["code"], r["column"]) for r in validate.findings(tables).collect()}
+    assert ("invalid_type", "shipped_date") in plain
+    known = {(r["code"], r["column"]) for r in validate.findings(tables, formats=date_formats.date_formats(tables)).collect()}
+    assert known == {("null_optional", "tracking_number"), ("delivered_before_shipped", "delivered_date")}
+
+
+def test_no_wide_row_meets_a_parent(spark):
+    """Parents are compared with keys; the judged plan joins only the lines that got a reason."""
+    judged = clean.judge(bundle_tables(spark))["orders"]
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "key-reasons" not in plan.split("Join")[0]

@@ -73,3 +73,21 @@ def test_supplier_mean_reuses_the_counts(spark):
     df = kpi.supplier_performance(OpsTables(spark, FOLDER))
     df.collect()
     assert "ReusedExchange" in plan(df)
+
+
+def test_bucketed_facts_meet_without_a_shuffle(spark, tmp_path):
+    from harborline.operators.joins import fact_join
+    from harborline.sources.facts import BucketedFacts
+
+    ops = OpsTables(spark, FOLDER)
+    facts = BucketedFacts(ops, str(tmp_path / "facts"), 3)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = fact_join(facts["order_headers"], facts["order_lines"], "order_id")
+        for df in (joined, kpi.orders_enriched(facts), kpi.inventory_turnover(facts), decompose.order_facts(facts)):
+            assert "hashpartitioning(order_id" not in plan(df)
+        assert "hashpartitioning(order_id" in plan(kpi.orders_enriched(ops))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(map(tuple, kpi.orders_enriched(facts).collect())) == sorted(map(tuple, kpi.orders_enriched(ops).collect()))
+    assert len(list((tmp_path / "facts" / "orders").glob("part-*"))) == 3
