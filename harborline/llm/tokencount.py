@@ -149,12 +149,13 @@ def count_texts(texts: DataFrame, path: str, tokenizer: str, blanks: bool) -> Da
     return texts.select("digest", "content").mapInArrow(run, SCHEMA)
 
 
-def stored_counts(spark: SparkSession, cache: str, tokenizer: str) -> DataFrame:
-    """Counts of one tokenizer version, one row per digest; empty where there is no cache yet."""
+def stored_counts(spark: SparkSession, cache: str, tokenizer: str, wanted: DataFrame) -> DataFrame:
+    """Counts of one tokenizer version for the ``wanted`` digests, one row each; empty where there is no cache yet."""
     path = spark._jvm.org.apache.hadoop.fs.Path(cache)
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], "digest binary, n_tokens bigint")
     rows = spark.read.schema(SCHEMA).parquet(cache).filter(F.col("tokenizer") == tokenizer)
+    rows = rows.join(wanted, "digest", "left_semi")
     return rows.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
@@ -173,11 +174,13 @@ def token_counts(docs: DataFrame, path: str, cache: str | None = None, id_column
                        normalised(text, blanks).alias("content"))
     rows = rows.select("_id", "n_bytes", "content", F.unhex(F.sha2("content", 256)).alias("digest"))
     narrow = staged(rows.select("_id", "n_bytes", "digest"), "digests")
-    known = stored_counts(spark, cache, tokenizer)
+    # Of a large cache only what this batch asks for is aggregated and copied.
+    wanted = staged(narrow.select("digest").distinct(), "wanted")
+    known = stored_counts(spark, cache, tokenizer, wanted)
     texts = rows.select("digest", "content")
     # Copies are folded before the shuffle; what is left meets the cache where it lies.
     missing = texts.dropDuplicates(["digest"]).join(known, "digest", "left_anti")
     count_texts(missing, path, tokenizer, blanks).write.mode("append").parquet(cache)
-    counts = staged(stored_counts(spark, cache, tokenizer), "counts")
+    counts = staged(stored_counts(spark, cache, tokenizer, wanted), "counts")
     return narrow.join(counts, "digest").select(
         F.col("_id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
