@@ -10,7 +10,7 @@ from harborline.catalog.ctes import with_ctes
 from harborline.catalog.registry import query, rounded
 from harborline.functions import mean_of, month_key, number_tokens, safe_ratio
 from harborline.functions.dates import in_month
-from harborline.operators import joins, ordering
+from harborline.operators import joins, keysets, ordering
 from harborline.operators.hypothesis import contingency
 from harborline.operators.storage import staged
 from harborline.plans import decompose, kpi, segments
@@ -78,6 +78,16 @@ def semi_anti(ops):
     return yes.union(customers.join(tickets, "customer_id", "left_anti").withColumn("has_ticket", F.lit(False)))
 
 
+@query("e06_bitmap_membership", """
+SELECT event_type, COUNT(*) AS events, COUNT(*) FILTER (WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)) AS of_members
+FROM events GROUP BY 1""")
+def bitmap_membership(ops):
+    """Events of customers with a positive balance, whose keys travel as bitmaps."""
+    keys = ops.source("customer").filter("c_acctbal > 0").select("c_custkey")
+    marked = keysets.with_membership(ops.source("events").select("event_type", "user_id"), "user_id", keys, "c_custkey", "member")
+    return marked.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.count_if("member").alias("of_members"))
+
+
 @query("e07_key_lookup", with_ctes(rounded("""
 SELECT delivery_id, rate AS supplier_late_rate FROM ops_deliveries AS d JOIN (
     SELECT supplier_id, AVG(CAST(supplier_late AS INT)) AS rate FROM ops_deliveries GROUP BY 1) AS r

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborline.catalog import raw_ctes  # noqa: F401  (defines the SQL tables)
 from harborline.catalog.ctes import with_ctes
 from harborline.catalog.registry import query
 from harborline.contract import CONTRACT
-from harborline.operators import validate
+from harborline.operators import keysets, validate
 from harborline.sources.raw import RawTables
 
 ALL_FINDINGS = " UNION ALL ".join(f"SELECT * FROM findings_{name}" for name in CONTRACT)
@@ -43,6 +46,24 @@ for _key, _code in (
     query(_key, with_ctes(f"SELECT * FROM ({ALL_FINDINGS}) AS f WHERE code = '{_code}'"))(_findings(_code))
 
 
+PARENTS = {name: dict(table.parents) for name, table in CONTRACT.items() if table.parents}
+
+
+@query("b09_orphans_by_bitmap", with_ctes(" UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", '{column}' AS "column", source_row FROM raw_{name} WHERE {column} IS NOT NULL AND {column} NOT IN (
+        SELECT {CONTRACT[parent].key} FROM raw_{parent} WHERE {CONTRACT[parent].key} IS NOT NULL)"""
+    for name, parents in PARENTS.items() for column, parent in parents.items())))
+def orphans_by_bitmap(ops):
+    """Every row of a table with a foreign key that its parent lacks; parent keys travel as bitmaps."""
+    raw = RawTables(ops)
+    parts = [
+        keysets.orphans(raw[name].select("source_row", column), column, raw[parent], CONTRACT[parent].key).select(
+            F.lit(name).alias("table"), F.lit(column).alias("column"), "source_row")
+        for name, parents in PARENTS.items() for column, parent in parents.items()
+    ]
+    return reduce(DataFrame.union, parts)
+
+
 @query("b10_sample_rows", with_ctes(
     f"""SELECT "table", code, "column", CAST(unnest(string_split(sample_rows, ',')) AS BIGINT) AS data_row
         FROM ({ALL_FINDINGS}) AS f"""))
