@@ -12,7 +12,8 @@ lets adaptive execution split a hot hash.
 
 Defined results: a null text equals the empty text. A null id sorts below every other.
 Rows that repeat both id and text count separately and exactly one of them stays. An
-empty table gives an empty result. Columns other than id and text play no part.
+empty table gives an empty result. Very long texts are hashed and compared whole. Columns other than id and
+text play no part, whatever their names.
 """
 
 from __future__ import annotations

@@ -24,8 +24,8 @@ its distinct n-grams only.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0 and not
 rejected; with no labelled row at all every text is ``und``. Rows with a null language are
-scored but not learned from. Repeated rows count as often as they occur. An empty table gives an
-empty result.
+scored but not learned from; the empty string is a language like any other. Repeated rows count as often as they occur. An empty table gives an
+empty result. Very long texts are scored whole. Other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -207,7 +207,7 @@ def _blocks(texts: list[str | None]) -> Iterator[tuple[list[int], list[np.ndarra
 def _usable(docs: DataFrame, text: Column, lang: Column, *keys: Column) -> DataFrame:
     """Labelled rows as ``lang``, ``text`` and a hash ``h``."""
     return docs.select(lang.alias("lang"), text.alias("text"), F.xxhash64(*keys).alias("h")).filter(
-        (F.col("lang") != "") & F.col("text").isNotNull())
+        F.col("lang").isNotNull() & F.col("text").isNotNull())
 
 
 def _share(sizes: DataFrame, count: str, rows: int) -> int:

@@ -17,7 +17,8 @@ broadcast. Matches are folded per document by a partial aggregate.
 
 Defined results: a null or empty text, and one of punctuation alone, matches nothing.
 Rows that repeat an id keep results of their own, as long as their texts differ. Several licences of
-one digest are all reported, in order. Empty tables give empty results.
+one digest are all reported, in order. Empty tables give empty results. Very long texts are read whole. Other columns
+play no part, whatever their names.
 """
 
 from __future__ import annotations

@@ -26,7 +26,8 @@ batches, whole and without a shuffle.
 Defined results: ASCII letters are lower-cased; a text with fewer words than a shingle is
 one shingle of all of them; a text without words, or null, has fingerprint zero and links
 like any other. A null id never becomes a component's id unless all ids of the component are null.
-Repeated rows share a component. An empty table gives an empty result.
+Repeated rows share a component. An empty table gives an empty result. Very long texts are read whole. Other
+columns pass through or play no part, whatever their names.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ Defined results: a null payload is empty. A null id sorts below every other id;
 share the largest id of a group are all responses, since a record cannot revisit its own
 id; a group whose ids are all null has responses only. Null urls become ``urn:none``, blanks
 and control characters of a url are percent-encoded. A table with no rows writes no archive
-and reads back as no rows. Samples too small to train a dictionary are used as they are.
+and reads back as no rows. Samples too small to train a dictionary are used as they are. Payloads of any length are
+written whole. Other columns play no part, whatever their names.
 """
 
 from __future__ import annotations

@@ -107,3 +107,52 @@ def test_language_of_the_calibrating_part_alone(docs):
     df = df.withColumn("lang", F.when(F.col("doc_id") < 5, "de").otherwise("en"))
     models = langid.train(df.filter("doc_id >= 10"), df.filter("doc_id < 10"), ["doc_id"])
     assert [(m.name, np.isfinite(m.limit)) for m in models] == [("de", False), ("en", True)]
+
+
+def naive(text, order=4):
+    """Probability of a character after others, by the definition, with dictionaries of strings."""
+    counts = {order: {}}
+    for i in range(len(text) - order + 1):
+        g = text[i:i + order]
+        counts[order][g] = counts[order].get(g, 0) + 1
+    for k in range(order - 1, 0, -1):
+        before = {}
+        for g in counts[k + 1]:
+            before.setdefault(g[1:], set()).add(g[0])
+        counts[k] = {g: len(x) for g, x in before.items()}
+    alphabet = len(counts[1]) + 1
+
+    def discount(k):
+        once, twice = (sum(n == m for n in counts[k].values()) for m in (1, 2))
+        return once / (once + 2 * twice) if once and twice else 0.5
+
+    def chance(context, char, k=order):
+        if k == 0:
+            return 1 / alphabet
+        head = context[len(context) - k + 1:] if k > 1 else ""
+        after = {g[-1]: n for g, n in counts[k].items() if g[:-1] == head}
+        lower = chance(context, char, k - 1)
+        if not after:
+            return lower
+        d, total = discount(k), sum(after.values())
+        return max(after.get(char, 0) - d, 0) / total + d * len(after) / total * lower
+
+    return chance
+
+
+def test_against_a_naive_model():
+    text = " " * 3 + "the cat sat on the mat and that dog ate the other hat as they said at noon "
+    points = np.array([ord(c) for c in text], dtype=np.uint32)
+    rows, counts = np.unique(np.lib.stride_tricks.sliding_window_view(points, 4), axis=0, return_counts=True)
+    model, chance = langid.fit("x", rows, counts), naive(text)
+    for context in ("the", " th", "at ", "zzz", "hqz", "q a", "oth"):
+        for char in "aehnot qé":
+            window = np.array([[ord(c) for c in context + char]], dtype=np.uint32)
+            assert np.exp2(-langid.surprise(model, window))[0] == pytest.approx(chance(context, char), rel=1e-9), (context, char)
+
+
+def test_the_empty_string_is_a_language(docs):
+    df = docs([(i, "der hund und die katze" if i % 2 else "the cat and a dog") for i in range(40)])
+    df = df.withColumn("lang", F.when(F.col("doc_id") % 2 == 1, "de").otherwise(""))
+    got = langid.identified_documents(df).collect()
+    assert all(r.lang_pred == ("de" if r.doc_id % 2 else "") for r in got)

@@ -50,3 +50,9 @@ def test_empty_and_wordless(docs):
     assert mixing.mix_plan(docs([(1, "a")]).limit(0)).count() == 0
     assert [r.taken for r in mixing.mix_plan(docs([(1, ""), (2, None)])).collect()] == [0, 0]
     assert mixing.mixed(docs([(1, "")])).count() == 0
+
+
+def test_long_texts(docs):
+    rows = [(1, "word " * 400_000, "a"), (2, "one two", "b"), (3, " \n" * 300_000 + "end", "b")]
+    got = {r.doc_id: r["size"] for r in mixing.mix_plan(docs(rows)).collect()}
+    assert got == {1: 400_000, 2: 2, 3: 1}

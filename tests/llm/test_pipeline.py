@@ -38,6 +38,17 @@ def test_against_brute_force(spark, folder, texts):
     assert got == by_hand(texts, trusted)
 
 
+def test_long_texts_pass(docs, folder):
+    """A text of 300 000 different words goes through all stages whole."""
+    text = " ".join(f"w{i}" for i in range(300_000))
+    rows = docs([(1, text), (2, text), (3, "The quick brown fox jumps over the lazy dog near the river bank today")])
+    for _, stage in corpus_pipeline.STAGES:
+        rows = stage(rows.sparkSession, rows, folder)
+    found = {r.doc_id: r.n_tokens for r in rows.collect()}
+    encode = brute.encoding(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).encode_ordinary
+    assert set(found) <= {2, 3} and found[2] == len(encode(text))
+
+
 def test_stages_on_odd_tables(docs, folder):
     good = "The quick brown fox jumps over the lazy dog near the river bank today"
     df = docs([(1, None), (2, ""), (None, good), (4, good), (4, good), (5, good + " again"), (6, "é " * 40)])
@@ -61,7 +72,7 @@ def test_extra_columns_pass(docs, folder, stage):
 
 def test_registered(spark):
     names = [n for n in __spark_entry__.queries() if n.startswith("op") or n == "pipeline"]
-    assert {n.split("_")[0] for n in names} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in names} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
     assert set(catalog.ORACLES) <= set(catalog.QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "mix", "encode"]
 
@@ -76,6 +87,9 @@ def test_query_columns(spark, folder):
         "op7_byte_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
         "op9_quality": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
         "op10_exact_dedup": "doc_id keep_id group_size kept text_sha256",
+        "op11_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
+        "op12_minhash": "doc_id n_shingles component_id kept",
+        "op13_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
     }
     for name, columns in wanted.items():
         assert set(columns.split()) <= set(catalog.QUERIES[name](tuned(spark), folder).columns), name

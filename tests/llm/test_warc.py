@@ -4,6 +4,7 @@ import struct
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from harborline.llm import warc
 from harborline.llm.frames import tuned
@@ -19,7 +20,7 @@ def pages(spark):
 
 
 def test_round_trip(pages):
-    got = warc.archive_round_trip(pages().withColumnRenamed("x", "y")).collect()
+    got = warc.archive_round_trip(pages().withColumns({"payload": F.lit(1), "sha1": F.lit("x"), "kind": F.lit(None)})).collect()
     assert len(got) == len(ROWS)
     rows = sorted((str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got)
     expected = []
@@ -76,3 +77,11 @@ def test_dictionary_learns_from_all_of_a_page(pages):
     rows = [(i, f"http://a/{i}", filler(i) + "<footer>the same closing words of every page</footer>" * 400) for i in range(200)]
     made = warc.build_dictionary(warc.record_types(pages(rows)), len(rows))
     assert b"the same closing words of every page" in made
+
+
+def test_long_payloads(pages):
+    """Payloads of millions of bytes are written and read back whole, also as copies."""
+    long = "".join(f"<p>{i}é</p>" for i in range(300_000))
+    rows = [(1, "a", long), (2, "b", long), (3, "c", long + "x"), (4, "d", "short")]
+    got = {r.page_id: (r.payload_bytes, r.payload_digest, r.refers_to) for r in warc.archive_round_trip(pages(rows)).collect()}
+    assert got == {i: (len(h.encode()), hashlib.sha1(h.encode()).hexdigest(), 2 if i == 1 else None) for i, _, h in rows}
