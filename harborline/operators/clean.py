@@ -129,17 +129,18 @@ def _orphans(keys: DataFrame, table: Table, column: str, status: DataFrame) -> D
                              f"CASE WHEN {lost} THEN array_append(extra, {text}) ELSE extra END AS extra")
 
 
-def _with_key_reasons(table: Table, df: DataFrame, statuses: Mapping[str, DataFrame]) -> DataFrame:
+def _with_key_reasons(table: Table, df: DataFrame, statuses: Mapping[str, DataFrame], stage: bool) -> DataFrame:
     """A normalised frame with the reasons that keys give, after those of its rows.
 
     Keys are compared on narrow rows (line and keys). Only lines with a reason, usually few, come back to the
-    wide rows; they are written first, so that their size decides how.
+    wide rows, in one join; with ``stage`` they are written first, so that their size decides how.
     """
     keys = df.selectExpr("source_row", f"value.{table.key} AS own", *[f"value.{c} AS p_{c}" for c in table.parents])
     keys = _duplicates(table, keys)
     for column, status in statuses.items():
         keys = _orphans(keys, table, column, status)
-    found = staged(keys.filter("size(extra) > 0").select("source_row", "extra"), "key-reasons")
+    found = keys.filter("size(extra) > 0").select("source_row", "extra")
+    found = staged(found, "key-reasons") if stage else found
     return df.join(found, "source_row", "left").selectExpr(
         "source_row", "raw", "value", "changed",
         "concat(reasons, coalesce(extra, CAST(array() AS array<string>))) AS reasons")
@@ -160,9 +161,10 @@ def judge(tables: Mapping[str, DataFrame], stage: bool = False,
         if name not in tables:
             continue
         for parent in set(table.parents.values()) & set(judged) - set(status):
-            status[parent] = staged(key_status(CONTRACT[parent], judged[parent]), f"keys-{parent}")
+            kept = key_status(CONTRACT[parent], judged[parent])
+            status[parent] = staged(kept, f"keys-{parent}") if stage else kept
         df = _with_key_reasons(table, normalise(table, tables[name], formats.get(name, {})),
-                               {c: status[p] for c, p in table.parents.items() if p in status})
+                               {c: status[p] for c, p in table.parents.items() if p in status}, stage)
         judged[name] = staged(df, f"judged-{name}") if stage else df
     return judged
 
