@@ -6,9 +6,10 @@ dictionary leads every file in a skippable frame, so a file can be read on its o
 and any record can be decompressed without those before it.
 
 Files are written by Spark's text writer, whose committer survives lost tasks and works
-on every store: one row is one frame, and the line separator is an empty skippable
-frame, which readers of the format pass over. A file holds what its task reads, so its size
-follows the scan's split size.
+on every store: one row is one file, made of the dictionary and the frames that follow it, and the
+line separator is an empty skippable frame, which readers of the format pass over. A task rolls
+to a new file when the frames pass ``ROLL_BYTES``, so a file, which is read back as one value, has
+at most that size and one record more, whatever the size of a split.
 
 Pages with equal payloads of at least ``MIN_BYTES``: the one with the largest id is written as
 response, the others as revisit records, whose block keeps the HTTP header (and so the
@@ -43,6 +44,7 @@ SAMPLE_ROWS = 2000  # records the dictionary is built from
 SAMPLE_BYTES = 8192  # of each of them
 DICTIONARY_BYTES = 65536
 LEVEL = 3
+ROLL_BYTES = 64 << 20  # compressed bytes after which a task begins a new file
 DATE = "2000-01-01T00:00:00Z"
 # Fixed values of the formats: the magic numbers of skippable frames, the profile's name.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -120,24 +122,32 @@ def skippable(content: bytes) -> bytes:
     return struct.pack("<II", DICTIONARY_MAGIC, len(content)) + content
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, level: int = LEVEL) -> None:
-    """Write all pages as archives below ``path``."""
+def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, level: int = LEVEL,
+                   roll_bytes: int = ROLL_BYTES) -> None:
+    """Write all pages as archives of about ``roll_bytes`` and less below ``path``."""
     typed = record_types(pages, min_bytes)
     content = build_dictionary(typed, pages.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(content))
-        begun = False
+        frames, size = [], 0
         for batch in batches:
             columns = [batch.column(n) for n in ("page_id", "url", "payload", "sha1", "refers_to")]
-            frames = [] if begun or not batch.num_rows else [skippable(content)]
-            begun = begun or bool(batch.num_rows)
             for values in zip(*columns):
                 frames.append(compressor.compress(record(*[v.as_py() for v in values])))
-            yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
-
-    frames = typed.mapInArrow(run, "frame binary").select(F.col("frame").cast("string"))
-    frames.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", 0).text(path)
+                size += len(frames[-1])
+                if size >= roll_bytes:
+                    yield archive(frames)
+                    frames, size = [], 0
+        if frames:
+            yield archive(frames)
+
+    def archive(frames: list[bytes]) -> pa.RecordBatch:
+        whole = b"".join([skippable(content), *frames])
+        return pa.RecordBatch.from_arrays([pa.array([whole], pa.binary())], names=["archive"])
+
+    archives = typed.mapInArrow(run, "archive binary").select(F.col("archive").cast("string"))
+    archives.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", 1).text(path)
 
 
 def _frames(data: bytes) -> Iterator[bytes]:

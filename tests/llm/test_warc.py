@@ -47,6 +47,21 @@ def test_files_follow_the_format(pages, tmp_path):
     assert b"".join(records) == plain and len(records) == len(ROWS)
 
 
+def test_files_roll(pages, spark, tmp_path):
+    """One task writes many files of bounded size, each of which can be read on its own."""
+    rows = [(i, f"http://a/{i}", hashlib.shake_256(str(i).encode()).hexdigest(4000)) for i in range(60)]
+    path = str(tmp_path / "archive")
+    warc.write_archives(pages(rows, 1), path, roll_bytes=20_000)
+    files = [open(name, "rb").read() for name in glob.glob(f"{path}/part-*")]
+    assert len(files) > 5
+    sizes = [len(d) - 8 - struct.unpack_from("<II", d)[1] for d in files]
+    assert max(sizes) < 20_000 + 9000
+    assert all(struct.unpack_from("<II", d)[0] == warc.DICTIONARY_MAGIC for d in files)
+    assert sorted(warc.parse(r)[0] for d in files for r in warc._frames(d)) == list(range(60))
+    assert {(r.page_id, bytes(r.payload).decode()) for r in warc.read_archives(spark, path).collect()} == {
+        (i, h) for i, _, h in rows}
+
+
 def test_payloads_come_back(pages, spark, tmp_path):
     path = str(tmp_path / "archive")
     warc.write_archives(pages(), path)
