@@ -4,13 +4,17 @@ A text's fingerprint has 64 bits: a bit is 1 if it is set in over half of the XX
 the text's word shingles. Two fingerprints link when at most ``radius`` bits differ; the
 components of the links are the groups.
 
-Candidates. The bits are cut into radius + 2 blocks. Two fingerprints within the radius differ
-in at most ``radius`` blocks, so they agree on some pair of blocks: every distinct fingerprint is
-dealt once for each pair of blocks, by the values of the two. No link can be missed.
-A pair of blocks holds about 21 bits, so a bucket grows with the corpus over two million.
-A bucket of more than ``CELL`` fingerprints is dealt again in blocks of about ``CELL``: each
-member goes to the cells (own block, other block), which together hold every pair, so no task
-receives an unbounded group and nothing is dropped.
+Candidates. The bits are cut into radius + k blocks. Two fingerprints within the radius differ
+in at most ``radius`` blocks, so they agree on some k blocks: every distinct fingerprint is
+dealt once for each choice of k blocks, by their values. No link can be missed. k is two, for about
+21 bits, until evenly spread fingerprints would fill buckets of ``CELL``, at two billion; then three,
+for 27 bits.
+A bucket of more than ``CELL`` fingerprints is cut in blocks of about ``CELL``: each member goes to the cells
+(own block, other block), which together hold every pair, so no task receives an unbounded group and nothing
+is dropped. Where that makes more cells than there are pairs of radius + 2 blocks, the bucket is counted as dealt
+again by pairs of blocks of the bits it does not share yet, which finds the same links with rows that grow with
+its members; it is dealt so if that compares fewer fingerprints. Only a bucket whose members agree in those bits
+too, and so lie close together, stays in cells.
 
 Comparison. Inside a cell, up to 64 fingerprints form a slice: word b of a slice holds bit
 b of all its members. A query is compared with a slice by XOR of its own bit, spread over
@@ -32,13 +36,13 @@ columns pass through or play no part, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import accumulate, combinations
+from collections.abc import Iterator, Sequence
+from itertools import accumulate, combinations, count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,13 +90,21 @@ def fingerprints(df: DataFrame, text_column: str = "text", out: str = "fp", shin
     return rows.mapInArrow(run, schema).select("_row.*", F.col("_fp").alias(out))
 
 
-def block_masks(radius: int) -> list[int]:
-    """A mask for every pair of the radius + 2 blocks, as signed longs."""
-    blocks = radius + 2
-    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
-    masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
-    pairs = [x | y for x, y in combinations(masks, 2)]
-    return [m - (1 << 64) if m >> 63 else m for m in pairs]
+def block_masks(radius: int, agree: int = 2, bits: Sequence[int] = range(64)) -> list[int]:
+    """A mask for every choice of ``agree`` out of radius + agree blocks of ``bits``, as signed longs."""
+    blocks = radius + agree
+    edges = [round(len(bits) * i / blocks) for i in range(blocks + 1)]
+    masks = [sum(1 << k for k in bits[a:b]) for a, b in zip(edges, edges[1:])]
+    return [signed(sum(chosen)) for chosen in combinations(masks, agree)]
+
+
+def signed(word: int) -> int:
+    return word - (1 << 64) if word >> 63 else word
+
+
+def agreeing(total: int, radius: int, cell: int) -> int:
+    """How many blocks shall agree, so that ``total`` evenly spread fingerprints make buckets of ``cell`` or less."""
+    return next(k for k in count(2) if k == 8 or total * 2.0 ** (-64 * k / (radius + k)) <= cell)
 
 
 def slices(prints: np.ndarray) -> np.ndarray:
@@ -185,25 +197,71 @@ def cell_edges(cells: list[np.ndarray], radius: int) -> list[tuple[int, int]]:
     return edges
 
 
-def _cells(prints: DataFrame, radius: int, cell: int) -> DataFrame:
-    """Rows of ``mask``, ``value``, ``i``, ``j`` and ``fp`` of all cells with a chance of a link."""
-    masks = F.array(*[F.struct(F.lit(k).alias("mask"), F.lit(m).alias("bits")) for k, m in enumerate(block_masks(radius))])
+def _buckets(dealt: DataFrame, cell: int) -> DataFrame:
+    """``path``, ``value``, ``members`` and the number of ``blocks`` of every bucket with a pair."""
+    # A bucket of one has no pair; the inner join with this frame drops it.
+    return dealt.groupBy("path", "value").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select(
+        "*", F.ceil(F.col("members") / cell).cast("int").alias("blocks"))
+
+
+def _cells(prints: DataFrame, radius: int, cell: int, agree: int | None = None) -> DataFrame:
+    """Rows of ``path``, ``value``, ``i``, ``j`` and ``fp`` of all cells with a chance of a link."""
+    first = block_masks(radius, agree or agreeing(prints.count(), radius, cell))
+    masks = F.array(*[F.struct(F.lit(k).alias("path"), F.lit(m).alias("bits")) for k, m in enumerate(first)])
     dealt = staged(prints.select("fp", F.inline(masks)).select(
-        "mask", F.col("fp").bitwiseAND(F.col("bits")).alias("value"), "fp"), "dealt")
-    sizes = dealt.groupBy("mask", "value").count().filter("count > 1")
-    blocks = staged(sizes.select("mask", "value", F.ceil(F.col("count") / cell).cast("int").alias("blocks")), "buckets")
-    # A bucket of one has no pair; the inner join drops it.
-    met = dealt.join(blocks, ["mask", "value"])
+        "path", F.col("fp").bitwiseAND(F.col("bits")).alias("value"), "fp"), "dealt")
+    buckets = staged(_buckets(dealt, cell), "buckets")
+    again = [block_masks(radius, 2, [b for b in range(64) if not m >> b & 1]) for m in first]
+    wide = buckets.filter(F.col("blocks") > len(again[0]))
+    if not wide.isEmpty():
+        dealt, buckets = _dealt_again(dealt, buckets, wide, first, again, cell)
+    met = dealt.join(buckets.select("path", "value", "blocks"), ["path", "value"])
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    met = met.select("mask", "value", "fp", own.alias("own"), F.explode(
+    met = met.select("path", "value", "fp", own.alias("own"), F.explode(
         F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    return met.select("mask", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+    return met.select("path", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+
+
+def _dealt_again(dealt: DataFrame, buckets: DataFrame, wide: DataFrame, first: list[int], again: list[list[int]],
+                 cell: int) -> tuple[DataFrame, DataFrame]:
+    """Rows and buckets with those of ``wide`` replaced where dealing them by further blocks costs less.
+
+    A path below ``len(first)`` is a choice of blocks; above, the choice ``path // step - 1`` and a further one.
+    """
+    step = max(len(first), len(again[0]))
+    more = F.array(*[
+        F.array(*[F.struct(F.lit((k + 1) * step + i).alias("deeper"), F.lit(m | x).alias("bits")) for i, x in enumerate(own)])
+        for k, (m, own) in enumerate(zip(first, again))])
+    deeper = staged(dealt.join(wide.select("path", "value"), ["path", "value"]).select(
+        "fp", F.inline(more[F.col("path")])).select(
+        F.col("deeper").alias("path"), F.col("fp").bitwiseAND(F.col("bits")).alias("value"), "fp"), "dealt-again")
+    found = staged(_buckets(deeper, cell), "buckets-again")
+
+    def parent() -> list[Column]:
+        above = (F.floor(F.col("path") / step) - 1).cast("int")
+        bits = F.array(*[F.lit(m) for m in first])[above]
+        return [above.alias("above"), F.col("value").bitwiseAND(bits).alias("root")]
+
+    def compared() -> Column:
+        return F.col("members").cast("double") * F.col("blocks")
+
+    own = found.select(*parent(), compared().alias("cost")).groupBy("above", "root").agg(F.sum("cost").alias("cost"))
+    chosen = wide.join(own, (F.col("path") == F.col("above")) & (F.col("value") == F.col("root")), "left").filter(
+        F.coalesce("cost", F.lit(0.0)) < compared())
+    chosen = staged(chosen.select(F.col("path").alias("above"), F.col("value").alias("root")), "buckets-replaced")
+
+    kept = buckets.join(chosen, (F.col("path") == F.col("above")) & (F.col("value") == F.col("root")), "left_anti")
+    added = found.select("*", *parent()).join(chosen, ["above", "root"], "left_semi").select(*buckets.columns)
+    return dealt.unionByName(deeper), staged(kept.unionByName(added), "buckets-of-both")
+
 
+def links(prints: DataFrame, radius: int = RADIUS, cell: int = CELL, agree: int | None = None) -> DataFrame:
+    """Edges ``a``, ``b`` between distinct fingerprints ``fp``: a spanning forest of every cell.
 
-def links(prints: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
-    """Edges ``a``, ``b`` between distinct fingerprints ``fp``: a spanning forest of every cell."""
-    keys = ["mask", "value", "i", "j"]
-    types = {"mask": np.int64, "value": np.int64, "i": np.int64, "j": np.int64}
+    ``agree`` is the number of blocks that share a bucket's value, chosen by the number of fingerprints if it is not given.
+    """
+    keys = ["path", "value", "i", "j"]
+    types = {"path": np.int64, "value": np.int64, "i": np.int64, "j": np.int64}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # rows of the last cell, which may go on in the next batch
@@ -223,7 +281,7 @@ def links(prints: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFram
         if held is not None:
             yield _batch(held, radius)
 
-    cells = _cells(prints, radius, cell)
+    cells = _cells(prints, radius, cell, agree)
     placed = cells.repartition(*keys).sortWithinPartitions(*keys)
     return placed.mapInArrow(run, "a bigint, b bigint").distinct()
 

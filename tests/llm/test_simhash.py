@@ -49,6 +49,38 @@ def test_links_against_all_pairs(spark, cell):
     assert brute.roots(prints, edges) == brute.near_groups(prints)
 
 
+@pytest.mark.parametrize("agree", [2, 3, 4])
+def test_more_blocks_against_all_pairs(spark, agree):
+    """Each choice of blocks finds every link; a larger table asks for more of them."""
+    prints = cloud(random.Random(6), 250, 6)
+    df = tuned(spark).createDataFrame([(simhash.signed(p),) for p in prints], "fp long")
+    edges = [tuple(x % (1 << 64) for x in r) for r in simhash.links(df, agree=agree).collect()]
+    assert brute.roots(prints, edges) == brute.near_groups(prints)
+    assert [simhash.agreeing(n, 4, 1024) for n in (0, 10 ** 6, 10 ** 10, 10 ** 12)] == [2, 2, 3, 4]
+
+
+@pytest.mark.parametrize("loose", [43, 16, 7])
+def test_hot_bucket_against_all_pairs(spark, loose):
+    """Fingerprints that share a bucket, spread over its other bits or close together."""
+    rng = random.Random(loose)
+    top = rng.getrandbits(64 - loose) << loose
+    prints = sorted({top | rng.getrandbits(loose) for _ in range(300)} | {top | (1 << i) for i in range(loose)})
+    df = tuned(spark).createDataFrame([(simhash.signed(p),) for p in prints], "fp long")
+    edges = [tuple(x % (1 << 64) for x in r) for r in simhash.links(df, cell=4).collect()]
+    assert brute.roots(prints, edges) == brute.near_groups(prints)
+
+
+@pytest.mark.parametrize("n", [4000, 16000])
+def test_rows_of_a_hot_bucket_grow_with_its_members(spark, n):
+    """At most a row for each pair of blocks and dealing, where cells alone would make n * n / 16 of them."""
+    rng = random.Random(1)
+    prints = sorted({(5 << 43) | rng.getrandbits(43) for _ in range(n)})
+    df = tuned(spark).createDataFrame([(p,) for p in prints], "fp long")
+    cells = simhash._cells(df, 4, 16)
+    assert cells.count() < 2 * 15 * n < n * n / 16
+    assert cells.filter("path >= 15").count() > 0
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(2)
     for n, m in ((1, 0), (30, 12), (60, 70)):
