@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from harborline.catalog import decomposition, kpis  # noqa: F401  (define the SQL tables)
 from harborline.catalog.ctes import define, with_ctes
 from harborline.catalog.registry import query, rounded
+from harborline.operators.storage import staged
 from harborline.plans import evidence
 
 PERIOD = decomposition.SQL_B  # alerts look at the latest month
@@ -235,8 +236,58 @@ def structure_audit(ops):
     return checked.select("doc_id", F.array_join(evidence.structure_errors(), " ").alias("errors"))
 
 
-@query("m10_narrative_audit", with_ctes("SELECT period_a, period_b, '' AS errors FROM narratives"))
+def _has(line: str, *names: str) -> str:
+    return " AND ".join(f"contains({line}, {name})" for name in names)
+
+
+FACTS_TEXT = """concat_ws(' ', kpi, period_a, period_b, value_a, value_b, change_pp, warehouse, warehouse_rate_a, warehouse_rate_b,
+    warehouse_contribution_pp, warehouse_share_of_unfulfilled, supplier, supplier_late_rate, supplier_average, supplier_gap_pp,
+    sku_group, stockout_rate, stockout_snapshots, snapshot_count, all_stockout_snapshots, share_of_stockouts)"""
+
+
+def audit_sql(answered: str) -> str:
+    """Rules that the answers of ``answered`` break against the facts of the same row, and numbers without a fact."""
+    supplier = _has("l[4]", "'percentage points'", "supplier", "supplier_late_rate", "supplier_average", "supplier_gap_pp")
+    group = _has("l[5]", "'stock-out snapshots'", "'all'", "sku_group", "stockout_rate", "stockout_snapshots",
+                 "snapshot_count", "share_of_stockouts", "all_stockout_snapshots")
+    return f"""
+SELECT period_a, period_b, unsupported, concat_ws(' ',
+       CASE WHEN NOT (starts_with(l[1], 'Finding:') AND l[2] = 'Evidence:' AND l[6] = 'Recommendation:') THEN 'headings' END,
+       CASE WHEN NOT (starts_with(l[3], '- Warehouse ') AND starts_with(l[5], '- SKU group ')) THEN 'evidence_order' END,
+       CASE WHEN len(l) NOT BETWEEN 7 AND 8 THEN 'recommendation_count' END,
+       CASE WHEN supplier IS NOT NULL AND NOT (starts_with(l[4], '- Supplier ') AND {supplier})
+              OR supplier IS NULL AND NOT (starts_with(l[4], '- No supplier ')
+                                           AND contains(l[4], 'above the all-supplier average')) THEN 'supplier_evidence' END,
+       CASE WHEN NOT (starts_with(l[5], '- SKU group ') AND {group}) THEN 'sku_group_evidence' END,
+       CASE WHEN len(list_filter(l[7:], lambda x: contains(x, 'SKU group ' || sku_group))) = 0 THEN 'recommendation_group' END,
+       CASE WHEN unsupported <> '' THEN 'unsupported_numbers' END) AS errors
+FROM (
+    SELECT *, string_split(answer, chr(10)) AS l,
+           array_to_string(list_sort(list_filter({tokens_sql("answer")},
+               lambda t: NOT list_contains({tokens_sql(FACTS_TEXT)}, t))), ' ') AS unsupported
+    FROM ({answered}) AS a
+) AS t"""
+
+
+def _audited(facts, answered):
+    """The audit of ``answered``, whose fact columns are those of ``facts``."""
+    unsupported = evidence.unsupported_numbers("answer", evidence.facts_text(facts))
+    return evidence.audit_answers(answered).select(
+        "period_a", "period_b", F.array_join(unsupported, " ").alias("unsupported"),
+        F.array_join("errors", " ").alias("errors"))
+
+
+@query("m10_narrative_audit", with_ctes(audit_sql("SELECT * FROM narratives")))
 def narrative_audit(ops):
-    """Every narrative passes the audit against its own facts."""
-    written = evidence.narratives(evidence.evidence_facts(ops))
-    return evidence.audit_answers(written).select("period_a", "period_b", F.array_join("errors", " ").alias("errors"))
+    """The audit of every narrative against its own facts."""
+    facts = evidence.evidence_facts(ops)
+    return _audited(facts, evidence.narratives(facts))
+
+
+@query("m10_outdated_narratives", with_ctes(audit_sql(
+    "SELECT f.*, n.answer FROM evidence_facts AS f JOIN narratives AS n ON n.period_b = f.period_a")))
+def outdated_narratives(ops):
+    """What the audit finds when the narrative of one month pair is handed in for the next pair."""
+    facts = staged(evidence.evidence_facts(ops), "facts")
+    earlier = evidence.narratives(facts).select(F.col("period_b").alias("_until"), "answer")
+    return _audited(facts, facts.join(earlier, facts["period_a"] == F.col("_until")).drop("_until"))

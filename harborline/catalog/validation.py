@@ -144,13 +144,16 @@ def published_tables(ops):
 LACKING = {name: [c for c in CONTRACT[name].columns if c not in columns.split()] for name, (_, columns) in PUBLISHED.items()}
 
 
-@query("b01_missing_columns", " UNION ALL ".join(
+@query("b01_missing_columns", with_ctes(" UNION ALL ".join(
     f"""SELECT '{name}' AS "table", 'missing_column' AS code, 'reject' AS severity, CAST({len(columns)} AS BIGINT) AS count,
-        'required columns are missing: {", ".join(columns)}' AS message""" for name, columns in LACKING.items() if columns))
+        'required columns are missing: {", ".join(columns)}' AS message, (SELECT COUNT(*) FROM {PUBLISHED[name][0]}) AS affected_rows"""
+    for name, columns in LACKING.items() if columns)))
 def missing_columns(ops):
-    """Contract columns that the operational tables do not have, from their schemas."""
-    return validate.missing_columns(ops.spark, published_tables(ops)).select(
-        "table", "code", "severity", "count", "message")
+    """Contract columns that the operational tables do not have, and the rows that lack them."""
+    tables = published_tables(ops)
+    found = validate.missing_columns(ops.spark, tables)
+    return found.join(validate.lacking_rows(tables), "table").select(
+        "table", "code", "severity", "count", "message", "affected_rows")
 
 
 @query("b13_published_constraints", with_ctes(_published_sql()))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from harborline.operators.storage import staged
 
+WINDOW_ROWS = 100_000  # a histogram of at most this size is ordered in one window
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -102,21 +103,20 @@ def ntile_scaled(df: DataFrame, key: str, n: int, measures: Mapping[str, Column]
     return out.drop("_bounds")
 
 
-def hist_rank(df: DataFrame, value: str, weights: Mapping[str, Column], bounded: bool = False) -> DataFrame:
+def hist_rank(df: DataFrame, value: str, weights: Mapping[str, Column]) -> DataFrame:
     """Average-tie ranks through a histogram: one row per distinct value.
 
     Result: ``value``, the summed ``weights``, ``rows`` and ``avg_rank`` (1-based).
-    ``bounded`` says that the number of distinct values is limited by the domain
-    (days of a calendar, per-customer counts), so the histogram is ordered in one
-    window; otherwise it is range-partitioned.
+    The histogram is written first. One of at most ``WINDOW_ROWS`` values, such as days of a calendar, is
+    ordered in one window; a larger one is range-partitioned.
     """
     histogram = df.filter(F.col(value).isNotNull()).groupBy(value).agg(
         F.count(F.lit(1)).alias("rows"), *[F.sum(w).alias(name) for name, w in weights.items()]
     )
-    if bounded:
-        ranked = histogram.withColumn("_upto", F.sum("rows").over(Window.orderBy(value)))
+    stored = staged(histogram, "histogram")
+    if stored.count() <= WINDOW_ROWS:
+        ranked = stored.withColumn("_upto", F.sum("rows").over(Window.orderBy(value)))
     else:
-        stored = staged(histogram, "histogram")  # its range bounds are sampled, which reads it twice
         placed = staged(stored.repartitionByRange(value).withColumn("_part", F.spark_partition_id()), "ordered")
         inside = F.sum("rows").over(Window.partitionBy("_part").orderBy(value))
         ranked = _with_offsets(placed, "_part", F.col("rows")).withColumn(

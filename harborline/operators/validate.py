@@ -127,6 +127,16 @@ def missing_columns(spark, tables: Mapping[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, FINDING)
 
 
+def lacking_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``table`` and ``affected_rows``, the rows of every table that lacks contract columns; no column is read."""
+    counted = [
+        frame.agg(F.count(F.lit(1)).alias("affected_rows")).select(F.lit(name).alias("table"), "affected_rows")
+        for name, frame in tables.items() if not set(CONTRACT[name].columns).issubset(frame.columns)
+    ]
+    none = next(iter(tables.values())).sparkSession.createDataFrame([], "table string, affected_rows bigint")
+    return reduce(DataFrame.union, counted, none)
+
+
 FINDING = ("table string, code string, severity string, column string, count bigint, message string, "
            "sample_rows array<bigint>")
 

@@ -67,11 +67,8 @@ def ticket_counts(ops: Tables) -> DataFrame:
 
 
 def ticket_percentile(counts: DataFrame) -> DataFrame:
-    """Average-tie percentile rank of the ticket count.
-
-    k distinct counts need at least k(k-1)/2 tickets, so the histogram stays small.
-    """
-    ranks = staged(hist_rank(counts, "ticket_count", {}, bounded=True), "ranks")
+    """Average-tie percentile rank of the ticket count."""
+    ranks = staged(hist_rank(counts, "ticket_count", {}), "ranks")
     total = counts.agg(F.count("ticket_count")).scalar()
     return counts.join(ranks, "ticket_count", "left").select(
         "customer_id", "ticket_count", (F.col("avg_rank") / total).alias("ticket_percentile")

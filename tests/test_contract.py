@@ -53,6 +53,7 @@ def test_missing_columns_and_unknown_tables(spark):
     only = spark.createDataFrame([("P1", 1)], "product_id string, data_row bigint")
     rows = validate.findings({"products": only}).filter("code = 'missing_column'").collect()
     assert [(r["table"], r["count"]) for r in rows] == [("products", 7)]
+    assert [tuple(r) for r in validate.lacking_rows({"products": only}).collect()] == [("products", 1)]
     with pytest.raises(ValueError):
         validate.findings({"nonsense": only})
     with pytest.raises(ValueError, match="missing required columns"):
