@@ -4,8 +4,8 @@ Text is reduced to its letters in lower case, every run of other characters to o
 with a blank at either end. One model per language holds n-grams of up to ``ORDER``
 characters. Highest-order counts are counts of occurrences, lower orders count distinct
 left neighbours; each order is discounted by D = n1 / (n1 + 2 n2) and interpolated with the
-next lower one, the lowest with the uniform distribution over the characters seen and one
-unseen. A model is stored as sorted arrays of 64-bit hashes: n-gram to
+next lower one, the lowest with the uniform distribution over the characters seen in any language and one
+unseen. That alphabet is the same for all models, or one of few letters would find foreign ones likelier than their own does. A model is stored as sorted arrays of 64-bit hashes: n-gram to
 log2 probability, and context to log2 back-off weight. The prediction is the language
 with the lowest cross-entropy per character, ties by name.
 
@@ -19,7 +19,10 @@ one row at least, so every labelled language has a model. Models are broadcast;
 the time to score a text, grow with the number of languages only. Of a text with more
 than ``MAX_CHARS`` letters and blanks, ``PIECES`` pieces of that size together are counted, one from each part of
 equal length at a place chosen by the row's hash. Limits are measured on whole texts. N-grams are counted by
-Spark. Scoring is one pass over whole texts without a shuffle; each batch looks up
+Spark, and models are made of about ``GRAMS`` n-grams of the highest order in all, whatever the alphabet: a language with more
+than its share keeps those that occur most, and of the count at its limit a part chosen by their hash; its single characters are
+all kept. So neither what
+reaches the driver nor what is broadcast grows with the length or variety of texts. Scoring is one pass over whole texts without a shuffle; each batch looks up
 its distinct n-grams only.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0 and not
@@ -36,7 +39,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +50,7 @@ ROWS = 1500  # labelled rows per language to fit on, and as many again to calibr
 MAX_CHARS = 20_000  # of longer texts, pieces of this size together are fitted on
 PIECES = 4
 SAMPLE_ROWS = 20_000  # over all languages; with many of them each gets fewer than ROWS, but one at least
+GRAMS = 1 << 20  # n-grams of the highest order in all models together
 REJECT = 0.995
 CERTAIN = 64  # characters after which a score no longer sharpens
 BLOCK = 1 << 21  # characters scored at once
@@ -108,14 +112,21 @@ def _sorted(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[place], values[place]
 
 
-def fit(name: str, points: np.ndarray, counts: np.ndarray) -> Model:
-    """A model from the distinct n-grams of the highest order (a row of characters each) and their counts."""
+def fit(name: str, points: np.ndarray, counts: np.ndarray, singles: tuple[np.ndarray, np.ndarray] | None = None,
+        alphabet: int | None = None) -> Model:
+    """A model from the distinct n-grams of the highest order (a row of characters each) and their counts.
+
+    ``singles`` are characters in ascending order with their numbers of left neighbours, if more are known than these
+    n-grams show; ``alphabet`` is the number of characters that share what the lowest order leaves.
+    """
     order = points.shape[1]
     levels = [(points, counts.astype(np.float64))]
     for _ in range(order - 1):  # lower orders count the distinct characters that precede
         tails, n = np.unique(levels[0][0][:, 1:], axis=0, return_counts=True)
         levels.insert(0, (tails, n.astype(np.float64)))
-    alphabet = len(levels[0][0]) + 1
+    if singles is not None and order > 1:
+        levels[0] = (singles[0].reshape(-1, 1).astype(points.dtype), singles[1].astype(np.float64))
+    alphabet = alphabet or len(levels[0][0]) + 1
     lower = None
     model = Model(name, [], [], 0.0)
     for k, (rows, n) in enumerate(levels, start=1):
@@ -210,13 +221,13 @@ def _usable(docs: DataFrame, text: Column, lang: Column, *keys: Column) -> DataF
         F.col("lang").isNotNull() & F.col("text").isNotNull())
 
 
-def _share(sizes: DataFrame, count: str, rows: int) -> int:
-    """The rows a language may give at most, so that all give ``SAMPLE_ROWS``; what small ones leave goes to the others.
+def _share(sizes: DataFrame, count: str, rows: int, total: int | None = None) -> int:
+    """The rows a language may give at most, so that all give ``total`` (``SAMPLE_ROWS``); what small ones leave goes to the others.
 
     ``rows`` at most and 1 at least. Only the counts up to ``rows`` reach the driver, with their numbers of languages.
     """
     some = sizes.filter(F.col(count) > 0).groupBy(F.least(count, F.lit(rows)).alias("size")).agg(F.count(F.lit(1)).alias("n"))
-    left = SAMPLE_ROWS
+    left = SAMPLE_ROWS if total is None else total
     found = sorted((r["size"], r["n"]) for r in some.collect())
     langs = sum(n for _, n in found)
     for size, n in found:
@@ -236,6 +247,22 @@ def _sample(usable: DataFrame, sizes: DataFrame, count: str, rows: int) -> DataF
         "lang", "text", "h")
 
 
+def _frequent(counted: DataFrame, names: list[str], total: int) -> DataFrame:
+    """About ``total`` of the n-grams in the stored ``counted``: the most frequent ones of each language, up to its share."""
+    if counted.count() <= total:
+        return counted
+    # A language has few distinct counts, so its histogram is small.
+    histogram = staged(counted.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("size")), "counts")
+    share = _share(histogram.groupBy("lang").agg(F.sum("size").alias("size")), "size", total, total)
+    share = max(share, 64)  # what the hash chooses is never empty
+    above = F.sum("size").over(Window.partitionBy("lang").orderBy(F.desc("n")))
+    rate = (F.lit(share) - (above - F.col("size"))) / F.col("size")
+    cut = F.greatest(F.lit(0.0), F.least(F.lit(1.0), rate)) * F.lit(float(1 << 62))
+    cuts = histogram.select("lang", "n", cut.alias("_cut")).filter("_cut > 0")
+    place = F.pmod(F.xxhash64(*names), F.lit(1 << 62))
+    return counted.join(cuts, ["lang", "n"]).filter(place < F.col("_cut")).select("lang", *names, "n")
+
+
 def _pieces(points: np.ndarray, h: int) -> list[np.ndarray]:
     """A text of at most ``MAX_CHARS`` points whole, else ``PIECES`` pieces of it at places chosen by ``h``."""
     if len(points) <= MAX_CHARS:
@@ -284,15 +311,20 @@ def train(fitting: DataFrame, calibrating: DataFrame, keys: list[str], text_colu
 
     schema = "lang string, " + ", ".join(f"{c} int" for c in names) + ", n bigint"
     counted = _sample(source, sizes, "fit", rows).mapInArrow(count, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
-    table = counted.toArrow()
+    counted = staged(counted, "ngrams")
+    table = _frequent(counted, names, GRAMS).toArrow()
+    pairs = counted.select("lang", F.col(names[-1]).alias("c"), *names[-2:-1]).distinct()
+    pairs = pairs.groupBy("lang", "c").agg(F.count(F.lit(1)).alias("n")).orderBy("lang", "c").toArrow()
+    holders, single, before = (pairs.column(c).to_numpy() for c in ("lang", "c", "n"))
+    alphabet = len(np.unique(single)) + 1
     langs = np.array(table.column("lang").to_pylist(), dtype=object)
     chars = np.stack([table.column(c).to_numpy().astype(np.uint32) for c in names], axis=1) if len(langs) else None
     n = table.column("n").to_numpy()
     models = []
     for lang in sorted(set(langs.tolist())):
-        own = langs == lang
+        own, held = langs == lang, holders == lang
         place = np.lexsort(chars[own].T[::-1])  # one order for every run, since sums of floats follow it
-        models.append(fit(lang, chars[own][place], n[own][place]))
+        models.append(fit(lang, chars[own][place], n[own][place], (single[held], before[held]), alphabet))
     _calibrate(spark, models, _sample(measured, sizes, "limit", rows))
     return models
 

@@ -151,6 +151,27 @@ def test_against_a_naive_model():
             assert np.exp2(-langid.surprise(model, window))[0] == pytest.approx(chance(context, char), rel=1e-9), (context, char)
 
 
+def test_models_are_bounded_for_any_alphabet(docs, monkeypatch):
+    """Texts of random characters give a new n-gram at every place; the frequent ones of each language are kept."""
+    rng = np.random.default_rng(1)
+    rare = ["".join(map(chr, rng.integers(0x4E00, 0x5E00, 3000))) for _ in range(10)]
+    known = "般若波羅蜜多心経観自在菩薩"
+    rows = [(2 * i, text + known * 20) for i, text in enumerate(rare)] + [(2 * i + 1, "der hund und die katze ") for i in range(10)]
+    df = docs(rows).withColumn("lang", F.when(F.col("doc_id") % 2 == 1, "de").otherwise("zz"))
+    whole = langid.train(df, df.limit(0), ["doc_id"])
+    assert [len(m.grams[-1][0]) > 20_000 for m in whole] == [False, True]
+    monkeypatch.setattr(langid, "GRAMS", 2000)
+    models = langid.train(df, df.limit(0), ["doc_id"])
+    sizes = [len(m.grams[-1][0]) for m in models]
+    assert sizes[0] == len(whole[0].grams[-1][0]) and 1500 < sum(sizes) < 2200
+    repeated = langid.letters(known * 3)[1:-1]
+    assert np.isin(langid.grams(repeated, 4), models[1].grams[-1][0]).all()
+    got = langid.identify(df, models).collect()
+    assert all(r.lang_pred == r.lang for r in got)
+    again = langid.train(df.repartition(7), df.limit(0), ["doc_id"])
+    assert all((a.grams[-1][0] == b.grams[-1][0]).all() for a, b in zip(models, again))
+
+
 def test_the_empty_string_is_a_language(docs):
     df = docs([(i, "der hund und die katze" if i % 2 else "the cat and a dog") for i in range(40)])
     df = df.withColumn("lang", F.when(F.col("doc_id") % 2 == 1, "de").otherwise(""))
