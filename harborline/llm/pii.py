@@ -1,9 +1,11 @@
 """Format-preserving pseudonyms for personal data.
 
 Candidates are found in the whole text and validated: payment cards by Luhn's check digit,
-bank accounts (IBAN) modulo 97, social security numbers by their ranges, IPv4 addresses by
-their octets, phone numbers by their length, dates by the calendar, e-mail addresses by
-their shape, and secrets that follow a keyword. Of an account or phone number that does not validate
+bank accounts (IBAN) modulo 97, social security numbers by their ranges (without separators only after their
+name), IPv4 addresses by their octets (a version number is none) and IPv6 addresses by their groups, phone numbers by their
+length, their country or trunk prefix or the ranges of ten-digit numbers, dates by the calendar, e-mail addresses by
+their shape, and secrets that follow a keyword or have a known form: access key ids, tokens with a prefix, bearer
+tokens and private keys in PEM armour. A secret after a keyword has a digit and 12 characters or more; shorter ones and plain words stay. Of an account or phone number that does not validate
 the beginnings up to a blank are tried, longest first, since a word or number may follow it; after a card or
 account number that does not validate the search goes on at its next group. What does not validate stays as it is.
 
@@ -11,13 +13,13 @@ A valid value is numbered within its format, the number is permuted by a keyed F
 network with cycle walking, and the result is written back in the same layout: the
 same separators, letter case, number of digits, and a valid check digit. The permutation
 has no fixed point (it is a shift seen through the Feistel permutation), so no value is
-its own pseudonym. It depends on the key, the kind and the value alone, so equal values
+its own pseudonym; one that is alone in its format, such as ``_@x.com``, stays and is not reported. It depends on the key, the kind and the value alone, so equal values
 stay linked across documents, layouts and runs, and the key's owner can invert it.
 
 Only the text passes through Python, inside the tasks that read it; nothing is shuffled.
 
 Defined results: null texts stay null and have no spans; texts without personal data come
-back byte for byte; where candidates overlap, the kind that is named first above wins;
+back byte for byte; an IPv6 address comes back in its shortest form; where candidates overlap, the kind that is named first above wins;
 other columns, repeated rows and empty tables pass through unchanged. Slashed dates are read
 month first if that is a date, else day first. Letters of an address outside
 ASCII are replaced by ASCII ones, which is the only step that cannot be inverted.
@@ -26,6 +28,7 @@ ASCII are replaced by ASCII ones, which is the only step that cannot be inverted
 from __future__ import annotations
 
 import datetime
+import ipaddress
 import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
@@ -154,7 +157,7 @@ def _secret(found: re.Match, permuted) -> str | None:
         return None
     plain = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value) is not None
     made = _chained(value, permuted, "secret", hexadecimal=plain)
-    return found.group()[:found.start("value") - found.start()] + made
+    return _named(found, made)
 
 
 def _card(found: re.Match, permuted) -> str | None:
@@ -166,8 +169,33 @@ def _card(found: re.Match, permuted) -> str | None:
     return _relaid(found.group(), body + str(luhn(body)))
 
 
+def _named(found: re.Match, made: str) -> str:
+    """The match with ``made`` in place of its group ``value``."""
+    return found.group()[:found.start("value") - found.start()] + made
+
+
+def _prefixed(found: re.Match, permuted) -> str | None:
+    """A secret with a known form; what precedes its value stays."""
+    value = found.group("value")
+    return _named(found, _chained(value, permuted, "secret", hexadecimal=False)) if _DIGIT.search(value) else None
+
+
+def _pem(found: re.Match, permuted) -> str | None:
+    made = _chained(found.group("value"), permuted, "pem", hexadecimal=False)
+    return _named(found, made) + found.group("end")
+
+
+def _named_ssn(found: re.Match, permuted) -> str | None:
+    digits = found.group("value")
+    made = _social(int(digits[:3]), int(digits[3:5]), int(digits[5:]), digits, permuted)
+    return None if made is None else _named(found, made)
+
+
 def _ssn(found: re.Match, permuted) -> str | None:
-    area, group, serial = map(int, re.split("[ -]", found.group()))
+    return _social(*map(int, re.split("[ -]", found.group())), found.group(), permuted)
+
+
+def _social(area: int, group: int, serial: int, layout: str, permuted) -> str | None:
     if area in (0, 666) or area >= 900 or not group or not serial:
         return None
     place = area - 1 - (area > 666)  # 898 areas
@@ -175,17 +203,44 @@ def _ssn(found: re.Match, permuted) -> str | None:
     rest, serial = divmod(number, 9999)
     place, group = divmod(rest, 99)
     area = place + 1 + (place >= 665)
-    return _relaid(found.group(), f"{area:03d}{group + 1:02d}{serial + 1:04d}")
+    return _relaid(layout, f"{area:03d}{group + 1:02d}{serial + 1:04d}")
 
 
 def _address(found: re.Match, permuted) -> str | None:
     octets = found.group().split(".")
+    if _VERSION.search(found.string, max(0, found.start() - 12), found.start()):
+        return None
     if any(int(o) > 255 or o != str(int(o)) for o in octets):
         return None
     number = permuted("ip", 1 << 32, int.from_bytes(bytes(map(int, octets)), "big"))
     return ".".join(map(str, number.to_bytes(4, "big")))
 
 
+def _address6(found: re.Match, permuted) -> str | None:
+    text = found.group()
+    if text.count(":") < 3 or not _DIGIT.search(text):
+        return None
+    try:
+        place = int(ipaddress.IPv6Address(text))
+    except ValueError:
+        return None
+    # Addresses of so few groups that they would not be found again are left out of the numbers that are permuted.
+    first = 1 << 112
+    return str(ipaddress.IPv6Address(first + permuted("ip6", (1 << 128) - first, place - first))) if place >= first else None
+
+
+def _ten(digits: str, permuted) -> str:
+    """Ten digits with an area and an exchange from 200 up among such, others among others."""
+    area, exchange, line = int(digits[:3]), int(digits[3:6]), int(digits[6:])
+    if area >= 200 and exchange >= 200:
+        place, line = divmod(permuted("phone|ten", 800 * 800 * 10_000, ((area - 200) * 800 + exchange - 200) * 10_000 + line), 10_000)
+        return f"{200 + place // 800:03d}{200 + place % 800:03d}{line:04d}"
+    place = area * 1000 + exchange if area < 200 else 200_000 + (area - 200) * 200 + exchange
+    place, line = divmod(permuted("phone|other", 360_000 * 10_000, place * 10_000 + line), 10_000)
+    area, exchange = divmod(place, 1000) if place < 200_000 else divmod(place - 200_000 + 200 * 200, 200)
+    return f"{area:03d}{exchange:03d}{line:04d}"
+
+
 def _date(found: re.Match, permuted) -> str | None:
     text = found.group()
     parts = {k: v for k, v in found.groupdict().items() if v is not None}
@@ -227,18 +282,36 @@ def _phone(found: re.Match, permuted) -> str | None:
     rest = digits[len(country):]
     if not 7 <= len(digits) <= 15 or len(rest) < 6:
         return None
+    if not country and found.group("trunk"):
+        country, rest = "0", digits[1:]
+        if not 9 <= len(rest) <= 10:
+            return None
+    if not country:
+        bracket = text.startswith("(")
+        return _relaid(text, _ten(digits, permuted)) if bracket or min(digits[0], digits[3]) >= "2" else None
     number = permuted(f"phone|{country}", 10 ** len(rest), int(rest))
     return _relaid(text, f"{country}{number:0{len(rest)}d}")
 
 
+_DIGIT = re.compile("[0-9]")
+_VERSION = re.compile(r"(?i)\b(?:version|release|ver\.?|v\.?)[ :=]{0,2}$")
 _NAMES = "|".join(f"{m}|{m[:3]}" for m in MONTHS)
 KINDS: list[tuple[str, re.Pattern, Callable]] = [
+    ("secret", re.compile(r"(?P<head>-----BEGIN (?:[A-Z]{2,10} )?PRIVATE KEY-----)(?P<value>[A-Za-z0-9+/=\s]+)"
+                          r"(?P<end>-----END (?:[A-Z]{2,10} )?PRIVATE KEY-----)"), _pem),
+    ("secret", re.compile(r"(?<![A-Za-z0-9_])(?:AKIA|ASIA)(?P<value>[A-Z0-9]{16})(?![A-Za-z0-9])"), _prefixed),
+    ("secret", re.compile(r"(?<![A-Za-z0-9_])(?:gh[pousr]_|github_pat_|xox[abprs]-)(?P<value>[A-Za-z0-9_-]{16,})"), _prefixed),
+    ("secret", re.compile(r"\b[Bb]earer (?P<value>[A-Za-z0-9+/_-]{20,}(?:[.=]+[A-Za-z0-9+/_-]+)*)"), _prefixed),
     ("card", re.compile(r"(?<![\w.+])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})(?!\d)",
                         re.ASCII), _card),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"), _iban),
     ("ssn", re.compile(r"(?<![\w-])\d{3}([ -])\d{2}\1\d{4}(?![\w-])", re.ASCII), _ssn),
+    ("ssn", re.compile(r"(?i)\b(?:ssn|social security(?: (?:number|no\.?))?)[ :=#]{1,4}(?P<value>\d{9})(?![\w-])", re.ASCII),
+     _named_ssn),
+    ("ip", re.compile(r"(?<![\w:.])[0-9A-Fa-f:]{6,39}(?![\w:])", re.ASCII), _address6),
     ("ip", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)(?![A-Za-z_])", re.ASCII), _address),
     ("phone", re.compile(r"(?<![\w.])(?:\+(?P<country>\d{1,3})(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}"
+                         r"|(?P<trunk>0)[1-9]?\d{1,3}[ -]\d{3,4}[ -]\d{3,4}"
                          r"|(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4})(?!\w)", re.ASCII), _phone),
     ("date", re.compile(rf"(?<![\w./-])(?:(?P<iso_year>\d{{4}})(?P<iso_mark>[-/.])(?P<iso_month>\d\d)(?P=iso_mark)(?P<iso_day>\d\d)"
                         rf"|(?P<one>\d{{1,2}})(?P<mark>[/.-])(?P<two>\d{{1,2}})(?P=mark)(?P<year>\d{{4}})"
@@ -288,6 +361,8 @@ def pseudonymised_text(text: str, key: bytes) -> tuple[str, list[tuple[str, int,
             for stop in [end, *blanks]:
                 part = found if stop == end else pattern.fullmatch(text, start, stop)
                 made = make(part, permuted) if part and stop <= limit else None
+                if made is not None and made == part.group():
+                    break  # alone in its format
                 if made is not None:
                     more.append((start, stop, kind, made))
                     at = stop
