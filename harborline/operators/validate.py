@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.contract import CONTRACT, FIX, REJECT, SEVERITIES, WARN, Table, known
+from harborline.operators import keysets
 from harborline.operators.joins import repeated_keys
-from harborline.operators.parsing import ISO, date_sql, number_sql, parsed_sql, strip_sql, title_sql
+from harborline.operators.parsing import ISO, number_sql, parsed_sql, strip_sql, title_sql
 from harborline.operators.storage import staged
 
 SAMPLE_ROWS = 10
@@ -48,11 +49,8 @@ MESSAGE = {
     "missing_file": "no file for table {column}",
 }
 
-def row_rules(table: Table, present: set[str], formats: Mapping[str, str] = MappingProxyType({})) -> list[tuple[str, str, str]]:
-    """(code, column, condition) of every rule decided by one row alone; ``formats`` are those of date columns."""
-    def form(column: str) -> str:
-        return formats.get(column, ISO)
-
+def row_rules(table: Table, present: set[str]) -> list[tuple[str, str, str]]:
+    """(code, column, condition) of every rule decided by one row alone, over a frame of ``_parsed``."""
     rules = []
     for spec in table.fields:
         name = spec.name
@@ -63,21 +61,30 @@ def row_rules(table: Table, present: set[str], formats: Mapping[str, str] = Mapp
         elif spec.kind == "string":
             rules.append(("null_optional", name, f"{name} IS NULL"))
         if spec.kind != "string":
-            rules.append(("invalid_type", name,
-                          f"{name} IS NOT NULL AND ({parsed_sql(strip_sql(name), spec.kind, form(name))}) IS NULL"))
+            rules.append(("invalid_type", name, f"{name} IS NOT NULL AND _v_{name} IS NULL"))
     for name in table.non_negative:
         if name in present:
-            rules.append(("negative_value", name, f"({number_sql(strip_sql(name))}) < 0"))
+            rules.append(("negative_value", name, f"({number_sql('_s_' + name)}) < 0"))
     if table.title_cased in present:
         name = table.title_cased
         rules.append(("inconsistent_category_casing", name, f"{name} <> {title_sql(name)}"))
     if table.ordered_dates and present.issuperset(table.ordered_dates):
         first, second = table.ordered_dates
-        rules.append(("delivered_before_shipped", second,
-                      f"({date_sql(strip_sql(second), form(second))}) < ({date_sql(strip_sql(first), form(first))})"))
+        rules.append(("delivered_before_shipped", second, f"_v_{second} < _v_{first}"))
     return rules
 
 
+def _parsed(table: Table, frame: DataFrame, formats: Mapping[str, str]) -> DataFrame:
+    """``frame`` with the stripped texts (``_s_``) and the values (``_v_``) of its columns of other kinds than text.
+
+    Two projections, so that every text is stripped and parsed once for all rules.
+    """
+    typed = [f for f in table.fields if f.kind != "string" and f.name in frame.columns]
+    stripped = frame.selectExpr("*", *[f"{strip_sql(f.name)} AS _s_{f.name}" for f in typed])
+    return stripped.selectExpr("*", *[
+        f"{parsed_sql('_s_' + f.name, f.kind, formats.get(f.name, ISO))} AS _v_{f.name}" for f in typed])
+
+
 def _labelled(df: DataFrame, table: str, code: str, column: str) -> DataFrame:
     return df.select(
         F.lit(table).alias("table"), F.lit(code).alias("code"), F.lit(column).alias("column"), "data_row"
@@ -90,29 +97,33 @@ def table_violations(table: Table, frame: DataFrame, tables: Mapping[str, DataFr
     present = set(frame.columns)
     marks = [
         f"CASE WHEN {condition} THEN named_struct('code', '{code}', 'column', '{column}') END"
-        for code, column, condition in row_rules(table, present, formats) if code in codes
+        for code, column, condition in row_rules(table, present) if code in codes
     ]
     parts = []
     if marks:
         parts.append(
-            frame.selectExpr("data_row", f"inline(array_compact(array({', '.join(marks)})))").selectExpr(
+            _parsed(table, frame, formats).selectExpr("data_row", f"inline(array_compact(array({', '.join(marks)})))").selectExpr(
                 f"'{table.name}' AS table", "code", "column", "data_row"
             )
         )
     if table.key in present and "duplicate_primary_key" in codes:
-        keyed = frame.filter(F.col(table.key).isNotNull()).select(table.key, "data_row")
+        # Repeated keys are found on hashes, and only their rows are compared by the key.
+        keyed = staged(keysets.repeated(frame.select(table.key, "data_row"), table.key), "repeated-keys")
         repeated = keyed.join(repeated_keys(keyed, [table.key]), table.key, "left_semi")
         parts.append(_labelled(repeated, table.name, "duplicate_primary_key", table.key))
-    for column, parent in table.parents.items():
-        if "foreign_key_not_found" not in codes or column not in present:
-            continue
-        if parent in tables and CONTRACT[parent].key in tables[parent].columns:
-            referred = tables[parent].select(F.col(CONTRACT[parent].key).alias(column)).distinct()
-            # Keys are compared before rows: a parent lacks few of the distinct keys of its children.
-            given = frame.filter(F.col(column).isNotNull()).select(column, "data_row")
-            lacking = given.select(column).distinct().join(referred, column, "left_anti")
-            orphans = given.join(lacking, column, "left_semi")
-            parts.append(_labelled(orphans, table.name, "foreign_key_not_found", column))
+    referring = [
+        (column, parent) for column, parent in table.parents.items()
+        if "foreign_key_not_found" in codes and column in present and parent in tables
+        and CONTRACT[parent].key in tables[parent].columns
+    ]
+    if referring:
+        # Parents are bitmaps, so all keys of a row are compared where it lies.
+        marked = frame.select("data_row", *[column for column, _ in referring])
+        for column, parent in referring:
+            marked = keysets.with_membership(marked, column, tables[parent], CONTRACT[parent].key, f"_in_{column}")
+        lost = ", ".join(f"CASE WHEN {column} IS NOT NULL AND NOT _in_{column} THEN '{column}' END" for column, _ in referring)
+        parts.append(marked.selectExpr("data_row", f"explode(array_compact(array({lost}))) AS column").selectExpr(
+            f"'{table.name}' AS table", "'foreign_key_not_found' AS code", "column", "data_row"))
     return parts
 
 
