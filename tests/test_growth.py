@@ -97,3 +97,12 @@ def test_csv_layers_are_compressed(frame, tmp_path, spark):
     assert list((tmp_path / "l" / "t").glob("*.csv.gz")) and not list((tmp_path / "l" / "t").glob("*.csv"))
     from harborline.sources.bundle import read_csv_text
     assert read_csv_text(spark, str(tmp_path / "l" / "t")).agg(F.count("b")).first()[0] == 100
+
+
+def test_rows_that_share_a_line_share_its_reasons(frame):
+    columns = ("source_row long, supplier_id string, supplier_name string, contact_email string, country string, "
+               "supplier_tier string")
+    rows = [(2, "1"), (3, "1"), (3, "1"), (4, "2"), (4, "2"), (None, "1")]
+    judged = clean.judge({"suppliers": frame(columns, [(n, k, "a", None, "C", "t") for n, k in rows])})["suppliers"]
+    found = sorted((r["source_row"] or 0, len(r["reasons"])) for r in judged.collect())
+    assert found == [(0, 0), (2, 0), (3, 1), (3, 1), (3, 1), (3, 1), (4, 0), (4, 0)]
