@@ -103,17 +103,18 @@ def normalise(table: Table, raw: DataFrame, formats: Mapping[str, str] = Mapping
 
 @dataclass(frozen=True)
 class KeyStatus:
-    """The keys of a judged table that any row has, and those that a retained row has; ``k`` in both."""
+    """The keys of a judged table that any row has (if its children ask for them), and those that a retained row has."""
 
-    given: DataFrame
-    retained: DataFrame
+    given: keysets.KeySet | None
+    retained: keysets.KeySet
 
 
 def key_status(table: Table, judged: DataFrame) -> KeyStatus:
     """The keys of a judged table; they become bitmaps, so they may repeat."""
     key = "key" if "key" in judged.columns else f"value.{table.key}"
     given = judged.selectExpr(f"{key} AS k", "reasons").filter("k IS NOT NULL")
-    return KeyStatus(given.select("k"), given.filter("size(reasons) = 0").select("k"))
+    retained = keysets.key_set(given.filter("size(reasons) = 0").select("k"), "k")
+    return KeyStatus(keysets.key_set(given.select("k"), "k") if table.name == CASCADING_PARENT else None, retained)
 
 
 def _firsts(table: Table, df: DataFrame) -> DataFrame:
@@ -123,7 +124,7 @@ def _firsts(table: Table, df: DataFrame) -> DataFrame:
 
 
 def _with_duplicates(table: Table, df: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Mark in ``_repeats`` all rows of a key after its first one, whatever became of the first."""
+    """Mark in ``_repeats`` all rows of a key after its first one, whatever became of the first, by the key itself."""
     # Rows without a key get a value of their own, so they do not meet in one task if the firsts are many. It starts
     # with a NUL character and a line number, which no key has.
     own = F.coalesce(F.expr(key_sql(table.key)), F.concat(F.expr("char(0)"), F.col("source_row").cast("string")))
@@ -139,35 +140,39 @@ def key_sql(column: str) -> str:
 def with_key_reasons(table: Table, raw: DataFrame, statuses: Mapping[str, KeyStatus]) -> DataFrame:
     """A raw frame with ``KEY_REASONS``: repeated keys, then parents that are missing or not retained.
 
-    Keys that repeat are found on hashes. Parents are bitmaps, so rows are marked where they lie and
-    are not shuffled; only sets too large for a broadcast make the planner shuffle rows, which are raw at this point.
+    Keys that repeat are found on hashes, and the lines after the first of a key become a set of bitmaps like the parents,
+    so rows are marked where they lie and are not shuffled; only sets too large for a broadcast make the planner shuffle
+    rows, which are raw at this point.
 
     Reasons belong to lines: rows that share a line number share the reasons of all of them, one row for each, and
     rows without a line number have none.
     """
-    firsts = _firsts(table, raw)
-    marked = _with_marks(table, raw, firsts, statuses)
-    lines = staged(keysets.repeated(raw.select("source_row"), "source_row").distinct(), "repeated-lines")
-    shared = _with_marks(table, raw.join(lines, "source_row", "left_semi"), firsts, statuses).filter(f"size({KEY_REASONS}) > 0")
-    shared = staged(shared.selectExpr("source_row AS _line", f"{KEY_REASONS} AS _shared"), "shared-reasons")
-    own = f"CASE WHEN source_row IS NULL THEN slice({KEY_REASONS}, 1, 0) ELSE coalesce(_shared, {KEY_REASONS}) END"
-    return marked.join(shared, F.col("source_row") == F.col("_line"), "left").select(
-        *raw.columns, F.expr(own).alias(KEY_REASONS))
-
-
-def _with_marks(table: Table, raw: DataFrame, firsts: DataFrame, statuses: Mapping[str, KeyStatus]) -> DataFrame:
-    """A raw frame with the reasons that each row's own keys give."""
-    df = _with_duplicates(table, raw, firsts)
+    keys = raw.selectExpr("source_row", f"{key_sql(table.key)} AS _own")
+    repeats = keysets.key_set(keysets.after_first(keys, "_own", "source_row"), "source_row")
+    marked = _with_marks(table, keysets.with_members(raw, "source_row", repeats, "_repeats"), statuses)
+    own = f"CASE WHEN source_row IS NULL THEN slice({KEY_REASONS}, 1, 0) ELSE {KEY_REASONS} END"
+    lines = keysets.repeated_numbers(raw, "source_row")
+    if lines is not None:
+        few = _with_duplicates(table, raw.join(lines, "source_row", "left_semi"), _firsts(table, raw))
+        shared = _with_marks(table, few, statuses).filter(f"size({KEY_REASONS}) > 0")
+        shared = staged(shared.selectExpr("source_row AS _line", f"{KEY_REASONS} AS _shared"), "shared-reasons")
+        marked = marked.join(shared, F.col("source_row") == F.col("_line"), "left")
+        own = own.replace("ELSE", "WHEN _shared IS NOT NULL THEN _shared ELSE")
+    return marked.select(*raw.columns, F.expr(own).alias(KEY_REASONS))
+
+
+def _with_marks(table: Table, df: DataFrame, statuses: Mapping[str, KeyStatus]) -> DataFrame:
+    """A raw frame with ``_repeats`` and the reasons that each row's own keys give."""
     marks = [f"CASE WHEN _repeats THEN 'duplicate_primary_key:{table.key}' END"]
     extra = ["_repeats"]
     for column, status in statuses.items():
         key, kept, known_key = f"_p_{column}", f"_kept_{column}", f"_known_{column}"
         df = df.withColumn(key, F.expr(key_sql(column)))
-        df = keysets.with_membership(df, key, status.retained, "k", kept)
+        df = keysets.with_members(df, key, status.retained, kept)
         reason = f"'orphan_foreign_key:{column}'"
         extra += [key, kept]
         if table.parents[column] == CASCADING_PARENT:
-            df = keysets.with_membership(df, key, status.given, "k", known_key)
+            df = keysets.with_members(df, key, status.given, known_key)
             reason = f"CASE WHEN {known_key} THEN 'cascade_parent_order_rejected' ELSE {reason} END"
             extra.append(known_key)
         marks.append(f"CASE WHEN {key} IS NOT NULL AND NOT {kept} THEN {reason} END")

@@ -106,3 +106,31 @@ def test_rows_that_share_a_line_share_its_reasons(frame):
     judged = clean.judge({"suppliers": frame(columns, [(n, k, "a", None, "C", "t") for n, k in rows])})["suppliers"]
     found = sorted((r["source_row"] or 0, len(r["reasons"])) for r in judged.collect())
     assert found == [(0, 0), (2, 0), (3, 1), (3, 1), (3, 1), (3, 1), (4, 0), (4, 0)]
+
+
+def test_many_repeated_keys_do_not_shuffle_rows(spark):
+    """Half of the rows repeat a key, so their lines take more room than the threshold allows."""
+    suppliers = spark.range(2, 4002).selectExpr(
+        "id AS source_row", "CAST(id DIV 2 AS STRING) AS supplier_id", "'a' AS supplier_name", "'b' AS contact_email",
+        "'C' AS country", "'t' AS supplier_tier")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200")
+    try:
+        judged = clean.judge({"suppliers": suppliers})["suppliers"]
+        plan = judged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+        assert [r["source_row"] for r in judged.filter("size(reasons) > 0").collect()] == list(range(3, 4002, 2))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lines_after_the_first_of_a_key(frame):
+    rows = [("a", 5), ("a", 2), ("a", 2), ("b", 1), (None, 3), (None, 4), ("a", None), ("c", 7), ("c", 9)]
+    found = keysets.after_first(frame("k string, n long", rows), "k", "n")
+    assert sorted(r["n"] for r in found.collect()) == [5, 9]
+
+
+def test_numbers_that_repeat(frame):
+    assert keysets.repeated_numbers(frame("n long", [(1,), (2,), (64,), (-1,), (None,), (None,)]), "n") is None
+    rows = [(1,), (2,), (1,), (-70,), (-70,), (-70,), (10**15,), (None,), (None,)]
+    assert sorted(r["n"] for r in keysets.repeated_numbers(frame("n long", rows), "n").collect()) == [-70, 1]
