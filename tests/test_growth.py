@@ -5,10 +5,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from harborline.catalog import storage
 from harborline.contract import CONTRACT
 from harborline.operators import clean, keysets, parsing, validate
+from harborline.plans import kpi
 from harborline.sources import sinks
 from harborline.sources.raw import LINE_ORDER
+from harborline.sources.tables import OpsTables
 
 
 def plan_of(df):
@@ -134,3 +137,22 @@ def test_numbers_that_repeat(frame):
     assert keysets.repeated_numbers(frame("n long", [(1,), (2,), (64,), (-1,), (None,), (None,)]), "n") is None
     rows = [(1,), (2,), (1,), (-70,), (-70,), (-70,), (10**15,), (None,), (None,)]
     assert sorted(r["n"] for r in keysets.repeated_numbers(frame("n long", rows), "n").collect()) == [-70, 1]
+
+
+def test_relations_of_the_star_share_what_is_derived_from_the_lines(spark):
+    ops = OpsTables(spark, "/root/testdata/sf0.001")
+    given = storage.with_derived(ops)
+    for plan in (kpi.orders_enriched, kpi.warehouse_performance, kpi.inventory_status, kpi.customer_rfm_base):
+        assert "l_orderkey" not in plan_of(plan(given)) and "l_partkey" not in plan_of(plan(given))
+        assert sorted(map(repr, plan(given).collect())) == sorted(map(repr, plan(ops).collect()))
+
+
+def test_last_snapshots(frame):
+    rows = [("b", dt.date(2024, 1, 2), 1, 1, 5, 1), ("c", dt.date(2024, 1, 2), 1, 1, 6, 2), ("z", dt.date(2024, 1, 1), 1, 1, 7, 9),
+            ("n", None, 1, 2, 1, 3), ("a", dt.date(2023, 1, 1), 1, 2, 2, 4)]
+    snapshots = frame("snapshot_id string, snapshot_date date, product_id long, warehouse_id long, supplier_id long, "
+                      "quantity_on_hand long", rows).selectExpr("*", "1L AS reorder_point", "false AS stockout_flag")
+    found = kpi.latest_snapshots({"inventory_snapshots": snapshots})
+    assert found.columns == ["product_id", "warehouse_id", "snapshot_id", "snapshot_date", "supplier_id", "quantity_on_hand",
+                             "reorder_point", "stockout_flag"]
+    assert sorted((r["warehouse_id"], r["snapshot_id"], r["supplier_id"]) for r in found.collect()) == [(1, "c", 6), (2, "a", 2)]
