@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from harborline.contract import CASCADING_PARENT, CONTRACT, REJECT, Table, known
 from harborline.operators import keysets
-from harborline.operators.parsing import ISO, parsed_sql, strip_sql, title_sql
+from harborline.operators.parsing import ISO, found_sql, once_sql, parsed_sql, strip_sql, title_sql
 from harborline.operators.storage import staged
 from harborline.operators.validate import findings
 
@@ -85,7 +85,6 @@ def normalise(table: Table, raw: DataFrame, formats: Mapping[str, str] = Mapping
     if table.ordered_dates:
         first, second = table.ordered_dates
         reasons.append((f"v_{second} < v_{first}", "delivered_before_shipped"))
-    marks = ", ".join(f"CASE WHEN {condition} THEN '{text}' END" for condition, text in reasons)
     changed = ["edged"] + [f"v_{f.name} IS NULL" for f in table.fields if f.default is not None]
     final = {f.name: f"v_{f.name}" if f.default is None else f"coalesce(v_{f.name}, '{f.default}')"
              for f in table.fields}
@@ -94,10 +93,12 @@ def normalise(table: Table, raw: DataFrame, formats: Mapping[str, str] = Mapping
         final[table.title_cased] = "cased"
     final.update({c: f"raw.{c}" for c in given if c not in table.columns})
     values = ", ".join(f"{e} AS {c}" for c, e in final.items())
-    own = f"array_compact(array({marks}))"
+    found = found_sql([(condition, f"'{text}'") for condition, text in reasons], "STRING")
+    found = f"concat({found}, array_compact({KEY_REASONS}))" if KEY_REASONS in carried else found
+    # Rows are filtered by their reasons, which every parser takes part in.
     return typed.selectExpr(
         "source_row", "raw", f"struct({values}) AS value", f"{' OR '.join(changed)} AS changed",
-        f"{f'concat({own}, {KEY_REASONS})' if KEY_REASONS in carried else own} AS reasons",
+        f"{once_sql(found, 'CAST(array() AS ARRAY<STRING>)')} AS reasons",
     )
 
 
@@ -150,7 +151,9 @@ def with_key_reasons(table: Table, raw: DataFrame, statuses: Mapping[str, KeySta
     keys = raw.selectExpr("source_row", f"{key_sql(table.key)} AS _own")
     repeats = keysets.key_set(keysets.after_first(keys, "_own", "source_row"), "source_row")
     marked = _with_marks(table, keysets.with_members(raw, "source_row", repeats, "_repeats"), statuses)
-    own = f"CASE WHEN source_row IS NULL THEN slice({KEY_REASONS}, 1, 0) ELSE {KEY_REASONS} END"
+    # ``array_compact`` changes nothing here. Spark does not compile it with its neighbours, so the code of joins and
+    # parsers, which together would be too long for the JIT, is cut at this column (and once more in ``normalise``).
+    own = f"CASE WHEN source_row IS NULL THEN slice({KEY_REASONS}, 1, 0) ELSE array_compact({KEY_REASONS}) END"
     lines = keysets.repeated_numbers(raw, "source_row")
     if lines is not None:
         few = _with_duplicates(table, raw.join(lines, "source_row", "left_semi"), _firsts(table, raw))
@@ -163,7 +166,7 @@ def with_key_reasons(table: Table, raw: DataFrame, statuses: Mapping[str, KeySta
 
 def _with_marks(table: Table, df: DataFrame, statuses: Mapping[str, KeyStatus]) -> DataFrame:
     """A raw frame with ``_repeats`` and the reasons that each row's own keys give."""
-    marks = [f"CASE WHEN _repeats THEN 'duplicate_primary_key:{table.key}' END"]
+    marks = [("_repeats", f"'duplicate_primary_key:{table.key}'")]
     extra = ["_repeats"]
     for column, status in statuses.items():
         key, kept, known_key = f"_p_{column}", f"_kept_{column}", f"_known_{column}"
@@ -175,8 +178,8 @@ def _with_marks(table: Table, df: DataFrame, statuses: Mapping[str, KeyStatus])
             df = keysets.with_members(df, key, status.given, known_key)
             reason = f"CASE WHEN {known_key} THEN 'cascade_parent_order_rejected' ELSE {reason} END"
             extra.append(known_key)
-        marks.append(f"CASE WHEN {key} IS NOT NULL AND NOT {kept} THEN {reason} END")
-    return df.withColumn(KEY_REASONS, F.expr(f"array_compact(array({', '.join(marks)}))")).drop(*extra)
+        marks.append((f"{key} IS NOT NULL AND NOT {kept}", reason))
+    return df.withColumn(KEY_REASONS, F.expr(found_sql(marks, "STRING"))).drop(*extra)
 
 
 def judge(tables: Mapping[str, DataFrame], stage: bool = False,

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from harborline.operators.storage import staged
 
 WORD_BITS = 6  # the bits of a key that find its place in a word
+PLAIN = 10**18 - 1  # the greatest number of 18 digits
 WORD = "bit_or(shiftleft(1L, CAST(_n & 63 AS INT)))"
 BROADCAST_WORDS = 1 << 22  # words that are broadcast at most, a quarter of a GB in a join
 
@@ -31,7 +32,13 @@ def _number(column: Column, kind: T.DataType) -> Column:
     """The key as a whole number, null where it is not written as one."""
     if not isinstance(kind, T.StringType):
         return column.cast("bigint")
-    return F.when(column.rlike("^(0|-?[1-9][0-9]{0,17})$"), column).cast("bigint")
+    number = column.try_cast("bigint")
+    return F.when(number.between(-PLAIN, PLAIN) & (number.cast("string") == column), number)
+
+
+def _once(value: Column) -> Column:
+    """``parsing.once_sql`` of a column."""
+    return F.when(F.spark_partition_id() >= 0, value)
 
 
 def repeated(keys: DataFrame, column: str) -> DataFrame:
@@ -45,7 +52,8 @@ def repeated(keys: DataFrame, column: str) -> DataFrame:
 
 def _repeated_with_hash(keys: DataFrame, column: str) -> DataFrame:
     """Rows whose hash of the key another row has; almost always the key too."""
-    hashed = keys.filter(F.col(column).isNotNull()).select("*", F.xxhash64(column).alias("_hash"))
+    known = keys.withColumn(column, _once(F.col(column))).filter(F.col(column).isNotNull())
+    hashed = known.select("*", F.xxhash64(column).alias("_hash"))
     # Counting needs no memory per row, so the rows of a frequent key may meet in a task.
     twice = hashed.select("_hash").repartition("_hash").groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
     twice = staged(twice.filter("_n > 1").select("_hash"), "repeated")
@@ -78,7 +86,7 @@ def repeated_numbers(df: DataFrame, column: str) -> DataFrame | None:
 def key_bitmaps(keys: DataFrame, column: str) -> DataFrame:
     """Stored rows of ``bucket`` and ``bits``, a word with a bit for each of its whole-number keys; empty words are left out."""
     number = _number(F.col(column), keys.schema[column].dataType)
-    known = keys.select(number.alias("_n")).filter("_n IS NOT NULL")
+    known = keys.select(_once(number).alias("_n")).filter("_n IS NOT NULL")
     return staged(known.groupBy(_word("_n")).agg(F.expr(WORD).alias("bits")), "bitmaps")
 
 
@@ -102,8 +110,8 @@ def key_set(keys: DataFrame, key: str) -> KeySet:
     if words.count() <= BROADCAST_WORDS:
         words = F.broadcast(words)
     if isinstance(kind, T.StringType):
-        others = keys.filter(F.col(key).isNotNull() & _number(F.col(key), kind).isNull()).select(F.col(key).alias("_text"))
-        texts = staged(others.distinct(), "texts")
+        other = F.when(_number(F.col(key), kind).isNull(), F.col(key))
+        texts = staged(keys.select(_once(other).alias("_text")).filter("_text IS NOT NULL").distinct(), "texts")
         texts = None if texts.isEmpty() else texts
     return KeySet(words, texts, kind)
 

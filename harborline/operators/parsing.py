@@ -10,9 +10,12 @@ them, and one ``selectExpr`` hands all of them to Spark at once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from harborline.functions.text import CASED_RUNS, WHITESPACE
 
 NUMBER_TEXT = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+EXACT = 1 << 53  # doubles hold all whole numbers up to it
 _TIME = "[0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?"
 DATE_TEXT = f"^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([ T]{_TIME})?$"
 
@@ -26,6 +29,22 @@ def strip_sql(text: str) -> str:
     return f"CASE WHEN {visible} THEN {text} ELSE btrim({text}, '{_BLANKS}') END"
 
 
+def once_sql(value: str, otherwise: str = "NULL") -> str:
+    """The same value, computed where it stands.
+
+    The optimizer moves a filter on a computed column below the projection and puts a copy of the whole expression in it for
+    every reference, so a filter on what several steps derive would repeat all of them for every row. It does not move
+    filters below a projection with an expression that it takes for not deterministic, which the guard is. ``otherwise`` is never taken.
+    """
+    return f"IF(spark_partition_id() < 0, {otherwise}, {value})"
+
+
+def found_sql(marks: Sequence[tuple[str, str]], kind: str) -> str:
+    """The values of the marks (condition, value) that hold, in their order, as an array of ``kind``; compiled, unlike ``array_compact``."""
+    none = f"CAST(array() AS ARRAY<{kind}>)"
+    return f"concat({', '.join(f'CASE WHEN {condition} THEN array({value}) ELSE {none} END' for condition, value in marks)})"
+
+
 def title_sql(text: str) -> str:
     """The same as ``functions.title_case``."""
     head = "upper(left(w, 1))"
@@ -38,11 +57,16 @@ def number_sql(text: str) -> str:
 
 
 def integer_sql(text: str) -> str:
-    return f"CASE WHEN {number_sql(text)} % 1 = 0 THEN try_cast(try_cast({text} AS DOUBLE) AS BIGINT) END"
+    """A text that a whole number is written as is that number, if a double holds it exactly; others are looked at as numbers."""
+    whole = f"try_cast({text} AS BIGINT)"
+    other = f"CASE WHEN {number_sql(text)} % 1 = 0 THEN try_cast(try_cast({text} AS DOUBLE) AS BIGINT) END"
+    return f"CASE WHEN {whole} BETWEEN -{EXACT}L AND {EXACT}L AND CAST({whole} AS STRING) = {text} THEN {whole} ELSE {other} END"
 
 
 def boolean_sql(text: str) -> str:
-    return f"CASE lower({text}) WHEN 'true' THEN true WHEN 'false' THEN false END"
+    """The words as they are mostly written are not put in lower case first."""
+    word = f"CASE lower({text}) WHEN 'true' THEN true WHEN 'false' THEN false END"
+    return f"CASE {text} WHEN 'true' THEN true WHEN 'false' THEN false ELSE {word} END"
 
 
 ISO = "iso"

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from harborline.contract import CONTRACT, FIX, REJECT, SEVERITIES, WARN, Table, known
 from harborline.operators import keysets
 from harborline.operators.joins import repeated_keys
-from harborline.operators.parsing import ISO, number_sql, parsed_sql, strip_sql, title_sql
+from harborline.operators.parsing import ISO, found_sql, number_sql, once_sql, parsed_sql, strip_sql, title_sql
 from harborline.operators.storage import staged
 
 SAMPLE_ROWS = 10
@@ -96,13 +96,14 @@ def table_violations(table: Table, frame: DataFrame, tables: Mapping[str, DataFr
     """Violations of one table, limited to ``codes``; ``frame`` has a 1-based ``data_row``."""
     present = set(frame.columns)
     marks = [
-        f"CASE WHEN {condition} THEN named_struct('code', '{code}', 'column', '{column}') END"
+        (condition, f"named_struct('code', '{code}', 'column', '{column}')")
         for code, column, condition in row_rules(table, present) if code in codes
     ]
     parts = []
     if marks:
+        found = once_sql(found_sql(marks, "STRUCT<code: STRING, column: STRING>"))
         parts.append(
-            _parsed(table, frame, formats).selectExpr("data_row", f"inline(array_compact(array({', '.join(marks)})))").selectExpr(
+            _parsed(table, frame, formats).selectExpr("data_row", f"{found} AS _found").selectExpr("data_row", "inline(_found)").selectExpr(
                 f"'{table.name}' AS table", "code", "column", "data_row"
             )
         )
@@ -121,8 +122,8 @@ def table_violations(table: Table, frame: DataFrame, tables: Mapping[str, DataFr
         marked = frame.select("data_row", *[column for column, _ in referring])
         for column, parent in referring:
             marked = keysets.with_membership(marked, column, tables[parent], CONTRACT[parent].key, f"_in_{column}")
-        lost = ", ".join(f"CASE WHEN {column} IS NOT NULL AND NOT _in_{column} THEN '{column}' END" for column, _ in referring)
-        parts.append(marked.selectExpr("data_row", f"explode(array_compact(array({lost}))) AS column").selectExpr(
+        lost = found_sql([(f"{column} IS NOT NULL AND NOT _in_{column}", f"'{column}'") for column, _ in referring], "STRING")
+        parts.append(marked.selectExpr("data_row", f"{once_sql(lost)} AS _lost").selectExpr("data_row", "explode(_lost) AS column").selectExpr(
             f"'{table.name}' AS table", "'foreign_key_not_found' AS code", "column", "data_row"))
     return parts
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborline.contract import CONTRACT
+from harborline.functions.dates import compact_day_sql
 from harborline.operators.ordering import dense_index
 from harborline.operators.storage import staged
 from harborline.sources.tables import OpsTables
@@ -166,7 +167,7 @@ class RawTables(Mapping):
 
     def _inventory_snapshots(self) -> DataFrame:
         order = ("product_id", "supplier_id", "snapshot_date")
-        snapshot_id = "concat_ws('-', CAST(product_id AS STRING), CAST(supplier_id AS STRING), date_format(snapshot_date, 'yyyyMMdd'))"
+        snapshot_id = f"concat_ws('-', CAST(product_id AS STRING), CAST(supplier_id AS STRING), {compact_day_sql('snapshot_date')})"
         # Identities and marks follow from the other columns, so they are not shuffled. Sampling the range bounds reads
         # the shuffled levels again, not the lines.
         snapshots = self.ops["inventory_snapshots"].drop("snapshot_id")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from harborline.functions.dates import compact_day_sql
 from harborline.operators.joins import fact_join
 
 
@@ -171,7 +172,7 @@ class OpsTables(Mapping):
                   F.col("p_partkey") == F.col("l_partkey"))
             .select(
                 F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
-                            F.date_format("l_shipdate", "yyyyMMdd")).alias("snapshot_id"),
+                            F.expr(compact_day_sql("CAST(l_shipdate AS DATE)"))).alias("snapshot_id"),
                 F.col("l_shipdate").cast("date").alias("snapshot_date"),
                 F.col("l_partkey").alias("product_id"),
                 F.col("s_nationkey").cast("bigint").alias("warehouse_id"),
